@@ -87,3 +87,227 @@ def q_monthly_kpi_deduped(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_attribution_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = Tables(spark, sf_dir)
     return att.lineitem_attribution(t.lineitem, t.orders, rel.attribution_blasts(t))
+
+
+# --------------------------------------------------------------------------- audience
+
+from tidemark.operators import audience as aud  # noqa: E402
+from tidemark.operators import items  # noqa: E402
+from tidemark.operators import recommend as recm  # noqa: E402
+from tidemark.operators import blast as bl  # noqa: E402
+from tidemark.operators import feeds  # noqa: E402
+from tidemark.operators import funnel  # noqa: E402
+from tidemark.operators import registry as reg  # noqa: E402
+
+PREVIOUS_BLAST_DATE = _dt.date(2024, 1, 3)   # registry content before this run
+
+
+def _audience0(t: Tables) -> DataFrame:
+    return aud.active_reachable_audience(rel.member_snapshot(t), rel.member_reachable(t))
+
+
+def _audience(t: Tables, region: str) -> DataFrame:
+    return aud.voucher_audience(_audience0(t), rel.voucher_summary(t), region)
+
+
+def _grouped(t: Tables, region: str) -> DataFrame:
+    return aud.audience_grouped(_audience(t, region))
+
+
+@register("active_reachable_audience")
+def q_active_reachable_audience(spark, sf_dir):
+    return _audience0(Tables(spark, sf_dir))
+
+
+@register("voucher_audience_hk")
+def q_voucher_audience_hk(spark, sf_dir):
+    return _audience(Tables(spark, sf_dir), "hk")
+
+
+@register("voucher_audience_cn")
+def q_voucher_audience_cn(spark, sf_dir):
+    return _audience(Tables(spark, sf_dir), "cn")
+
+
+@register("audience_grouped")
+def q_audience_grouped(spark, sf_dir):
+    return _grouped(Tables(spark, sf_dir), "cn")
+
+
+@register("audience_ids_by_group")
+def q_audience_ids_by_group(spark, sf_dir):
+    return aud.audience_ids_by_group(_grouped(Tables(spark, sf_dir), "cn"))
+
+
+# --------------------------------------------------------------------------- items
+
+def _new_in(t: Tables, region: str = "hk") -> DataFrame:
+    return items.new_in_list_direct(rel.publication_status(t), rel.item_start_date(t), rel.item_master(t),
+                                    region, ITEMS_AS_OF)
+
+
+@register("new_in_candidates")
+def q_new_in_candidates(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    return items.new_in_candidates(rel.publication_status(t), rel.item_start_date(t), rel.child_sku(t),
+                                   rel.inventory(t), rel.item_master(t), "hk", ITEMS_AS_OF)
+
+
+@register("new_in_list")
+def q_new_in_list(spark, sf_dir):
+    return _new_in(Tables(spark, sf_dir))
+
+
+@register("new_in_list_final")
+def q_new_in_list_final(spark, sf_dir):
+    return items.new_in_list_final(_new_in(Tables(spark, sf_dir)), ITEMS_AS_OF)
+
+
+# --------------------------------------------------------------------------- recommendations
+
+def _rec_output_cn(t: Tables) -> DataFrame:
+    return rel.rec_output(t, _audience(t, "cn"))
+
+
+@register("missing_audience")
+def q_missing_audience(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    return recm.missing_audience(_audience(t, "cn"), _rec_output_cn(t))
+
+
+@register("fill_missing_recommendations")
+def q_fill_missing_recommendations(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    return recm.fill_missing_recommendations(_rec_output_cn(t), _audience(t, "cn"))
+
+
+@register("fill_missing_counts")
+def q_fill_missing_counts(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    out, audience = _rec_output_cn(t), _audience(t, "cn")
+    merged = recm.fill_missing_recommendations(out, audience)
+    return recm.fill_missing_counts(out, audience, merged)
+
+
+def _recs_union(t: Tables, grouped: DataFrame) -> DataFrame:
+    return recm.recommendations_union(rel.version_output(t, grouped, "Female"), rel.version_output(t, grouped, "Male"))
+
+
+@register("recommendations_union")
+def q_recommendations_union(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    return _recs_union(t, _grouped(t, "hk"))
+
+
+# --------------------------------------------------------------------------- blast
+
+def _blast_base(t: Tables, region: str = "hk", grouped: DataFrame | None = None) -> DataFrame:
+    grouped = _grouped(t, region) if grouped is None else grouped
+    return bl.blast_base(_recs_union(t, grouped), grouped, BLAST_DATE)
+
+
+def _seeded(t: Tables, region: str = "hk") -> DataFrame:
+    return bl.blast_with_seeds(_blast_base(t, region), SEED_IDS, SEED_SALT)
+
+
+def _tagged(t: Tables, region: str = "hk") -> DataFrame:
+    return bl.utm_tags(_seeded(t, region), BLAST_DATE)
+
+
+def _region_list(t: Tables, region: str = "hk") -> DataFrame:
+    return bl.region_list(_blast_base(t, region), BLAST_DATE, SEED_IDS, SEED_SALT)
+
+
+@register("blast_base")
+def q_blast_base(spark, sf_dir):
+    return _blast_base(Tables(spark, sf_dir))
+
+
+@register("blast_with_seeds")
+def q_blast_with_seeds(spark, sf_dir):
+    return _seeded(Tables(spark, sf_dir))
+
+
+@register("utm_tags")
+def q_utm_tags(spark, sf_dir):
+    return _tagged(Tables(spark, sf_dir))
+
+
+@register("slot_quality_ok")
+def q_slot_quality_ok(spark, sf_dir):
+    return bl.slot_quality_ok(_tagged(Tables(spark, sf_dir)))
+
+
+@register("slot_quality_rejects")
+def q_slot_quality_rejects(spark, sf_dir):
+    return bl.slot_quality_rejects(_tagged(Tables(spark, sf_dir)))
+
+
+@register("top_brands")
+def q_top_brands(spark, sf_dir):
+    return _region_list(Tables(spark, sf_dir))
+
+
+@register("append_blast_history")
+def q_append_blast_history(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    return bl.history_rows({"hk": _region_list(t, "hk"), "cn": _region_list(t, "cn")})
+
+
+# --------------------------------------------------------------------------- feeds + funnel
+
+@register("product_recommendation")
+def q_product_recommendation(spark, sf_dir):
+    return feeds.product_recommendation(_region_list(Tables(spark, sf_dir)), RUN_DATE)
+
+
+@register("products")
+def q_products(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    return feeds.products(_region_list(t), rel.item_master_partial(t), RUN_DATE)
+
+
+@register("campaign_personalization")
+def q_campaign_personalization(spark, sf_dir):
+    return feeds.campaign_personalization(_region_list(Tables(spark, sf_dir)), RUN_DATE)
+
+
+@register("blast_funnel")
+def q_blast_funnel(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    grouped = _grouped(t, "hk")
+    personalization = feeds.campaign_personalization(_region_list(t), RUN_DATE)
+    return funnel.blast_funnel(grouped, _recs_union(t, grouped), personalization)
+
+
+# --------------------------------------------------------------------------- registry + config
+
+def _registry_before(t: Tables) -> DataFrame:
+    frames = []
+    for region in ("hk", "cn"):
+        versions = reg.audience_versions(_grouped(t, region), PREVIOUS_BLAST_DATE, region)
+        frames.append(reg.registry_rows(reg.customization_id(region), reg.campaign_id(PREVIOUS_BLAST_DATE, region),
+                                        versions.select("audience_id")))
+    return frames[0].unionByName(frames[1])
+
+
+def _registry_after(t: Tables) -> DataFrame:
+    versions = reg.audience_versions(_grouped(t, "hk"), BLAST_DATE, "hk")
+    return reg.customization_replace(_registry_before(t), reg.customization_id("hk"), reg.campaign_id(BLAST_DATE, "hk"),
+                                     versions.select("audience_id"))
+
+
+@register("customization_replace")
+def q_customization_replace(spark, sf_dir):
+    return _registry_after(Tables(spark, sf_dir))
+
+
+@register("customization_lookup")
+def q_customization_lookup(spark, sf_dir):
+    return reg.customization_lookup(_registry_after(Tables(spark, sf_dir)), reg.customization_id("hk"))
+
+
+@register("campaign_version_table")
+def q_campaign_version_table(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    return reg.campaign_version_table(reg.audience_versions(_grouped(t, "hk"), BLAST_DATE, "hk"), "hk")

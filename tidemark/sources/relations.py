@@ -147,7 +147,8 @@ def child_sku(t: Tables) -> DataFrame:
 
 
 def inventory(t: Tables) -> DataFrame:
-    return child_sku(t).select(F.concat(F.col("sku_id"), F.lit(","), _sites()).alias("inventory_id"))
+    per_site = child_sku(t).select("sku_id", _sites().alias("_site"))
+    return per_site.select(F.concat(F.col("sku_id"), F.lit(","), F.col("_site")).alias("inventory_id"))
 
 
 # --------------------------------------------------------------------------- recommendations
