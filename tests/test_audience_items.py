@@ -1,0 +1,121 @@
+import datetime as dt
+
+import pytest
+
+from tidemark.operators import audience as aud
+from tidemark.operators import items
+from tests.conftest import rows
+
+SNAP = ("vip_no string, status string, cust_type string, country_of_residence string, gender string, email string, "
+        "promotion_edm_flg string, card_type string, pref_lang string, customer_name_shortened_chi string")
+
+
+def _snapshot(spark):
+    return spark.createDataFrame([
+        ("1", "Active", "Hong Kong", "HK", "Male", "a@x", "Y", "gold", "EN", "n1"),
+        ("2", "Active", "China", None, None, None, "N", "silver", "TC", "n2"),
+        ("3", "Inactive", "China", "CN", "Female", "c@x", "Y", "silver", "TC", "n3"),
+        ("4", "Active", "Staff", "US", "Female", "d@x", "Y", "silver", "TC", "n4"),
+        ("5", "Active", "Overseas", "US", "Other", "e@x", "Y", "silver", "TC", "n5"),
+        ("6", "Active", "Overseas", "CN", "Female", "f@x", "Y", "silver", "TC", "n6"),
+    ], SNAP)
+
+
+def test_active_reachable_audience(spark):
+    reach = spark.createDataFrame([("1",), ("1",), ("2",), ("3",), ("4",), ("5",)], "vip_no string")
+    out = aud.active_reachable_audience(_snapshot(spark), reach)
+    # 3 inactive, 4 staff, 6 unreachable; duplicate reachable row collapses
+    assert rows(out, "vip_no", "country_of_residence") == [("1", "HK"), ("2", "Others"), ("5", "Others")]
+
+
+def _voucher(spark, data):
+    return spark.createDataFrame(data, "vip_no string, collect_start_date string, region string")
+
+
+def test_voucher_audience_global_latest(spark):
+    audience = aud.active_reachable_audience(_snapshot(spark), spark.createDataFrame(
+        [(str(i),) for i in range(1, 7)], "vip_no string"))
+    v = _voucher(spark, [("1", "20230101", "HKG"), ("2", "20240101", "BJG"), ("5", "20240101", "SHG"),
+                         ("6", "2024XX01", "HKG")])
+    # the latest date exists only for the CN regions: the HK audience is empty
+    assert aud.voucher_audience(audience, v, "hk").count() == 0
+    assert rows(aud.voucher_audience(audience, v, "cn"), "vip_no") == [("2",), ("5",)]
+    v2 = _voucher(spark, [("1", "20240101", "HKG"), ("1", "20240101", "HKG"), ("2", "20240101", "CHD")])
+    assert rows(aud.voucher_audience(audience, v2, "HK"), "vip_no") == [("1",)]
+
+
+def test_audience_grouped_gender(spark):
+    df = spark.createDataFrame([("1", "Male"), ("2", "Female"), ("3", None), ("4", "Other")],
+                               "vip_no string, gender string")
+    assert rows(aud.audience_grouped(df), "vip_no", "group") == [("1", "Male"), ("2", "Female"), ("3", "Female"),
+                                                                 ("4", "Female")]
+    ids = aud.audience_ids_by_group(aud.audience_grouped(df.unionByName(df)))
+    assert ids.count() == 4
+    assert rows(aud.audience_ids_of_group(aud.audience_grouped(df), "Male")) == [("1",)]
+
+
+def test_audience_filter_table(spark):
+    f = aud.audience_filter_table(spark)
+    assert f.where("region='hk' and `group`='male' and attribute='nationality'").count() == 2
+    assert f.where("region='row'").count() == 0
+    members = spark.createDataFrame([("1", "Male", "HKC", "Y"), ("2", "Female", "ML", "Y"), ("3", "Female", "HKL", "X")],
+                                    "vip_no string, `group` string, nationality string, email_valid_flg string")
+    assert rows(aud.apply_audience_filter(members, f, "hk"), "vip_no") == [("1",)]
+    assert rows(aud.apply_audience_filter(members, f, "cn"), "vip_no") == [("2",)]
+    with pytest.raises(KeyError):
+        aud.apply_audience_filter(members, f, "row")
+
+
+AS_OF = dt.date(2024, 3, 1)
+ITEM = ("atg_code string, bu_desc string, class_desc string, subclass_desc string, category_desc string, "
+        "prod_desc_eng string, prod_desc_tc string, brand_desc string")
+
+
+def _catalog(spark):
+    d = lambda n: AS_OF - dt.timedelta(days=n)
+    item = spark.createDataFrame([
+        ("A00001", "HL", "Apparel", "General", "Core", "a", "ta", "b"),
+        ("B00002", "HL", "Apparel", "General", "Core", "b", "tb", "b"),
+        ("C00003", None, "Apparel", "General", "Core", "c", "tc", "b"),
+        ("D00004", "WW", None, "General", "Core", "d", "td", "b"),
+        ("E00005", "WW", "Fitness", "General", "Core", "e", "te", "b"),
+        ("F00006", "WW", "Apparel", "Briefs", "Core", "f", "tf", "b"),
+        ("G00007", "WW", "Decorative Accessories", "General", "Core", "g", "tg", "b"),
+        ("H00008", "WW", "Apparel", "General", "Swimwear", "h", "th", "b"),
+    ], ITEM)
+    ages = {"A00001": 20, "B00002": 19, "C00003": 5, "D00004": 1, "E00005": 1, "F00006": 1, "G00007": 1, "H00008": 2}
+    pub = spark.createDataFrame([(c, s, 2) for c in ages for s in ("zh_HK", "zh_CN")] + [("H00008", "zh_HK", 1)],
+                                "id string, site_id string, publication_status int")
+    start = spark.createDataFrame([(c, s, d(a)) for c, a in ages.items() for s in ("zh_HK", "zh_CN")],
+                                  "id string, site_id string, start_date date")
+    sku = spark.createDataFrame([("B00002", "B00002-0"), ("B00002", "B00002-1"), ("C00003", "C00003-0")],
+                                "product_id string, sku_id string")
+    inv = spark.createDataFrame([(s + "," + site,) for s in ("B00002-0", "B00002-1", "C00003-0")
+                                 for site in ("zh_HK", "zh_CN")], "inventory_id string")
+    return pub, start, sku, inv, item
+
+
+def test_new_in_candidates_and_list(spark):
+    pub, start, sku, inv, item = _catalog(spark)
+    cand = items.new_in_candidates(pub, start, sku, inv, item, "hk", AS_OF)
+    # A is exactly 20 days old (strict), D has NULL class, G is an excluded class; B has two skus (fan-out)
+    assert rows(cand, "atg_code") == [("B00002",), ("B00002",), ("C00003",), ("E00005",), ("F00006",), ("H00008",)]
+    listed = items.new_in_list(cand, item)
+    assert rows(listed, "atg_code") == [("B00002",), ("C00003",)]
+    direct = items.new_in_list_direct(pub, start, item, "hk", AS_OF)
+    assert rows(direct) == rows(listed)
+    final = items.new_in_list_final(direct, AS_OF)
+    assert rows(final, "atg_code") == [("B00002",)]   # NULL business unit dropped
+
+
+def test_new_in_final_recency(spark):
+    d = lambda n: AS_OF - dt.timedelta(days=n)
+    lst = spark.createDataFrame([("x1", "HL", d(90)), ("x2", "WW", d(60)), ("x3", "WW", d(61)), ("x4", "COS", d(91)),
+                                 ("x5", None, d(0)), ("x6", "JWY", d(61))],
+                                "atg_code string, bu_desc string, start_date date")
+    assert rows(items.new_in_list_final(lst, AS_OF), "atg_code") == [("x1",), ("x2",), ("x6",)]
+
+
+@pytest.mark.parametrize("region,site", [("hk", "zh_HK"), ("cn", "zh_CN"), ("Cn", "zh_CN")])
+def test_site_of_region(region, site):
+    assert items.site_of_region(region) == site

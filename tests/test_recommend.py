@@ -1,0 +1,70 @@
+import random
+
+from pyspark.sql import Window, functions as F
+
+from tidemark.functions import with_dense_index
+from tidemark.operators.recommend import (fill_missing_counts, fill_missing_recommendations, missing_audience,
+                                          recommendations_union)
+from tests.conftest import rows
+
+OUT = "vip_no string, atg_code_1 string, atg_code_8 string"
+
+
+def _output(spark, ids):
+    return spark.createDataFrame([(v, f"{v}-c1", f"{v}-c8") for v in ids], OUT)
+
+
+def _aud(spark, ids):
+    return spark.createDataFrame([(v,) for v in ids], "vip_no string")
+
+
+def test_dense_index_equals_row_number(spark):
+    rnd = random.Random(3)
+    keys = rnd.sample(range(10 ** 6), 3000)
+    df = spark.createDataFrame([(f"{k:07d}", k % 7) for k in keys], "k string, v int")
+    got = rows(with_dense_index(df, ["k"], "i", num_partitions=7), "k", "i")
+    want = rows(df.withColumn("i", F.row_number().over(Window.orderBy("k"))), "k", "i")
+    assert got == want
+
+
+def test_dense_index_plan_has_no_single_partition_data_exchange(spark):
+    df = spark.range(5000).withColumn("k", F.format_string("%06d", "id"))
+    plan = with_dense_index(df, ["k"], "i", num_partitions=8)._jdf.queryExecution().executedPlan().toString()
+    # the only single-partition step is the running sum over one count per partition
+    for block in plan.split("Exchange SinglePartition")[1:]:
+        assert "_idx_part" in block.splitlines()[1] or "_idx_part" in block[:600]
+
+
+def test_fill_more_missing_than_donors(spark):
+    out = _output(spark, ["o1", "o2", "o3"])
+    audience = _aud(spark, ["a1", "a2", "a2", "o1", "a3", "a4", "a5"])
+    assert rows(missing_audience(audience, out)) == [("a1",), ("a2",), ("a2",), ("a3",), ("a4",), ("a5",)]
+    merged = fill_missing_recommendations(out, audience)
+    assert rows(merged) == sorted([("o1", "o1-c1", "o1-c8"), ("o2", "o2-c1", "o2-c8"), ("o3", "o3-c1", "o3-c8"),
+                                   ("a1", "o1-c1", "o1-c8"), ("a2", "o2-c1", "o2-c8"), ("a2", "o3-c1", "o3-c8")],
+                                  key=repr)
+    cycled = fill_missing_recommendations(out, audience, cycle=True)
+    assert cycled.count() == 9
+    assert rows(cycled.where("vip_no = 'a5'")) == [("a5", "o3-c1", "o3-c8")]
+    counts = fill_missing_counts(out, audience, merged).collect()[0].asDict()
+    assert counts == {"output_ids": 3, "audience_ids": 6, "missing_rows": 6, "merged_ids": 5}
+
+
+def test_fill_no_missing_and_empty_output(spark):
+    out = _output(spark, ["o1", "o2"])
+    assert rows(fill_missing_recommendations(out, _aud(spark, ["o1"]))) == rows(out)
+    empty = spark.createDataFrame([], OUT)
+    assert fill_missing_recommendations(empty, _aud(spark, ["a1"])).count() == 0
+
+
+def test_fill_merged_covers_audience_when_donors_suffice(spark):
+    out = _output(spark, [f"o{i:03d}" for i in range(50)])
+    audience = _aud(spark, [f"o{i:03d}" for i in range(0, 50, 2)] + [f"m{i:03d}" for i in range(30)])
+    merged = fill_missing_recommendations(out, audience)
+    merged_ids = {r[0] for r in merged.select("vip_no").collect()}
+    assert {r[0] for r in audience.collect()} <= merged_ids
+
+
+def test_recommendations_union(spark):
+    a, b = _output(spark, ["x"]), _output(spark, ["y"]).select("atg_code_8", "vip_no", "atg_code_1")
+    assert rows(recommendations_union(a, b), "vip_no") == [("x",), ("y",)]

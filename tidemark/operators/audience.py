@@ -99,11 +99,12 @@ def apply_audience_filter(members: DataFrame, filters: DataFrame, region: str,
     group, a bound fixed by the config, not the data), so it is broadcast into
     semi joins.
     """
+    if region.lower() not in NATIONALITIES:
+        # the configuration has no entry for this region (the reference's lookup fails too, D21)
+        raise KeyError(f"no audience filter configured for region '{region}'")
     f = filters.where(F.col("region") == region.lower())
     out = members.withColumn("_grp", F.lower(F.col("group")))
     for attribute in attributes:
-        if attribute == "nationality" and region.lower() not in NATIONALITIES:
-            continue  # no nationality filter configured for this region
         allowed = f.where(F.col("attribute") == attribute).select(F.col("group").alias("_grp"),
                                                                    F.col("value").alias("_val"))
         out = out.join(F.broadcast(allowed), (out["_grp"] == allowed["_grp"]) & (out[attribute] == allowed["_val"]),

@@ -24,13 +24,17 @@ def fill_missing_recommendations(output: DataFrame, audience: DataFrame, cycle:
     (``(i - 1) % donors + 1``) so every missing id is filled.
     """
     require_columns(output, ["vip_no"], "recommendation output")
-    missing = with_dense_index(missing_audience(audience, output), ["vip_no"], "_i")
+    # The output is numbered once and pinned (checkpoint); the union, the
+    # anti join and the donor side all read that copy instead of recomputing
+    # the recommender output three times.
     donors = with_dense_index(output, ["vip_no"], "_i")
+    current = donors.drop("_i")
+    missing = with_dense_index(missing_audience(audience, current), ["vip_no"], "_i")
     if cycle:
         n_donors = donors.select(F.max("_i")).scalar()
         missing = missing.withColumn("_i", (F.col("_i") - 1) % n_donors + 1)
     supplement = missing.join(donors.drop("vip_no"), "_i", "inner").select(*output.columns)
-    return output.unionByName(supplement)
+    return current.select(*output.columns).unionByName(supplement)
 
 
 def fill_missing_counts(output: DataFrame, audience: DataFrame, merged: DataFrame) -> DataFrame:
