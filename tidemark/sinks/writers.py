@@ -71,3 +71,23 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
 def write_feed(df: DataFrame, path: str, sort_cols=None) -> None:
     """K4 for export feeds; ``sort_cols`` gives a globally ordered (range-partitioned) export."""
     write_csv(df.orderBy(*sort_cols) if sort_cols else df, path)
+
+
+def feed_name(kind: str, blast_date: str, region: str) -> str:
+    """File name of an export feed: ``<kind>_fprp_notification_<yyyyMMdd>_<region>.upsert.csv``."""
+    return f"{kind}_fprp_notification_{blast_date}_{region}.upsert.csv"
+
+
+def write_blast_exports(feeds: dict, base_dir: str, blast_date: str, region: str) -> dict:
+    """K4: the three export feeds of one region as CSV folders named like the upload files.
+
+    ``feeds`` maps kind (campaign_personalization, products,
+    product_recommendation) to its DataFrame; product_recommendation is
+    written in (customer_id, display_id) order.
+    """
+    paths = {}
+    for kind, df in feeds.items():
+        path = f"{base_dir.rstrip('/')}/{feed_name(kind, blast_date, region)}"
+        write_feed(df, path, ["customer_id", "display_id"] if kind == "product_recommendation" else None)
+        paths[kind] = path
+    return paths

@@ -15,6 +15,7 @@ import datetime as _dt
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
+from tidemark.functions.joins import date_window_join
 from tidemark.sources.tables import read_table
 
 # Fixed values of the test fixtures.
@@ -243,12 +244,18 @@ def campaign_contact(t: Tables, details: DataFrame, blast_list: DataFrame) -> Da
 
 
 def campaign_response(t: Tables, details: DataFrame, contact: DataFrame, days: int = RESPONSE_DAYS) -> DataFrame:
+    """Email events of contacted members in ``[date_sent, date_sent + days)``.
+
+    ``date_sent`` is a date (midnight), so the half-open timestamp window is
+    the closed day window ``[date_sent, date_sent + days - 1]`` on the event
+    day, which the bucketed window join evaluates without pairing every event
+    of a member with every campaign of that member.
+    """
     e = t.events.where(F.col("event_type").isin("view", "click", "error"))
-    ck = contact.join(details, contact.campaign_id == details.id, "inner").select("campaign_id", "vip_no", "date_sent")
-    # Equi on the member, residual window [date_sent, date_sent + days) on the event time.
-    ev = e.select(_vip("user_id").alias("vip_no"), "ts", "event_type")
-    j = ck.join(ev, "vip_no", "inner").where(
-        (F.col("ts") >= F.col("date_sent")) & (F.col("ts") < F.date_add(F.col("date_sent"), days)))
+    ck = contact.join(details, contact.campaign_id == details.id, "inner").select(
+        "campaign_id", "vip_no", F.col("date_sent").cast("date").alias("date_sent"))
+    ev = e.select(_vip("user_id").alias("vip_no"), F.col("ts").cast("date").alias("_event_day"), "event_type")
+    j = date_window_join(ev, ck, ["vip_no"], "_event_day", "date_sent", days - 1)
     source = (F.when(F.col("event_type") == "view", "mo").when(F.col("event_type") == "click", "click")
               .otherwise(F.col("event_type")))
     return j.select(F.col("campaign_id").alias("id"), "vip_no", source.alias("source"))

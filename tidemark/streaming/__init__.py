@@ -1,0 +1,13 @@
+"""Structured Streaming forms of the reference's batch steps.
+
+The reference has no streams; the one step that is naturally incremental is
+the blast-history append (P21): each run drops its region lists and they are
+added to the history.  ``stream_blast_history`` does that with a file source
+and the exactly-once Parquet file sink, so re-running a trigger never
+duplicates a run (the batch sink reaches the same with dynamic partition
+overwrite).
+"""
+
+from tidemark.streaming.history import stream_blast_history
+
+__all__ = ["stream_blast_history"]

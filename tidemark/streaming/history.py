@@ -1,0 +1,34 @@
+"""P21 as a stream: region lists -> blast history, exactly once."""
+
+from __future__ import annotations
+
+from pyspark.sql import SparkSession
+from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
+
+from tidemark.session import ensure_checkpoint_dir
+
+
+def stream_blast_history(spark: SparkSession, lists_dir: str, history_path: str, schema: StructType,
+                         checkpoint_location: str | None = None, available_now: bool = True) -> StreamingQuery:
+    """Append every new region-list file under ``lists_dir`` to ``history_path``.
+
+    * Source: Parquet files with ``schema`` (streams need a fixed schema);
+      each file is read once, tracked in the query's checkpoint.
+    * Sink: the Parquet file sink partitioned by (region, blast_date); its
+      commit log makes every micro-batch land exactly once, also when a
+      trigger is retried after an executor or driver failure.
+    * The checkpoint lives under the shared ``spark.checkpoint.dir`` unless a
+      location is given.
+    * ``available_now`` processes what has arrived and stops (a scheduled
+      run); otherwise the query keeps running.
+
+    Readers see the history through the sink's metadata log, so this path is
+    written by the stream only (use the batch sink for ad hoc runs elsewhere).
+    """
+    location = checkpoint_location or f"{ensure_checkpoint_dir(spark).rstrip('/')}/streams/blast_history"
+    source = spark.readStream.schema(schema).parquet(lists_dir)
+    writer = (source.writeStream.format("parquet").option("path", history_path)
+              .option("checkpointLocation", location).partitionBy("region", "blast_date").outputMode("append"))
+    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
+    return writer.start()
