@@ -42,7 +42,7 @@ def blast_base(recs: DataFrame, audience: DataFrame, blast_date, campaign_id: st
         F.lit(campaign_id).alias("campaign_id"))
 
 
-def blast_with_seeds(df: DataFrame, seed_ids=("testJoyce_gold", "testEugene_gold"), salt: str = "seed") -> DataFrame:
+def blast_with_seeds(df: DataFrame, seed_ids=("testSeedA_gold", "testSeedB_gold"), salt: str = "seed") -> DataFrame:
     """Copy ``len(seed_ids)`` rows under test ids with a blank email and append them.
 
     The rows are the first ones by ``md5(salt || vip_no)`` (a salted,
@@ -104,7 +104,7 @@ def top_brands(df: DataFrame, k: int = TOP_BRANDS) -> DataFrame:
     return df
 
 
-def region_list(base: DataFrame, blast_date, seed_ids=("testJoyce_gold", "testEugene_gold"),
+def region_list(base: DataFrame, blast_date, seed_ids=("testSeedA_gold", "testSeedB_gold"),
                 salt: str = "seed") -> DataFrame:
     """P13-P16 chained in the reference's order: seeds, utm tags, slot check, top brands."""
     return top_brands(slot_quality_ok(utm_tags(blast_with_seeds(base, seed_ids, salt), blast_date)))

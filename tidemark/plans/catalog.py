@@ -22,7 +22,7 @@ from tidemark.sources.relations import Tables
 ITEMS_AS_OF = rel.ITEMS_AS_OF            # catalogue date the item fixtures are aged against
 BLAST_DATE = _dt.date(2024, 1, 10)       # blast date of the assembled blast (day after the run)
 RUN_DATE = _dt.date(2024, 1, 9)          # created_date of the export feeds
-SEED_IDS = ("testJoyce_gold", "testEugene_gold")
+SEED_IDS = ("testSeedA_gold", "testSeedB_gold")
 SEED_SALT = "seed-2024"
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}

@@ -90,7 +90,7 @@ def lookup_campaign(spark: SparkSession, registry: DataFrame, region: str) -> tu
 
 def run_blast(spark: SparkSession, registry: DataFrame, load_version: Callable[[str, str], DataFrame],
               load_audience: Callable[[str], DataFrame], item_master: DataFrame, out_dir: str, history_path: str,
-              run_date, test: bool = False, regions=REGIONS, seed_ids=("testJoyce_gold", "testEugene_gold"),
+              run_date, test: bool = False, regions=REGIONS, seed_ids=("testSeedA_gold", "testSeedB_gold"),
               salt: str = "seed") -> dict:
     """Blast run.
 
