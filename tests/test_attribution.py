@@ -95,3 +95,25 @@ def test_lineitem_attribution_brute_force(spark):
     out = lineitem_attribution(lines, orders, blasts)
     # order 2 is on day 8 of the January blast: outside; order 4 on day 7 of February: inside
     assert rows(out) == [(dt.date(2000, 1, 1), 1, 7), (dt.date(2000, 2, 1), 1, 8)]
+
+
+def test_window_join_spreads_a_hot_member(spark):
+    """A member holding most facts and windows is split over time buckets, not sent to one task."""
+    base = dt.date(2024, 1, 1)
+    facts = [("hot", base + dt.timedelta(days=i % 360), i) for i in range(3000)] + [("cold", base, -1)]
+    wins = [("hot", base + dt.timedelta(days=7 * w), w) for w in range(50)]
+    left = spark.createDataFrame(facts, "k string, d date, fid int")
+    right = spark.createDataFrame(wins, "k string, start date, wid int")
+    keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold",
+            "spark.sql.adaptive.coalescePartitions.enabled")
+    for k, v in zip(keys, ("-1", "-1", "false")):
+        spark.conf.set(k, v)
+    try:
+        joined = date_window_join(left, right, ["k"], "d", "start", 7)
+        per_task = joined.groupBy(F.spark_partition_id().alias("p")).count().collect()
+    finally:
+        for k in keys:
+            spark.conf.unset(k)
+    assert len(per_task) > 1
+    total = sum(r["count"] for r in per_task)
+    assert max(r["count"] for r in per_task) < total

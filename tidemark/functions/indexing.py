@@ -26,7 +26,9 @@ def with_dense_index(df: DataFrame, order_cols: list[str], index_col: str = "ind
     spark = df.sparkSession
     n = int(num_partitions or spark.conf.get("spark.sql.shuffle.partitions"))
     sort_cols = list(order_cols) + [c for c in df.columns if c not in order_cols]
-    ranged = df.repartitionByRange(n, *order_cols).sortWithinPartitions(*sort_cols)
+    # range bounds over the full order: a key with many distinct rows can be
+    # split across partitions (only identical rows must share one)
+    ranged = df.repartitionByRange(n, *sort_cols).sortWithinPartitions(*sort_cols)
     mid = F.monotonically_increasing_id()
     numbered = ranged.select(
         "*",

@@ -75,22 +75,28 @@ def individual_email_response(details: DataFrame, contact: DataFrame, response:
     are excluded.  ``blast_region`` is the fifth ``_`` token of the name
     (``region_upper=True`` upper-cases it for lower-case names, D19).
     """
-    dl = details.where(F.lower(F.col("name")).like(f"%{keyword}%") & (F.col("campaign_category") == category))
-    ct = contact.where(~F.col("vip_no").like("%test%"))
-    j = (dl.join(ct, dl.id == ct.campaign_id, "inner")
-         .join(response, (response.id == dl.id) & (response.vip_no == ct.vip_no), "inner"))
-    region = F.split_part(dl.name, F.lit("_"), F.lit(5))
+    dl = details.where(F.lower(F.col("name")).like(f"%{keyword}%") & (F.col("campaign_category") == category)) \
+        .select("id", "name", "date_sent").alias("DL")
+    ct = contact.where(~F.col("vip_no").like("%test%")).select("campaign_id", "vip_no").alias("CT")
+    rs = response.select("id", "vip_no", "source").alias("RS")
+    # Contacts meet responses first on (campaign, member), a key with one
+    # value per member; the campaign table (a few rows per campaign, filtered)
+    # joins last.  Joining on the campaign id first would make a shuffle key
+    # with one value per campaign, i.e. one task per campaign.
+    j = (ct.join(rs, (F.col("RS.id") == F.col("CT.campaign_id")) & (F.col("RS.vip_no") == F.col("CT.vip_no")), "inner")
+         .join(dl, F.col("DL.id") == F.col("CT.campaign_id"), "inner"))
+    region = F.split_part(F.col("DL.name"), F.lit("_"), F.lit(5))
     if region_upper:
         region = F.upper(region)
     return j.select(
-        dl.id.alias("campaign_id"),
-        dl.name.alias("campaign_name"),
-        dl.date_sent.cast("date").alias("blast_date"),
+        F.col("DL.id").alias("campaign_id"),
+        F.col("DL.name").alias("campaign_name"),
+        F.col("DL.date_sent").cast("date").alias("blast_date"),
         region.alias("blast_region"),
-        ct.vip_no.alias("vip_no"),
-        F.when(ct.vip_no.isNotNull(), 1).otherwise(0).alias("send"),
-        F.when(response.source == "mo", 1).otherwise(0).alias("open"),
-        F.when(response.source == "click", 1).otherwise(0).alias("click"),
+        F.col("CT.vip_no").alias("vip_no"),
+        F.when(F.col("CT.vip_no").isNotNull(), 1).otherwise(0).alias("send"),
+        F.when(F.col("RS.source") == "mo", 1).otherwise(0).alias("open"),
+        F.when(F.col("RS.source") == "click", 1).otherwise(0).alias("click"),
     ).distinct()
 
 
