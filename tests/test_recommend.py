@@ -3,7 +3,7 @@ import random
 from pyspark.sql import Window, functions as F
 
 from tidemark.functions import with_dense_index
-from tidemark.operators.recommend import (fill_missing_counts, fill_missing_recommendations, missing_audience,
+from tidemark.operators.recommend import (backfill, fill_missing_counts, fill_missing_recommendations, missing_audience,
                                           recommendations_union)
 from tests.conftest import rows
 
@@ -68,3 +68,11 @@ def test_fill_merged_covers_audience_when_donors_suffice(spark):
 def test_recommendations_union(spark):
     a, b = _output(spark, ["x"]), _output(spark, ["y"]).select("atg_code_8", "vip_no", "atg_code_1")
     assert rows(recommendations_union(a, b), "vip_no") == [("x",), ("y",)]
+
+
+def test_backfill_counts_equal_separate_counts(spark):
+    out = _output(spark, ["o1", "o2", "o3"])
+    audience = _aud(spark, ["a1", "a2", "a2", "o1", "a3"])
+    merged, counts = backfill(out, audience)
+    assert rows(merged) == rows(fill_missing_recommendations(out, audience))
+    assert rows(counts) == rows(fill_missing_counts(out, audience, merged))

@@ -14,6 +14,22 @@ def missing_audience(audience: DataFrame, output: DataFrame) -> DataFrame:
     return audience.select("vip_no").join(output.select("vip_no"), "vip_no", "left_anti")
 
 
+def _backfill_parts(output: DataFrame, audience: DataFrame, cycle: bool):
+    require_columns(output, ["vip_no"], "recommendation output")
+    # The output is numbered once and pinned (checkpoint); the union, the
+    # anti join and the donor side all read that copy instead of recomputing
+    # the recommender output three times.
+    donors = with_dense_index(output, ["vip_no"], "_i")
+    current = donors.drop("_i").select(*output.columns)
+    missing = missing_audience(audience, current)
+    numbered = with_dense_index(missing, ["vip_no"], "_i")
+    if cycle:
+        n_donors = donors.select(F.max("_i")).scalar()
+        numbered = numbered.withColumn("_i", (F.col("_i") - 1) % n_donors + 1)
+    supplement = numbered.join(donors.drop("vip_no"), "_i", "inner").select(*output.columns)
+    return current, numbered.drop("_i"), current.unionByName(supplement)
+
+
 def fill_missing_recommendations(output: DataFrame, audience: DataFrame, cycle: bool = False) -> DataFrame:
     """Give each missing audience id the recommendation of a donor row and append.
 
@@ -23,18 +39,13 @@ def fill_missing_recommendations(output: DataFrame, audience: DataFrame, cycle:
     filled, as in the reference; ``cycle=True`` reuses donors round-robin
     (``(i - 1) % donors + 1``) so every missing id is filled.
     """
-    require_columns(output, ["vip_no"], "recommendation output")
-    # The output is numbered once and pinned (checkpoint); the union, the
-    # anti join and the donor side all read that copy instead of recomputing
-    # the recommender output three times.
-    donors = with_dense_index(output, ["vip_no"], "_i")
-    current = donors.drop("_i")
-    missing = with_dense_index(missing_audience(audience, current), ["vip_no"], "_i")
-    if cycle:
-        n_donors = donors.select(F.max("_i")).scalar()
-        missing = missing.withColumn("_i", (F.col("_i") - 1) % n_donors + 1)
-    supplement = missing.join(donors.drop("vip_no"), "_i", "inner").select(*output.columns)
-    return current.select(*output.columns).unionByName(supplement)
+    return _backfill_parts(output, audience, cycle)[2]
+
+
+def backfill(output: DataFrame, audience: DataFrame, cycle: bool = False) -> tuple[DataFrame, DataFrame]:
+    """P9 and P10 together: ``(merged, counts)`` computed from one pinned copy of the output."""
+    current, missing, merged = _backfill_parts(output, audience, cycle)
+    return merged, _counts(current, audience, missing, merged)
 
 
 def fill_missing_counts(output: DataFrame, audience: DataFrame, merged: DataFrame) -> DataFrame:
@@ -42,7 +53,10 @@ def fill_missing_counts(output: DataFrame, audience: DataFrame, merged: DataFram
 
     One aggregation over a tagged union (no cross join of one-row frames).
     """
-    missing = missing_audience(audience, output)
+    return _counts(output, audience, missing_audience(audience, output), merged)
+
+
+def _counts(output: DataFrame, audience: DataFrame, missing: DataFrame, merged: DataFrame) -> DataFrame:
     tagged = reduce(DataFrame.unionByName, [
         output.select(F.lit("output").alias("_src"), "vip_no"),
         audience.select(F.lit("audience").alias("_src"), "vip_no"),

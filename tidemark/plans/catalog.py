@@ -184,9 +184,7 @@ def q_fill_missing_recommendations(spark, sf_dir):
 @register("fill_missing_counts")
 def q_fill_missing_counts(spark, sf_dir):
     t = Tables(spark, sf_dir)
-    out, audience = _rec_output_cn(t), _audience(t, "cn")
-    merged = recm.fill_missing_recommendations(out, audience)
-    return recm.fill_missing_counts(out, audience, merged)
+    return recm.backfill(_rec_output_cn(t), _audience(t, "cn"))[1]
 
 
 def _recs_union(t: Tables, grouped: DataFrame) -> DataFrame:
