@@ -64,19 +64,21 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or configured
 
 
-def cluster_conf(input_bytes: int, total_cores: int, target_partition_bytes: int = 256 << 20) -> dict:
+def cluster_conf(input_bytes: int, total_cores: int, target_partition_bytes: int = 256 << 20,
+                 waves: int = 3) -> dict:
     """Sizing for a cluster run over ``input_bytes`` of Parquet on ``total_cores`` cores.
 
     * ``files.maxPartitionBytes``: 256 MiB scan splits (row groups permitting).
     * ``shuffle.partitions``: enough that a shuffle partition of the largest
       stage stays near ``target_partition_bytes`` even before AQE coalesces
       (AQE merges the small ones, it cannot split a too-large one outside a
-      skewed join), and never fewer than 3x the cores.
+      skewed join), and never fewer than ``waves`` x the cores (3 on a
+      cluster to even out stragglers; 1 on a single machine).
     * skew join split at 5x the median and above 512 MiB.
     * broadcast threshold stays at a fixed 64 MiB: broadcast is decided from
       measured sizes (AQE) and never grows with the data.
     """
-    partitions = max(3 * total_cores, -(-input_bytes // target_partition_bytes))
+    partitions = max(waves * total_cores, -(-input_bytes // target_partition_bytes))
     return {
         "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
         "spark.sql.shuffle.partitions": str(partitions),

@@ -1,9 +1,14 @@
-"""Summarise the executed (AQE final) plan of every registered query.
+"""Summarise the physical plans of every registered query.
 
 Usage: python tools/plan_summary.py [sf_dir] > PLANS.md
-Per query: shuffle exchanges, broadcast exchanges, reused exchanges, scans with
-pushed filters, single-partition exchanges, Python evaluation nodes,
-whole-stage-codegen spans, and the planner's join strategies.
+
+* planned: from the physical plan before adaptive execution (every subtree
+  counted, before exchange reuse): shuffle exchanges, broadcast exchanges,
+  scans and scans with pushed filters, single-partition exchanges and what
+  feeds them, Python evaluation nodes.
+* run: join strategies in the final adaptive plan, and the jobs / stages /
+  tasks that actually ran (from the status tracker; reused shuffle output is
+  not re-run).
 """
 
 from __future__ import annotations
@@ -18,42 +23,68 @@ import __spark_entry__ as E  # noqa: E402
 from tidemark.session import build_session  # noqa: E402
 
 
+def _single_partition_feeders(plan: str) -> list[str]:
+    out = []
+    lines = plan.splitlines()
+    for i, line in enumerate(lines):
+        if "Exchange SinglePartition" in line and i + 1 < len(lines):
+            child = re.sub(r"^[\s:|+\-]*(\*\(\d+\)\s*)?", "", lines[i + 1])
+            m = re.match(r"(\w+)(\(keys=\[[^\]]*\])?", child)
+            label = (m.group(1) + (m.group(2) + ")" if m.group(2) else "")) if m else child[:40]
+            out.append(re.sub(r"#\d+L?", "", label))
+    return out
+
+
 def main() -> None:
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
-    spark = build_session("local[8]", 16)
-    print(f"# Executed plans of the registered queries ({os.path.basename(sf_dir)}, local[8], AQE on)\n")
-    print("Generated by `tools/plan_summary.py`. Counts are taken from the final adaptive plan after the query "
-          "ran; `single-partition` lists what feeds each `SinglePartition` exchange.\n")
-    print("| query | shuffles | broadcasts | reused | scans (with pushed filters) | joins | single-partition | "
-          "python | codegen spans |")
-    print("|---|---|---|---|---|---|---|---|---|")
-    for name, fn in E.queries().items():
+    spark = build_session("local[8]", 8)
+    sc = spark.sparkContext
+    tracker = sc.statusTracker()
+    print(f"# Physical plans of the registered queries ({os.path.basename(sf_dir)}, local[8], AQE on)\n")
+    print("Generated by `tools/plan_summary.py`. *Planned* columns count the physical plan before adaptive "
+          "execution (each subtree counted, before exchange reuse). *Run* columns: join strategies AQE chose "
+          "from measured sizes, and the jobs/stages/tasks that actually ran. `single-partition` names what feeds "
+          "each SinglePartition exchange (global aggregates receive one partial row per task; `_idx_part` is "
+          "the per-partition count of the dense index).\n")
+    print("| query | planned shuffles | planned broadcasts | scans (pushed filters) | single-partition feeders | "
+          "python nodes | run joins | jobs / stages / tasks |")
+    print("|---|---|---|---|---|---|---|---|")
+    for n, (name, fn) in enumerate(E.queries().items()):
+        group = f"plan-{n}"
+        sc.setJobGroup(f"{group}-plan", name)
+        planned = fn(spark, sf_dir)
+        formatted = spark._jvm.PythonSQLUtils.explainString(planned._jdf.queryExecution(), "formatted")
+        ops = re.findall(r"^\((\d+)\) ([A-Za-z]+)", formatted, flags=re.M)
+        body = formatted.split("\n\n")
+        shuffles = sum(1 for b in body if re.match(r"\(\d+\) Exchange\b", b))
+        single = [b for b in body if re.match(r"\(\d+\) Exchange\b", b) and "SinglePartition" in b]
+        broadcasts = sum(1 for _, op in ops if op == "BroadcastExchange")
+        scans = [b for b in body if re.match(r"\(\d+\) Scan parquet", b)]
+        pushed = sum(1 for b in scans if re.search(r"PushedFilters: \[[^\]]+\]", b))
+        python = sum(1 for _, op in ops if op in ("BatchEvalPython", "ArrowEvalPython", "MapInPandas", "MapInArrow",
+                                                  "FlatMapGroupsInPandas"))
+        scans = len(scans)
+        sc.setJobGroup(group, name)   # count only the jobs of one construction + run
         df = fn(spark, sf_dir)
         df.collect()
-        plan = df._jdf.queryExecution().executedPlan().toString()
-        plan = plan.split("== Initial Plan ==")[0]   # AQE prints the final plan, then the initial one
-        shuffles = len(re.findall(r"Exchange (hashpartitioning|rangepartitioning|SinglePartition|RoundRobin)", plan))
-        broadcasts = plan.count("BroadcastExchange")
-        reused = len(re.findall(r"Reused\w*", plan))
-        scans = plan.count("FileScan")
-        pushed = len(re.findall(r"PushedFilters: \[[^\]]+\]", plan))
+        final = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+        initial = spark._jvm.PythonSQLUtils.explainString(planned._jdf.queryExecution(), "simple")
         joins = sorted(set(re.findall(r"(BroadcastHashJoin|SortMergeJoin|ShuffledHashJoin|BroadcastNestedLoopJoin|"
-                                      r"CartesianProduct)", plan)))
-        single = []
-        lines = plan.splitlines()
-        for i, line in enumerate(lines):
-            if "Exchange SinglePartition" in line and i + 1 < len(lines):
-                j = i + 1
-                while j < len(lines) and ("QueryStage" in lines[j] or "AQEShuffleRead" in lines[j]):
-                    j += 1
-                child = re.sub(r"^[\s:|+\-]*(\*\(\d+\)\s*)?", "", lines[j]) if j < len(lines) else "?"
-                m = re.match(r"(\w+)(\(keys=\[[^\]]*\])?", child)
-                single.append((m.group(1) + (m.group(2) + ")" if m.group(2) else "")) if m else child[:40])
-        python = len(re.findall(r"(BatchEvalPython|ArrowEvalPython|MapInPandas|MapInArrow|FlatMapGroupsInPandas)",
-                                plan))
-        codegen = len(re.findall(r"WholeStageCodegen|\*\(\d+\)", plan))
-        print(f"| {name} | {shuffles} | {broadcasts} | {reused} | {scans} ({pushed}) | {', '.join(joins)} | "
-              f"{'; '.join(single) or '-'} | {python} | {codegen} |")
+                                      r"CartesianProduct)", final)))
+        jobs = tracker.getJobIdsForGroup(group)
+        stages = set()
+        for j in jobs:
+            info = tracker.getJobInfo(j)
+            if info:
+                stages.update(info.stageIds)
+        ran = [tracker.getStageInfo(s) for s in stages]
+        ran = [s for s in ran if s is not None and s.numCompletedTasks > 0]
+        tasks = sum(s.numCompletedTasks for s in ran)
+        feeders = "; ".join(sorted(set(_single_partition_feeders(initial)))) or "-"
+        if single and feeders == "-":
+            feeders = f"{len(single)} exchange(s)"
+        print(f"| {name} | {shuffles} | {broadcasts} | {scans} ({pushed}) | {feeders} | {python} | "
+              f"{', '.join(joins)} | {len(jobs)} / {len(ran)} / {tasks} |")
     spark.stop()
 
 
