@@ -36,3 +36,16 @@ def test_fan_out_exact_vs_deduped(spark):
 def test_equal_without_fan_out(spark):
     blasts, revenue, resp = _frames(spark, [("a", D, "HK", 1, 1)])
     assert rows(monthly_kpi(blasts, revenue, resp)) == rows(monthly_kpi_deduped(blasts, revenue, resp))
+
+
+def test_two_channels_same_date_cross_multiply_only_in_exact(spark):
+    # member "a" is in the history twice on one date (EDM and SMS) and bought in both channel rows
+    blasts = spark.createDataFrame([("a", D, "HK", "EDM"), ("a", D, "HK", "SMS")], BL)
+    revenue = spark.createDataFrame([(D, "HK", "EDM", "a", Decimal("10.00"), 1, 1),
+                                     (D, "HK", "SMS", "a", Decimal("30.00"), 2, 1)], REV)
+    resp = spark.createDataFrame([], RESP)
+    exact = {r.blast_channel: r for r in monthly_kpi(blasts, revenue, resp).collect()}
+    dedup = {r.blast_channel: r for r in monthly_kpi_deduped(blasts, revenue, resp).collect()}
+    # exact (D6b): each channel row joins both revenue rows of (vip, date)
+    assert exact["EDM"].campaign_revenue == Decimal("40.00") and exact["SMS"].campaign_revenue == Decimal("40.00")
+    assert dedup["EDM"].campaign_revenue == Decimal("10.00") and dedup["SMS"].campaign_revenue == Decimal("30.00")
