@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import datetime as _dt
-
 from pyspark.sql import DataFrame, Window, functions as F
 
 from tidemark.functions import SLOTS, first_distinct, pack_slots, require_columns, slot_cols, valid_code_count
