@@ -94,3 +94,14 @@ def test_overwrite_from_self_and_csv(spark, scratch):
                          lists)
     assert sorted(os.listdir(lists))[:2] == ["._SUCCESS.crc", "_SUCCESS"] or os.path.isdir(
         os.path.join(lists, "group=Male"))
+
+
+def test_cluster_conf_bounds():
+    from tidemark.session import cluster_conf
+    small = cluster_conf(10 << 20, 8, waves=1)
+    assert small["spark.sql.shuffle.partitions"] == "8"
+    big = cluster_conf(10 * (1 << 40), 4000)          # 10 TiB shuffle on 4000 cores
+    assert big["spark.sql.shuffle.partitions"] == str(40960)
+    huge = cluster_conf(100 * (1 << 40), 8000)
+    assert huge["spark.sql.shuffle.partitions"] == "50000"
+    assert big["spark.sql.autoBroadcastJoinThreshold"] == huge["spark.sql.autoBroadcastJoinThreshold"]

@@ -64,21 +64,26 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or configured
 
 
-def cluster_conf(input_bytes: int, total_cores: int, target_partition_bytes: int = 256 << 20,
-                 waves: int = 3) -> dict:
-    """Sizing for a cluster run over ``input_bytes`` of Parquet on ``total_cores`` cores.
+def cluster_conf(shuffle_bytes: int, total_cores: int, target_partition_bytes: int = 256 << 20,
+                 waves: int = 3, max_partitions: int = 50_000) -> dict:
+    """Sizing for a cluster run whose largest shuffle moves ``shuffle_bytes``.
+
+    ``shuffle_bytes`` is the size of the biggest exchange after column pruning,
+    filters and map-side aggregation (for the attribution and KPI plans about
+    a tenth of the scanned Parquet bytes; read it from a previous run's stage
+    metrics).  Input bytes are the upper bound.
 
     * ``files.maxPartitionBytes``: 256 MiB scan splits (row groups permitting).
-    * ``shuffle.partitions``: enough that a shuffle partition of the largest
-      stage stays near ``target_partition_bytes`` even before AQE coalesces
-      (AQE merges the small ones, it cannot split a too-large one outside a
-      skewed join), and never fewer than ``waves`` x the cores (3 on a
-      cluster to even out stragglers; 1 on a single machine).
-    * skew join split at 5x the median and above 512 MiB.
-    * broadcast threshold stays at a fixed 64 MiB: broadcast is decided from
-      measured sizes (AQE) and never grows with the data.
+    * ``shuffle.partitions``: about ``target_partition_bytes`` per reduce task
+      before AQE coalesces (AQE merges small partitions but only splits large
+      ones inside skewed joins), at least ``waves`` x the cores (3 on a cluster
+      to even out stragglers, 1 on one machine) and at most
+      ``max_partitions`` (map-output tracking grows with maps x reducers).
+    * skew-join split at 5x the median and above 512 MiB.
+    * broadcast threshold fixed at 64 MiB: a side is broadcast only when its
+      measured size is under it, whatever the data volume.
     """
-    partitions = max(waves * total_cores, -(-input_bytes // target_partition_bytes))
+    partitions = min(max_partitions, max(waves * total_cores, -(-shuffle_bytes // target_partition_bytes)))
     return {
         "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
         "spark.sql.shuffle.partitions": str(partitions),
