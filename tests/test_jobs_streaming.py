@@ -21,6 +21,11 @@ def test_jobs_end_to_end(spark, scratch):
     assert camps == {"hk": "lc_fprp_notification_20240110_hk", "cn": "lc_fprp_notification_20240110_cn"}
     registry = spark.read.parquet(registry_path)
     assert registry.count() == 4
+    male_hk = spark.read.parquet(f"{out}/audience/lc_fprp_notification_20240110_hk_male/audience_list")
+    grouped_hk = spark.read.parquet(f"{out}/audience/lc_fprp_notification_{'hk'}.parquet")
+    assert male_hk.count() == grouped_hk.where("`group` = 'Male'").count()
+    assert spark.read.parquet(f"{out}/audience/lc_fprp_notification_20240110_cn_female/filters").count() == 3
+    assert spark.read.parquet(f"{out}/campaign/lc_fprp_notification_20240110_hk/layout").count() == 16
 
     recs = rel.recommendations(t)
 

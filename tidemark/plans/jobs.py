@@ -18,7 +18,7 @@ import datetime as _dt
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.functions.dates import to_pydate
 from tidemark.operators import attribution as att
@@ -56,17 +56,34 @@ def audience_id(blast_date, region: str, group: str) -> str:
 
 
 def prepare_campaign(spark: SparkSession, inputs: CampaignInputs, blast_date, as_of, out_dir: str,
-                     registry_path: str, regions=REGIONS) -> dict:
-    """Day -1 run (audience + item list + configuration + registry), one region at a time."""
+                     registry_path: str, regions=REGIONS, groups=GROUPS) -> dict:
+    """Day -1 run (audience + item list + configuration + registry), one region at a time.
+
+    Layout under ``out_dir``: ``audience/lc_fprp_notification_<region>.parquet``
+    (grouped audience), ``audience/<audience_id>/audience_list`` (ids of one
+    group) and ``audience/<audience_id>/filters`` (P31 rows),
+    ``campaign/<campaign_id>/item_list.csv``, ``.../versions`` (P30) and
+    ``.../layout`` (P29).  The grouped audience is written once and the group
+    lists are cut from the written copy, so the audience plan runs once.
+    """
     out_dir = out_dir.rstrip("/")
     audience0 = aud.active_reachable_audience(inputs.member_snapshot, inputs.member_reachable)
+    filters = aud.audience_filter_table(spark)
+    layouts = reg.layout_slots(reg.layout_grid_table(spark))
     written = {}
     for region in regions:
         camp = reg.campaign_id(blast_date, region)
-        grouped = aud.audience_grouped(aud.voucher_audience(audience0, inputs.voucher_summary, region))
-        sinks.write_parquet(grouped, f"{out_dir}/audience/lc_fprp_notification_{region}.parquet")
-        # one id list per group: group=<Group> folders; the audience id names the group
-        sinks.write_audience_lists(aud.audience_ids_by_group(grouped), f"{out_dir}/audience/{camp}/audience_list")
+        grouped_path = f"{out_dir}/audience/lc_fprp_notification_{region}.parquet"
+        sinks.write_parquet(aud.audience_grouped(aud.voucher_audience(audience0, inputs.voucher_summary, region)),
+                            grouped_path)
+        grouped = spark.read.parquet(grouped_path)
+        for group in groups:
+            aid = audience_id(blast_date, region, group)
+            sinks.write_parquet(aud.audience_ids_of_group(grouped, group.capitalize()),
+                                f"{out_dir}/audience/{aid}/audience_list")
+            if region.lower() in aud.NATIONALITIES:
+                sinks.write_parquet(filters.where((F.col("region") == region.lower()) & (F.col("group") == group)),
+                                    f"{out_dir}/audience/{aid}/filters")
         new_in = items.new_in_list_final(
             items.new_in_list_direct(inputs.publication_status, inputs.item_start_date, inputs.item_master, region,
                                      as_of), as_of)
@@ -74,6 +91,7 @@ def prepare_campaign(spark: SparkSession, inputs: CampaignInputs, blast_date, as
         sinks.write_csv(new_in, item_list)
         versions = reg.audience_versions(grouped, blast_date, region)
         sinks.write_parquet(reg.campaign_version_table(versions, region, item_list), f"{out_dir}/campaign/{camp}/versions")
+        sinks.write_parquet(layouts.where(F.col("region") == region.lower()), f"{out_dir}/campaign/{camp}/layout")
         new_rows = reg.registry_rows(reg.customization_id(region), camp, versions.select("audience_id"))
         sinks.write_registry(new_rows, registry_path)
         written[region] = camp
@@ -91,13 +109,16 @@ def lookup_campaign(spark: SparkSession, registry: DataFrame, region: str) -> tu
 def run_blast(spark: SparkSession, registry: DataFrame, load_version: Callable[[str, str], DataFrame],
               load_audience: Callable[[str], DataFrame], item_master: DataFrame, out_dir: str, history_path: str,
               run_date, test: bool = False, regions=REGIONS, seed_ids=("testSeedA_gold", "testSeedB_gold"),
-              salt: str = "seed") -> dict:
+              salt: str = "seed", store_version: Callable[[str, str, DataFrame], DataFrame] | None = None) -> dict:
     """Blast run.
 
     ``load_version(campaign_id, group)`` returns the recommender output of one
     version, ``load_audience(region)`` the grouped audience written by
-    :func:`prepare_campaign`.  Backfilled outputs are written next to the
-    exports; the region list (used by four outputs) is checkpointed once.
+    :func:`prepare_campaign`.  ``store_version(campaign_id, group, filled)``
+    persists a backfilled output and returns it re-read (default: Parquet
+    under ``out_dir/recommendations``; to replace the recommender's own table
+    in place use :func:`tidemark.sinks.overwrite_from_self`).  The region
+    list, used by five outputs, is checkpointed once.
     """
     ensure_checkpoint_dir(spark)
     out_dir = out_dir.rstrip("/")
@@ -111,9 +132,12 @@ def run_blast(spark: SparkSession, registry: DataFrame, load_version: Callable[[
             output = load_version(camp, group)
             ids = aud.audience_ids_of_group(grouped, group.capitalize())
             filled = recm.fill_missing_recommendations(output, ids)
-            path = f"{out_dir}/recommendations/{camp}/{group}"
-            sinks.write_parquet(filled, path)
-            versions.append(spark.read.parquet(path))
+            if store_version is None:
+                path = f"{out_dir}/recommendations/{camp}/{group}"
+                sinks.write_parquet(filled, path)
+                versions.append(spark.read.parquet(path))
+            else:
+                versions.append(store_version(camp, group, filled))
         recs = recm.recommendations_union(*versions)
         base = bl.blast_base(recs, grouped, blast_date)
         lst = bl.region_list(base, blast_date, seed_ids, salt).checkpoint(eager=True)
