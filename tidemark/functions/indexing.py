@@ -6,9 +6,14 @@ numbered locally from ``monotonically_increasing_id`` (partition id in the high
 bits, position in the low bits).  One row per partition is then counted, the
 running offsets are computed over those few rows, and the offsets are
 broadcast back: that table has at most ``num_partitions`` rows, a bound set
-here, not by the data.  The numbered frame is checkpointed to the shared
-checkpoint folder so both the counting pass and the final pass read the same
-numbering, also after an executor is lost.
+here, not by the data.
+
+The input is pinned first with a reliable checkpoint (shared folder from
+``spark.checkpoint.dir``): its upstream plan then runs once (the range
+partitioner's sampling pass and the shuffle both read the checkpoint), and
+because the pinned input, the sampled bounds and the total sort order are all
+fixed, every recomputation (the counting branch, a retried task after an
+executor loss) produces the same numbering.
 """
 
 from __future__ import annotations
@@ -26,17 +31,16 @@ def with_dense_index(df: DataFrame, order_cols: list[str], index_col: str = "ind
     spark = df.sparkSession
     n = int(num_partitions or spark.conf.get("spark.sql.shuffle.partitions"))
     sort_cols = list(order_cols) + [c for c in df.columns if c not in order_cols]
+    base = df.checkpoint(eager=True) if pin else df
     # range bounds over the full order: a key with many distinct rows can be
     # split across partitions (only identical rows must share one)
-    ranged = df.repartitionByRange(n, *sort_cols).sortWithinPartitions(*sort_cols)
+    ranged = base.repartitionByRange(n, *sort_cols).sortWithinPartitions(*sort_cols)
     mid = F.monotonically_increasing_id()
     numbered = ranged.select(
         "*",
         F.shiftright(mid, _LOW_BITS).alias(_PART),
         (mid.bitwiseAND((1 << _LOW_BITS) - 1) + F.lit(1)).alias(_LOCAL),
     )
-    if pin:
-        numbered = numbered.checkpoint(eager=True)
     counts = numbered.groupBy(_PART).agg(F.count(F.lit(1)).alias("_n"))
     before = Window.orderBy(_PART).rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(_PART, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
