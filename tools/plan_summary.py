@@ -85,8 +85,40 @@ def main() -> None:
             feeders = f"{len(single)} exchange(s)"
         print(f"| {name} | {shuffles} | {broadcasts} | {scans} ({pushed}) | {feeders} | {python} | "
               f"{', '.join(joins)} | {len(jobs)} / {len(ran)} / {tasks} |")
+    print(NOTES)
     spark.stop()
 
 
+NOTES = """
+## Reading the table at 100 TB
+
+* Every join above is a `BroadcastHashJoin` only because sf0.1 inputs are tiny:
+  the planner and AQE broadcast a side when its *measured* size is below the
+  fixed threshold (64 MiB with `cluster_conf`).  At scale the member, order,
+  sales and history sides exceed it and the same plans run as sort-merge joins
+  on the keys below; AQE's skew-join split applies to them.
+* *Planned shuffles* count every subtree; the registered queries compose the
+  whole chain (inputs derived from the base tables) in one plan, so shared
+  inputs appear several times.  Identical exchanges are reused at run time
+  (e.g. `blast_with_seeds`: 25 planned, 19 stages run).  The production jobs
+  (`plans/jobs.py`) write the grouped audience, the backfilled outputs and
+  checkpoint the region list, so each is computed once.
+
+| query family | shuffle keys at scale | hot-key handling | bounded single-task steps |
+|---|---|---|---|
+| blast_list | (vip, date, region, channel) for DISTINCT | partial aggregation | - |
+| individual_campaign_revenue, attribution_lineitem | order_no (redeem multiplicity), (vip, day, order) pre-aggregate, (vip, time bucket) window join, blast keys | bucketed window join spreads a hot member over time; partial sums | - |
+| individual_email_response | (campaign, member) for contact x response; campaign table joins last (small, broadcast when measured small) | composite key | - |
+| monthly_kpi(_deduped) | (vip, date) left joins; count-distinct via Expand on (group keys, vip) | count-distinct keyed by vip, not by the ~8 report groups | final count over one partial row per task |
+| active_reachable_audience, voucher_audience_* | vip_no (join, DISTINCT reuses it; semi join pushed below the DISTINCT) | - | latest voucher date: one partial max per task |
+| new_in_* | (id, site) and item code | - | - |
+| missing_audience, fill_missing_* | vip_no (anti join), range partitions of the full row order (dense index), index join | range bounds over all columns | per-partition counts (<= partitions rows) |
+| recommendations_union .. campaign_personalization | vip_no (recs x audience), (customer, part) then customer for the top-8 (partial WindowGroupLimit) | partial top-k before the shuffle | seed sample: k rows per task |
+| products | (product, brand, exclusive) after map-side reduction, then item code | partial aggregation removes customer x slot volume | - |
+| blast_funnel | vip_no / customer_id for the count-distincts | - | one partial count per task |
+| registry / version table | distinct groups of the audience | - | - |
+"""
+
+
 if __name__ == "__main__":
     main()
