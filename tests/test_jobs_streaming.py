@@ -73,3 +73,13 @@ def test_stream_history_exactly_once(spark, scratch):
     spark.createDataFrame([("c", d, "cn")], schema).write.mode("append").parquet(src)
     stream_blast_history(spark, src, hist, st, ckpt).awaitTermination()
     assert sorted(r.vip_no for r in spark.read.parquet(hist).collect()) == ["a", "b", "c"]
+
+
+def test_default_stream_checkpoint_is_stable(spark):
+    from tidemark.streaming import default_stream_checkpoint
+    if not (spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)):
+        spark.conf.set("spark.checkpoint.dir", "/tmp/tidemark-test-ckpt")
+    a = default_stream_checkpoint(spark, "/data/history")
+    assert a == default_stream_checkpoint(spark, "/data/history/")
+    assert a != default_stream_checkpoint(spark, "/data/other")
+    assert spark.sparkContext.getCheckpointDir() is None or a not in spark.sparkContext.getCheckpointDir()

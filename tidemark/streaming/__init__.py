@@ -8,6 +8,6 @@ duplicates a run (the batch sink reaches the same with dynamic partition
 overwrite).
 """
 
-from tidemark.streaming.history import stream_blast_history
+from tidemark.streaming.history import default_stream_checkpoint, stream_blast_history
 
-__all__ = ["stream_blast_history"]
+__all__ = ["stream_blast_history", "default_stream_checkpoint"]

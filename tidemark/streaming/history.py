@@ -2,11 +2,25 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import SparkSession
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from tidemark.session import ensure_checkpoint_dir
+
+def default_stream_checkpoint(spark: SparkSession, history_path: str) -> str:
+    """A checkpoint location that is the same for every run of the same history.
+
+    Built from the configured ``spark.checkpoint.dir`` (the shared folder, not
+    the per-application subfolder Spark creates under it) and a digest of the
+    history path, so a restarted application resumes the same stream.
+    """
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    if not base:
+        raise ValueError("spark.checkpoint.dir is not set; pass checkpoint_location explicitly")
+    digest = hashlib.sha1(history_path.rstrip("/").encode()).hexdigest()[:16]
+    return f"{base.rstrip('/')}/streams/blast_history-{digest}"
 
 
 def stream_blast_history(spark: SparkSession, lists_dir: str, history_path: str, schema: StructType,
@@ -18,15 +32,16 @@ def stream_blast_history(spark: SparkSession, lists_dir: str, history_path: str,
     * Sink: the Parquet file sink partitioned by (region, blast_date); its
       commit log makes every micro-batch land exactly once, also when a
       trigger is retried after an executor or driver failure.
-    * The checkpoint lives under the shared ``spark.checkpoint.dir`` unless a
-      location is given.
+    * The checkpoint lives under the shared ``spark.checkpoint.dir`` at a path
+      derived from ``history_path`` (stable across application restarts)
+      unless a location is given.
     * ``available_now`` processes what has arrived and stops (a scheduled
       run); otherwise the query keeps running.
 
     Readers see the history through the sink's metadata log, so this path is
     written by the stream only (use the batch sink for ad hoc runs elsewhere).
     """
-    location = checkpoint_location or f"{ensure_checkpoint_dir(spark).rstrip('/')}/streams/blast_history"
+    location = checkpoint_location or default_stream_checkpoint(spark, history_path)
     source = spark.readStream.schema(schema).parquet(lists_dir)
     writer = (source.writeStream.format("parquet").option("path", history_path)
               .option("checkpointLocation", location).partitionBy("region", "blast_date").outputMode("append"))
