@@ -83,3 +83,21 @@ def test_default_stream_checkpoint_is_stable(spark):
     assert a == default_stream_checkpoint(spark, "/data/history/")
     assert a != default_stream_checkpoint(spark, "/data/other")
     assert spark.sparkContext.getCheckpointDir() is None or a not in spark.sparkContext.getCheckpointDir()
+
+
+def test_views_answer_sql(spark):
+    from tidemark.plans.views import register_audience_views, register_kpi_views
+    t = rel.Tables(spark, SF)
+    blasts = E.queries()["blast_list"](spark, SF)
+    details = rel.campaign_details(spark)
+    contact = rel.campaign_contact(t, details, blasts)
+    register_kpi_views(rel.blast_history(t), rel.sales_dtl(t), rel.voucher_redeem(t), details, contact,
+                       rel.campaign_response(t, details, contact))
+    got = spark.sql("select blast_region, blast_channel, campaign_size from monthly_kpi").collect()
+    assert len(got) == 8
+    assert spark.sql("select count(*) from blast_list").collect()[0][0] == blasts.count()
+    register_audience_views(rel.member_snapshot(t), rel.member_reachable(t), rel.voucher_summary(t), "cn",
+                            rel.publication_status(t), rel.item_start_date(t), rel.item_master(t), rel.ITEMS_AS_OF)
+    n_male = spark.sql("select count(*) from CUST_LIST_male").collect()[0][0]
+    n_female = spark.sql("select count(*) from CUST_LIST_female").collect()[0][0]
+    assert n_male + n_female == spark.sql("select count(*) from CUST_LIST_grouped").collect()[0][0]
