@@ -76,3 +76,8 @@ def test_backfill_counts_equal_separate_counts(spark):
     merged, counts = backfill(out, audience)
     assert rows(merged) == rows(fill_missing_recommendations(out, audience))
     assert rows(counts) == rows(fill_missing_counts(out, audience, merged))
+
+
+def test_dense_index_with_map_column(spark):
+    df = spark.createDataFrame([("b", {"x": 1}), ("a", {"y": 2}), ("c", None)], "k string, m map<string,int>")
+    assert rows(with_dense_index(df, ["k"], "i", num_partitions=2), "k", "i") == [("a", 1), ("b", 2), ("c", 3)]

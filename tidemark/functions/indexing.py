@@ -19,6 +19,7 @@ executor loss) produces the same numbering.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql.types import MapType
 
 _PART = "_idx_part"
 _LOCAL = "_idx_local"
@@ -30,7 +31,9 @@ def with_dense_index(df: DataFrame, order_cols: list[str], index_col: str = "ind
     """Add ``index_col`` = 1..N following ``order_cols`` (remaining columns break ties)."""
     spark = df.sparkSession
     n = int(num_partitions or spark.conf.get("spark.sql.shuffle.partitions"))
-    sort_cols = list(order_cols) + [c for c in df.columns if c not in order_cols]
+    # remaining columns break ties (map columns cannot be ordered and are skipped)
+    sort_cols = list(order_cols) + [f.name for f in df.schema.fields
+                                    if f.name not in order_cols and not isinstance(f.dataType, MapType)]
     base = df.checkpoint(eager=True) if pin else df
     # range bounds over the full order: a key with many distinct rows can be
     # split across partitions (only identical rows must share one)
