@@ -105,3 +105,17 @@ def test_cluster_conf_bounds():
     huge = cluster_conf(100 * (1 << 40), 8000)
     assert huge["spark.sql.shuffle.partitions"] == "50000"
     assert big["spark.sql.autoBroadcastJoinThreshold"] == huge["spark.sql.autoBroadcastJoinThreshold"]
+
+
+def test_broadcast_if_small(spark):
+    from tidemark.functions import broadcast_if_small, estimated_bytes
+    small = spark.range(10).selectExpr("id as k", "'a' as v")
+    assert estimated_bytes(small) < 1 << 20
+    unknown = spark.createDataFrame([(1, "a")], "k bigint, v string")   # no statistics: never hinted
+    assert "broadcast" not in str(broadcast_if_small(unknown)._jdf.queryExecution().optimizedPlan()).lower()
+    big = spark.range(10 ** 7).selectExpr("id as k", "repeat('x', 100) as v")
+    assert estimated_bytes(big) > 64 << 20
+    left = spark.range(100).selectExpr("id as k")
+    hinted = left.join(broadcast_if_small(small), "k")._jdf.queryExecution().optimizedPlan().toString()
+    plain = left.join(broadcast_if_small(big), "k")._jdf.queryExecution().optimizedPlan().toString()
+    assert "broadcast" in hinted.lower() and "broadcast" not in plain.lower()

@@ -8,10 +8,11 @@ from tidemark.functions.ids import compose_id, id_token, group_from_audience_id
 from tidemark.functions.joins import date_window_join
 from tidemark.functions.indexing import with_dense_index
 from tidemark.functions.checks import require_columns
+from tidemark.functions.sizing import broadcast_if_small, estimated_bytes
 
 __all__ = [
     "parse_yyyymmdd", "format_yyyymmdd", "month_padded", "as_date",
     "SLOTS", "slot_cols", "pack_slots", "valid_code_count", "distinct_in_order", "first_distinct",
     "compose_id", "id_token", "group_from_audience_id",
-    "date_window_join", "with_dense_index", "require_columns",
+    "date_window_join", "with_dense_index", "require_columns", "broadcast_if_small", "estimated_bytes",
 ]

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from tidemark.functions import date_window_join, parse_yyyymmdd, require_columns
+from tidemark.functions import broadcast_if_small, date_window_join, parse_yyyymmdd, require_columns
 
 # Customer type -> blast region, and the channel rule.
 REGION_OF_CUST_TYPE = (("Hong Kong", "HK"), ("China", "CN"), ("Overseas", "ROW"))
@@ -84,7 +84,7 @@ def individual_email_response(details: DataFrame, contact: DataFrame, response:
     # joins last.  Joining on the campaign id first would make a shuffle key
     # with one value per campaign, i.e. one task per campaign.
     j = (ct.join(rs, (F.col("RS.id") == F.col("CT.campaign_id")) & (F.col("RS.vip_no") == F.col("CT.vip_no")), "inner")
-         .join(dl, F.col("DL.id") == F.col("CT.campaign_id"), "inner"))
+         .join(broadcast_if_small(dl), F.col("DL.id") == F.col("CT.campaign_id"), "inner"))
     region = F.split_part(F.col("DL.name"), F.lit("_"), F.lit(5))
     if region_upper:
         region = F.upper(region)

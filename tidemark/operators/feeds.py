@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from tidemark.functions import SLOTS, require_columns
+from tidemark.functions import SLOTS, broadcast_if_small, require_columns
 from tidemark.functions.dates import as_date
 
 PERSONALIZATION_MEDIUM = "email"
@@ -46,6 +46,8 @@ def products(df: DataFrame, item: DataFrame, created_date) -> DataFrame:
     triples = (long.groupBy("product_id", "brand_desc_en", "global_exclusive")
                .agg(F.max((F.col("slot") > 1).cast("int")).alias("_later")))
     it = item.select(F.col("atg_code").alias("_code"), "prod_desc_eng", "prod_desc_tc", "brand_desc")
+    # the item master is broadcast only while its estimated size is under the fixed bound
+    it = broadcast_if_small(it)
     j = triples.join(it, triples.product_id == it._code, "left")
     return (j.where((F.col("_later") == 1) | F.col("_code").isNotNull())
             .select("product_id", "brand_desc_en", F.col("prod_desc_eng").alias("product_description_en"),

@@ -16,6 +16,7 @@ import datetime as _dt
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from tidemark.functions.joins import date_window_join
+from tidemark.functions.sizing import broadcast_if_small
 from tidemark.sources.tables import read_table
 
 # Fixed values of the test fixtures.
@@ -50,7 +51,7 @@ def _vip(col: str):
 
 def member_snapshot(t: Tables) -> DataFrame:
     c = t.customer
-    n = t.nation
+    n = broadcast_if_small(t.nation)
     m = c.join(n, c.c_nationkey == n.n_nationkey, "inner")
     return m.select(
         _vip("c_custkey").alias("vip_no"),
@@ -239,6 +240,8 @@ def campaign_details(spark: SparkSession, dates=HISTORY_BLAST_DATES, regions=CAM
 
 def campaign_contact(t: Tables, details: DataFrame, blast_list: DataFrame) -> DataFrame:
     b = blast_list.where(F.col("blast_channel") == "EDM")
+    # (date, region) has one value per campaign: never a shuffle key for the blast list
+    details = broadcast_if_small(details)
     cond = (details.date_sent == b.blast_date) & (F.split_part(details.name, F.lit("_"), F.lit(5)) == b.blast_region)
     return details.join(b, cond, "inner").select(details.id.alias("campaign_id"), b.vip_no)
 
