@@ -8,6 +8,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from tests.test_plans import check_plan
 from tidemark.sources.tables import TABLES
 
 SF = "/root/testdata/sf0.001"
@@ -51,13 +52,17 @@ def duck():
 
 @pytest.mark.parametrize("name", sorted(E.oracle_sql()))
 def test_query_matches_oracle(spark, duck, name):
+    """One construction per query: plan checks, oracle equality, fixture row count."""
     df = E.queries()[name](spark, SF)
+    check_plan(spark, df, name)
     srows = [tuple(r) for r in df.collect()]
     cur = duck.execute(E.oracle_sql()[name])
     orows = cur.fetchall()
     ocols = [d[0] for d in cur.description]
     assert sorted(df.columns) == sorted(ocols)
     assert _bag(srows, df.columns) == _bag(orows, ocols)
+    if name in FIXTURE_COUNTS:
+        assert len(srows) == FIXTURE_COUNTS[name]
 
 
 # Row counts at sf0.001 listed in FIXTURES.md §3 for prototypes whose inputs equal the registered query's.
@@ -69,9 +74,3 @@ FIXTURE_COUNTS = {
     "fill_missing_recommendations": 25,
 }
 
-
-@pytest.mark.parametrize("name,count", sorted(FIXTURE_COUNTS.items()))
-def test_row_counts_match_fixture_table(spark, name, count):
-    if not os.path.isdir(SF):
-        pytest.skip("test data not present")
-    assert E.queries()[name](spark, SF).count() == count

@@ -15,9 +15,7 @@ def _formatted(spark, df):
     return spark._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
-def test_plan_is_jvm_only_without_products(spark, name):
-    df = E.queries()[name](spark, SF)
+def check_plan(spark, df, name):
     plan = _formatted(spark, df)
     assert not any(n in plan for n in PYTHON_NODES), name
     assert not any(n in plan for n in PRODUCT_JOINS), name
@@ -30,3 +28,9 @@ def test_plan_is_jvm_only_without_products(spark, name):
             child = lines[i + 1]
             assert re.search(r"HashAggregate\(keys=\[(\]|_idx_part)", child) or "TakeOrderedAndProject" in child, \
                 (name, child)
+
+
+@pytest.mark.parametrize("name", sorted(set(E.queries()) - set(E.oracle_sql())))
+def test_plan_of_queries_without_oracle(spark, name):
+    """Queries with an oracle get the same checks in tests/test_entry_oracles.py."""
+    check_plan(spark, E.queries()[name](spark, SF), name)
