@@ -119,3 +119,13 @@ def test_broadcast_if_small(spark):
     hinted = left.join(broadcast_if_small(small), "k")._jdf.queryExecution().optimizedPlan().toString()
     plain = left.join(broadcast_if_small(big), "k")._jdf.queryExecution().optimizedPlan().toString()
     assert "broadcast" in hinted.lower() and "broadcast" not in plain.lower()
+
+
+def test_version_pairs_and_json(spark):
+    import json
+    pairs = reg.version_pairs(spark, "camp", "female,male", "camp_female,camp_male")
+    assert rows(pairs) == [("camp", "female", "camp_female"), ("camp", "male", "camp_male")]
+    short = reg.version_pairs(spark, "camp", ["female", "male"], ["camp_female"])
+    assert rows(short) == [("camp", "female", "camp_female")]
+    docs = [json.loads(r.json) for r in reg.config_json(reg.campaign_version_table(pairs, "cn")).collect()]
+    assert {d["version_id"] for d in docs} == {"female", "male"} and all(d["region"] == "cn" for d in docs)

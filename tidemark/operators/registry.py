@@ -118,3 +118,24 @@ def layout_summary(grids: DataFrame) -> DataFrame:
     """Grid row count and the distinct business units of each layout (first-seen order)."""
     return grids.select("region", "version", F.size("grid").alias("rows"),
                         F.array_distinct(F.flatten("grid")).alias("bus"))
+
+
+def version_pairs(spark: SparkSession, campaign: str, version_ids, audience_ids) -> DataFrame:
+    """P30 from run parameters: pair version ids with audience ids by position.
+
+    Both lists may be given as Python lists or comma-separated text (the
+    form the scheduler passes); extra entries on either side are dropped, as
+    a positional zip does.
+    """
+    def text(v):
+        return v if isinstance(v, str) else ",".join(v)
+    one = spark.createDataFrame([(campaign, text(version_ids), text(audience_ids))], "c string, v string, a string")
+    pairs = F.explode(F.arrays_zip(F.split("v", ",").alias("version_id"), F.split("a", ",").alias("audience_id")))
+    return (one.select(F.col("c").alias("campaign_id"), pairs.alias("p"))
+            .where(F.col("p.version_id").isNotNull() & F.col("p.audience_id").isNotNull())
+            .select("campaign_id", F.col("p.version_id").alias("version_id"), F.col("p.audience_id").alias("audience_id")))
+
+
+def config_json(df: DataFrame) -> DataFrame:
+    """One JSON document per row (C20), e.g. for writing a config table as text."""
+    return df.select(F.to_json(F.struct(*df.columns)).alias("json"))
