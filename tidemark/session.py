@@ -88,6 +88,8 @@ def cluster_conf(shuffle_bytes: int, total_cores: int, target_partition_bytes: i
         "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
         "spark.sql.shuffle.partitions": str(partitions),
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        # coalesce toward the advisory size, not toward the most tasks (busy clusters)
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
         "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(512 << 20),
         "spark.sql.autoBroadcastJoinThreshold": str(64 << 20),
