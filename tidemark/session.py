@@ -65,7 +65,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def cluster_conf(shuffle_bytes: int, total_cores: int, target_partition_bytes: int = 256 << 20,
-                 waves: int = 3, max_partitions: int = 50_000) -> dict:
+                 waves: int = 3, max_partitions: int = 50_000, parallelism_first: bool = False) -> dict:
     """Sizing for a cluster run whose largest shuffle moves ``shuffle_bytes``.
 
     ``shuffle_bytes`` is the size of the biggest exchange after column pruning,
@@ -88,8 +88,9 @@ def cluster_conf(shuffle_bytes: int, total_cores: int, target_partition_bytes: i
         "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
         "spark.sql.shuffle.partitions": str(partitions),
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
-        # coalesce toward the advisory size, not toward the most tasks (busy clusters)
-        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+        # on a shared cluster coalesce toward the advisory size; on one machine
+        # (parallelism_first=True) keep as many tasks as cores can run
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": str(parallelism_first).lower(),
         "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(512 << 20),
         "spark.sql.autoBroadcastJoinThreshold": str(64 << 20),
