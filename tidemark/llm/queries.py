@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat, mixing, token_orc
+from tidemark.llm import chat, mixing, token_orc, topk, url_filter
 from tidemark.llm.common import read
 
 QUERIES: dict = {}
@@ -33,3 +33,19 @@ def op6(spark, sf_dir):
 @register("op9_token_orc")
 def op9(spark, sf_dir):
     return token_orc.token_orc_roundtrip(read(spark, sf_dir, "documents"))
+
+
+@register("op5_exact_topk")
+def op5(spark, sf_dir):
+    return topk.top_k(read(spark, sf_dir, "embeddings"))
+
+
+ORACLES["op5_exact_topk"] = topk.oracle()
+
+
+@register("op10_url_filter")
+def op10(spark, sf_dir):
+    return url_filter.filter_urls(read(spark, sf_dir, "pages")).drop("score")
+
+
+ORACLES["op10_url_filter"] = url_filter.oracle()
