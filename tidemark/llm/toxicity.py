@@ -7,7 +7,7 @@ each n-gram its log-count ratio r; the n-grams that separate the classes best
 become features with value r where present, and a logistic regression is
 fitted on them.  Scoring walks every whole text once.
 
-Training reads at most ``max_per_class`` labelled documents of each class,
+Training reads at most ``max_per_class`` labelled documents (clean, toxic),
 those with the smallest seeded hash of their id; that bound is the only one.
 Labels are learned from ids with crc32(id as text) mod 5 != 0 only.
 
@@ -28,8 +28,9 @@ from tidemark.llm.texts import mix64
 
 SIZES = (3, 4, 5)
 BITS = 20
-FEATURES = 2048
-MAX_PER_CLASS = 3000
+FEATURES = 512
+#: At most so many training documents labelled 0 and 1.
+MAX_PER_CLASS = (9000, 3000)
 CHUNK_CHARS = 1 << 19
 SMOOTHING = 0.5
 _SEAT = mix64(np.arange(1, 9, dtype=np.uint64)) | np.uint64(1)
@@ -88,12 +89,12 @@ def present(texts: list, slot: np.ndarray):
 
 
 def training_sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str,
-                    max_per_class: int = MAX_PER_CLASS) -> DataFrame:
-    """(label, text) of at most ``max_per_class`` labelled documents per class, none held out."""
+                    max_per_class: tuple = MAX_PER_CLASS) -> DataFrame:
+    """(label, text) of at most ``max_per_class`` labelled documents (clean, toxic), none held out."""
     marked = (labels.select(F.col(id_col).alias("k"), F.col(label_col).cast("int").alias("y"))
               .filter("k IS NOT NULL AND y IN (0, 1)").filter(~held_out("k")).groupBy("k").agg(F.max("y").alias("y")))
     # both parts are bounded by max_per_class, so the ids may be broadcast
-    picked = [marked.filter(F.col("y") == y).orderBy(F.xxhash64("k"), "k").limit(max_per_class) for y in (0, 1)]
+    picked = [marked.filter(F.col("y") == y).orderBy(F.xxhash64("k"), "k").limit(max_per_class[y]) for y in (0, 1)]
     ids = pin(picked[0].unionByName(picked[1]))
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     return texts.join(F.broadcast(ids), F.col("id") == F.col("k")).select("y", "text")
@@ -122,7 +123,7 @@ def fit(sample: DataFrame, features: int = FEATURES, rounds: int = 300) -> dict
     counts = sample.mapInArrow(count, "bucket int, pos long, neg long").groupBy("bucket").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
     p, q = F.col("pos") / sizes[1], F.col("neg") / sizes[0]
     both = (F.col("pos") + F.col("neg")) / (sizes[0] + sizes[1])
-    best = (counts.filter(F.col("pos") + F.col("neg") >= 3).withColumn("gain", F.abs(p - q) / F.sqrt(both * (1 - both) + 1e-4))
+    best = (counts.filter(F.col("pos") + F.col("neg") >= 5).withColumn("gain", F.abs(p - q) / F.sqrt(both * (1 - both) + 1e-4))
             .orderBy(F.desc("gain"), "bucket").limit(features).collect())
     pos, neg = (np.array([r[c] for r in best], float) for c in ("pos", "neg"))
     ratio = np.log((pos + SMOOTHING) / (sizes[1] + 2 * SMOOTHING)) - np.log((neg + SMOOTHING) / (sizes[0] + 2 * SMOOTHING))
@@ -136,7 +137,7 @@ def fit(sample: DataFrame, features: int = FEATURES, rounds: int = 300) -> dict
             yield pa.RecordBatch.from_arrays([b.column(0), pa.ListArray.from_arrays(pa.array(off), pa.array(np.concatenate(rows)))], names=["y", "slots"])
 
     x, y = [], []
-    for r in sample.mapInArrow(extract, "y int, slots array<int>").collect():       # at most 2 * max_per_class rows
+    for r in sample.mapInArrow(extract, "y int, slots array<int>").collect():       # at most sum(max_per_class) rows
         row = np.zeros(len(best), np.float32)
         row[r["slots"]] = ratio[r["slots"]]
         x.append(row), y.append(r["y"])
@@ -147,8 +148,8 @@ def fit(sample: DataFrame, features: int = FEATURES, rounds: int = 300) -> dict
 
 
 def _logistic(x: np.ndarray, y: np.ndarray, rounds: int, l2: float = 1e-4, rate: float = 0.05):
-    """Class-balanced logistic regression by Adam on the full sample."""
-    each = np.where(y == 1, 0.5 / max(1, y.sum()), 0.5 / max(1, (1 - y).sum())).astype(np.float32)
+    """Logistic regression by Adam on the full sample; rows weigh alike, so a rejection needs real evidence."""
+    each = np.float32(1 / len(y))
     w, b = np.zeros(x.shape[1], np.float32), 0.0
     m, v = np.zeros(len(w) + 1, np.float32), np.zeros(len(w) + 1, np.float32)
     for t in range(1, rounds + 1):
@@ -178,7 +179,7 @@ def score_column(df: DataFrame, text_col: str, model: dict | None, score_col: st
 
 
 def score_documents(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
-                    max_per_class: int = MAX_PER_CLASS) -> DataFrame:
+                    max_per_class: tuple = MAX_PER_CLASS) -> DataFrame:
     """Rows (doc_id, held_out, score, predicted) for every document."""
     model = fit(training_sample(docs, labels, id_col, text_col, label_col, max_per_class))
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
