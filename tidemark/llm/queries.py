@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat, mixing, token_orc, topk, toxicity, url_filter
+from tidemark.llm import chat, mixing, pii, token_orc, topk, toxicity, url_filter
 from tidemark.llm.common import read
 
 QUERIES: dict = {}
@@ -54,3 +54,8 @@ ORACLES["op10_url_filter"] = url_filter.oracle()
 @register("op3_toxicity")
 def op3(spark, sf_dir):
     return toxicity.score_documents(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+@register("op4_pii")
+def op4(spark, sf_dir):
+    return pii.pii_digests(pii.find_pii(read(spark, sf_dir, "documents")))
