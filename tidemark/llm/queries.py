@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat, mixing, pii, token_orc, topk, toxicity, url_filter
+from tidemark.llm import chat, mixing, ngram_join, pii, token_orc, topk, toxicity, url_filter
 from tidemark.llm.common import read
 
 QUERIES: dict = {}
@@ -18,6 +18,11 @@ def register(name: str):
     return deco
 
 
+@register("op1_ngram_jaccard")
+def op1(spark, sf_dir):
+    return ngram_join.near_duplicate_components(read(spark, sf_dir, "documents")).drop("key", "sig")
+
+
 @register("op2_source_mix")
 def op2(spark, sf_dir):
     return mixing.mix_sources(read(spark, sf_dir, "documents"))
