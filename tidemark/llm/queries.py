@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat, mixing, ngram_join, pii, token_orc, topk, toxicity, url_filter
+from tidemark.llm import chat, mixing, ngram_join, pii, suffix_dedup, token_orc, topk, toxicity, url_filter
 from tidemark.llm.common import read
 
 QUERIES: dict = {}
@@ -64,3 +64,9 @@ def op3(spark, sf_dir):
 @register("op4_pii")
 def op4(spark, sf_dir):
     return pii.pii_digests(pii.find_pii(read(spark, sf_dir, "documents")))
+
+
+@register("op8_suffix_dedup")
+def op8(spark, sf_dir):
+    out = suffix_dedup.remove_repeats(read(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
