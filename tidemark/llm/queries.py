@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat, mixing, ngram_join, pii, suffix_dedup, token_orc, topk, toxicity, url_filter
+from tidemark.llm import chat, decontam, mixing, ngram_join, pii, suffix_dedup, token_orc, topk, toxicity, url_filter
 from tidemark.llm.common import read
 
 QUERIES: dict = {}
@@ -70,3 +70,8 @@ def op4(spark, sf_dir):
 def op8(spark, sf_dir):
     out = suffix_dedup.remove_repeats(read(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@register("op7_decontaminate")
+def op7(spark, sf_dir):
+    return decontam.find_leaks(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
