@@ -20,7 +20,7 @@ def register(name: str):
 
 @register("op1_ngram_jaccard")
 def op1(spark, sf_dir):
-    return ngram_join.near_duplicate_components(read(spark, sf_dir, "documents")).drop("key", "sig")
+    return ngram_join.near_duplicate_components(read(spark, sf_dir, "documents")).drop("key", "class")
 
 
 @register("op2_source_mix")
