@@ -20,6 +20,7 @@ empty set of files and no rows.
 
 from __future__ import annotations
 
+import os
 import zlib
 
 import numpy as np
@@ -27,9 +28,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from tidemark.llm.common import pin, scratch_path, shuffle_partitions
+from tidemark.llm.texts import prefix_hash, span_hash, string_chunks, word_bounds
 
 END_ID = 2
-MAX_CACHE = 400_000
+MAX_CACHE = 600_000
+CHUNK_BYTES = 1 << 21
 _SCHEMA = "doc_id long, part int, seq long, n_tokens int, ids array<int>"
 
 
@@ -38,26 +41,107 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+# byte classes of the piece splitter: 0 not told apart here, 1 letter, 2 punctuation, 3 white space
+_CLASS = np.zeros(256, np.uint8)
+_CLASS[[*range(65, 91), *range(97, 123)]] = 1
+_CLASS[list(b".,!?%&*#$;:()-/")] = 2
+_CLASS[[32, 9, 10, 11, 12, 13]] = 3
+
+
 class PieceEncoder:
-    """Encodes texts piecewise: this vocabulary drops white space and never
-    merges across it, so a text's ids are its blank-separated pieces' ids.
-    Pieces already seen come from a bounded cache."""
+    """Encodes texts piecewise.
+
+    This vocabulary lower-cases, drops white space, never merges across it, and
+    cuts a word at every change between letters and punctuation.  So the ids of
+    a text are the ids of its pieces: runs of letters (ASCII and Latin-1,
+    lower-cased) or of common punctuation, and whole words where anything else
+    occurs (digits, apostrophes, other scripts, special tokens).  The pieces of
+    a chunk are told apart by vectorised 64-bit hashes; each distinct one is
+    looked up once in a bounded cache, and new ones are encoded together in one
+    string and cut apart at the tokens that end a word.
+    """
 
     def __init__(self, path: str, max_cache: int = MAX_CACHE):
         from tokenizers import Tokenizer
-        self.tokenizer, self.cache, self.max_cache = Tokenizer.from_file(path), {}, max_cache
+        self.tokenizer, self.known, self.max_cache = Tokenizer.from_file(path), {}, max_cache
+        vocab = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.ends = np.zeros(max(vocab.values()) + 1, bool)
+        self.ends[[i for t, i in vocab.items() if t.endswith("</w>")]] = True
+
+    def _learn(self, runs: list[bytes], odd: list[bytes]) -> None:
+        if runs:
+            ids = np.asarray(self.tokenizer.encode_batch_fast([b" ".join(runs).decode()], add_special_tokens=False)[0].ids, "<i4")
+            cut = np.flatnonzero(self.ends[ids]) + 1
+            if len(cut) == len(runs) and cut[-1] == len(ids):
+                raw, a = ids.tobytes(), 0
+                for run, b in zip(runs, (cut * 4).tolist()):
+                    self.known[run] = raw[a:b]
+                    a = b
+            else:                                   # a vocabulary without word ends
+                odd = odd + runs
+        for piece, e in zip(odd, self.tokenizer.encode_batch_fast([p.decode() for p in odd], add_special_tokens=False)):
+            self.known[piece] = np.asarray(e.ids, "<i4").tobytes()
+
+    @staticmethod
+    def pieces(data: np.ndarray, off: np.ndarray):
+        """(bytes with lower-cased runs, starts, ends, whether a run, first piece per row)."""
+        a, b, _ = word_bounds(data, off)
+        kind = _CLASS[data]
+        low = np.where((data >= 65) & (data <= 90), data + np.uint8(32), data)
+        lead = np.flatnonzero(data[:-1] == 0xC3)     # Latin-1 letters are C3 80 to C3 BF but for two signs
+        lead = lead[(data[lead + 1] >= 0x80) & (data[lead + 1] != 0x97) & (data[lead + 1] != 0xB7)]
+        kind[lead] = kind[lead + 1] = 1
+        upper = lead[data[lead + 1] <= 0x9E] + 1
+        low[upper] = data[upper] + np.uint8(32)
+        other = np.concatenate([[0], np.cumsum(kind == 0)])
+        whole = other[b] > other[a]                  # words with bytes not told apart stay whole and as they are
+        mixed = np.zeros(len(data), bool)
+        mixed[kind != 3] = np.repeat(whole, b - a)
+        low = np.where(mixed, data, low)
+        start = np.zeros(len(data) + 1, bool)
+        start[1:-1] = (kind[1:] != kind[:-1]) & (kind[1:] != 3) & ~mixed[1:]
+        start[a] = True
+        stop = start[1:] & (kind != 3)
+        stop[b - 1] = True
+        s = np.flatnonzero(start)
+        return low, s, np.flatnonzero(stop) + 1, ~mixed[s], np.searchsorted(s, off)
+
+    def encode(self, data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all rows, ids per row) of UTF-8 rows ``data[off[i]:off[i + 1]]``."""
+        if not len(data):
+            return np.zeros(0, "<i4"), np.zeros(len(off) - 1, np.int64)
+        low, a, b, run, first = self.pieces(data, off)
+        _, at, which = np.unique(span_hash(prefix_hash(low), a, b), return_index=True, return_inverse=True)
+        text, known = low.tobytes(), self.known
+        if len(known) > self.max_cache:
+            known.clear()
+        found = [text[i:j] for i, j in zip(a[at].tolist(), b[at].tolist())]
+        new = [i for i, p in enumerate(found) if p not in known]
+        if new:
+            is_run = run[at]
+            self._learn([found[i] for i in new if is_run[i]], [found[i] for i in new if not is_run[i]])
+        ids = [known[p] for p in found]
+        size = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        flat = np.frombuffer(b"".join(ids), "<i4")
+        start = np.cumsum(size) - size
+        lengths = size[which]
+        ends = np.concatenate([[0], np.cumsum(lengths)])
+        return flat[np.repeat(start[which] - ends[:-1], lengths) + np.arange(ends[-1])], np.diff(ends[first])
 
     def __call__(self, text: str) -> np.ndarray:
-        pieces = text.replace("\n", " ").split(" ")
-        cache = self.cache
-        missing = list({p for p in pieces if p not in cache})
-        if missing:
-            if len(cache) + len(missing) > self.max_cache:
-                cache.clear()
-                missing = list(set(pieces))
-            for piece, e in zip(missing, self.tokenizer.encode_batch(missing, add_special_tokens=False)):
-                cache[piece] = np.asarray(e.ids, "<i4").tobytes()
-        return np.frombuffer(b"".join([cache[p] for p in pieces]), "<i4")
+        raw = np.frombuffer(text.encode(), np.uint8)
+        return self.encode(raw, np.array([0, len(raw)]))[0]
+
+
+_encoders: dict[str, PieceEncoder] = {}
+
+
+def encoder_for(path: str) -> PieceEncoder:
+    """One encoder per worker process, so its cache serves all tasks there."""
+    if path not in _encoders:
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+        _encoders[path] = PieceEncoder(path)
+    return _encoders[path]
 
 
 def write_token_orc(docs: DataFrame, path: str, tokenizer: str | None = None, id_col: str = "doc_id", text_col: str = "text",
@@ -72,23 +156,18 @@ def write_token_orc(docs: DataFrame, path: str, tokenizer: str | None = None, id
               .select("doc_id", "text", F.spark_partition_id().alias("part")))
 
     def encode(batches):
-        encoder, seq = PieceEncoder(tokenizer), 0
+        encoder, seq = encoder_for(tokenizer), 0
         for b in batches:
-            i, texts = 0, b.column(1)
-            while i < len(b):
-                rows, size = [], 0
-                while i < len(b) and size < 2_000_000:       # bounded output batches
-                    ids = encoder(texts[i].as_py())
-                    rows.append(np.append(ids, np.int32(END_ID)))
-                    size += len(ids)
-                    i += 1
-                lo, lengths = i - len(rows), np.array([len(x) for x in rows], np.int32)
-                off = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)
+            for lo, data, off in string_chunks(b.column(1), CHUNK_BYTES):
+                ids, lengths = encoder.encode(data, off)
+                n, ends = len(lengths), np.cumsum(lengths)
+                ids = np.insert(ids, ends, END_ID)
+                stops = np.concatenate([[0], ends + np.arange(1, n + 1)]).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
-                    [b.column(0)[lo:i], b.column(2)[lo:i], pa.array(np.arange(seq, seq + len(rows))), pa.array(lengths),
-                     pa.ListArray.from_arrays(pa.array(off), pa.array(np.concatenate(rows)))],
+                    [b.column(0)[lo:lo + n], b.column(2)[lo:lo + n], pa.array(np.arange(seq, seq + n)), pa.array((lengths + 1).astype(np.int32)),
+                     pa.ListArray.from_arrays(pa.array(stops), pa.array(ids.astype(np.int32)))],
                     names=["doc_id", "part", "seq", "n_tokens", "ids"])
-                seq += len(rows)
+                seq += n
 
     (placed.mapInArrow(encode, _SCHEMA).write.mode("overwrite")
      .option("orc.bloom.filter.columns", "doc_id").option("orc.bloom.filter.fpp", "0.01")
