@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidemark.session import ensure_checkpoint_dir
 
@@ -24,5 +24,22 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def columns(df: DataFrame) -> list[Column]:
+    """All columns of ``df``, whatever their names hold."""
+    return [F.col(f"`{c}`") for c in df.columns]
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def hash_sample(df: DataFrame, n: int, seed: int, *cols: Column) -> DataFrame:
+    """At most ``n`` rows: those with the smallest seeded hash of ``cols``.
+
+    A hash cut expected to pass 4 n rows comes first, so the tasks together send
+    about that many rows to the driver's top-n, however many tasks there are.
+    """
+    total, space = df.count(), 1 << 30
+    h = F.pmod(F.xxhash64(F.lit(seed), *cols), F.lit(space))
+    cut = space if total <= 4 * n else -(-4 * n * space // total)
+    return df.filter(h < cut).orderBy(h, *cols).limit(n)

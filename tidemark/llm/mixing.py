@@ -26,7 +26,7 @@ from fractions import Fraction
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidemark.llm.common import pin
+from tidemark.llm.common import columns, pin
 from tidemark.llm.texts import word_counts
 
 WEIGHTS = (5, 2, 1)
@@ -160,12 +160,12 @@ def _refine(sized: DataFrame, cuts: list[dict], pattern_col: str, size_col: str,
             return
         shift = _BITS * (_LEVELS - level)
         heads = spark.createDataFrame([(i, c["pattern"], c["cut"] >> (shift + _BITS)) for i, c in enumerate(live)],
-                                      f"mix_i int, mix_p {kind}, mix_head long")
-        joined = sized.join(F.broadcast(heads), F.col(pattern_col).eqNullSafe(F.col("mix_p"))
-                            & (F.shiftright(hash_col, shift + _BITS) == F.col("mix_head")))
+                                      f"__mix_i int, __mix_p {kind}, __mix_head long")
+        joined = sized.join(F.broadcast(heads), F.col(pattern_col).eqNullSafe(F.col("__mix_p"))
+                            & (F.shiftright(hash_col, shift + _BITS) == F.col("__mix_head")))
         sums: dict = {}
-        for r in (joined.groupBy("mix_i", F.shiftright(hash_col, shift).alias("b")).agg(F.sum(size_col).alias("w")).toLocalIterator()):
-            sums.setdefault(r["mix_i"], []).append((r["b"], r["w"]))
+        for r in (joined.groupBy("__mix_i", F.shiftright(hash_col, shift).alias("b")).agg(F.sum(size_col).alias("w")).toLocalIterator()):
+            sums.setdefault(r["__mix_i"], []).append((r["b"], r["w"]))
         inside = []
         for i, c in enumerate(live):
             for b, w in sorted(sums.get(i, [])):
@@ -184,10 +184,10 @@ def with_copies(df: DataFrame, cuts: list[dict], pattern_col: str, hash_col: str
     """Add the number of copies of each document (map side; cuts are at most one row per pattern)."""
     kind = df.schema[pattern_col].dataType.simpleString()
     table = df.sparkSession.createDataFrame([(c["pattern"], c["copies"], c["cut"]) for c in cuts],
-                                            f"mix_p {kind}, mix_n long, mix_cut long")
-    return (df.join(F.broadcast(table), F.col(pattern_col).eqNullSafe(F.col("mix_p")), "left")
-            .withColumn(copies_col, F.coalesce("mix_n", F.lit(0)) + F.when(F.col(hash_col) < F.col("mix_cut"), 1).otherwise(0))
-            .drop("mix_p", "mix_n", "mix_cut"))
+                                            f"__mix_p {kind}, __mix_n long, __mix_cut long")
+    return (df.join(F.broadcast(table), F.col(pattern_col).eqNullSafe(F.col("__mix_p")), "left")
+            .withColumn(copies_col, F.coalesce("__mix_n", F.lit(0)) + F.when(F.col(hash_col) < F.col("__mix_cut"), 1).otherwise(0))
+            .drop("__mix_p", "__mix_n", "__mix_cut"))
 
 
 def mix_sources(docs: DataFrame, source_col: str = "source", text_col: str = "text", id_col: str = "doc_id",
@@ -213,9 +213,9 @@ def mix_sources(docs: DataFrame, source_col: str = "source", text_col: str = "te
 def mixed_documents(docs: DataFrame, source_col: str = "source", text_col: str = "text", id_col: str = "doc_id",
                     seed: int = SEED, weights=WEIGHTS, cap: int = CAP) -> DataFrame:
     """The documents of the mix with their own columns, each as often as it is taken."""
-    u, p = "__mix_u", "__mix_p"
+    u, p = "__mix_hash", "__mix_pattern"
     keyed = docs.select("*", F.array(F.col(source_col)).alias(p), seeded_hash(seed, F.col(id_col), F.col(text_col)).alias(u))
     sized = pin(word_sizes(keyed.select(p, u, F.col(text_col).alias("t")), "t"))
     cuts, _, _ = plan_mix(sized, p, "size", u, seed, weights, cap)
     out = with_copies(keyed, cuts, p, u, "__mix_copies").filter("__mix_copies > 0")
-    return out.withColumn("__mix_copies", F.explode(F.sequence(F.lit(1).cast("long"), F.col("__mix_copies")))).select(*docs.columns)
+    return out.withColumn("__mix_copies", F.explode(F.sequence(F.lit(1).cast("long"), F.col("__mix_copies")))).select(*columns(docs))

@@ -31,6 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from tidemark.llm.bilstm_crf import BiLstmCrf, char_classes
+from tidemark.llm.common import hash_sample
 from tidemark.llm.texts import string_chunks
 
 KINDS = ("email", "ip", "card", "phone")
@@ -248,12 +249,10 @@ def span_text(spans) -> str:
 
 def training_texts(docs: DataFrame, id_col: str, text_col: str, n: int = TRAIN_TEXTS, chars: int = 2000) -> list[str]:
     """A bounded training sample: stretches of up to ``n`` texts, chosen by a seeded hash."""
-    t = F.col(text_col).cast("string")
-    size = F.length(t)
-    start = F.pmod(F.xxhash64(F.lit(3), F.col(id_col)), F.greatest(F.lit(1), size - chars)).cast("int") + 1
-    rows = (docs.filter(F.col(text_col).isNotNull()).select(F.xxhash64(F.lit(9), F.col(id_col)).alias("h"), t.substr(start, F.lit(chars)).alias("t"))
-            .orderBy("h", "t").limit(n).collect())
-    return [r["t"] for r in rows]
+    picked = hash_sample(docs.filter(F.col(text_col).isNotNull()).select(F.col(id_col).alias("i"), F.col(text_col).cast("string").alias("t")), n, 9, F.col("i"))
+    size = F.length("t")
+    start = F.pmod(F.xxhash64(F.lit(3), F.col("i")), F.greatest(F.lit(1), size - chars)).cast("int") + 1
+    return sorted(r["t"] for r in picked.select(F.col("t").substr(start, F.lit(chars)).alias("t")).collect())
 
 
 def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", model: BiLstmCrf | None = None) -> DataFrame:

@@ -23,7 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tidemark.llm.common import pin
+from tidemark.llm.common import columns, hash_sample, pin
 from tidemark.llm.texts import mix64
 
 SIZES = (3, 4, 5)
@@ -91,10 +91,10 @@ def present(texts: list, slot: np.ndarray):
 def training_sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str,
                     max_per_class: tuple = MAX_PER_CLASS) -> DataFrame:
     """(label, text) of at most ``max_per_class`` labelled documents (clean, toxic), none held out."""
-    marked = (labels.select(F.col(id_col).alias("k"), F.col(label_col).cast("int").alias("y"))
+    marked = pin(labels.select(F.col(id_col).alias("k"), F.col(label_col).cast("int").alias("y"))
               .filter("k IS NOT NULL AND y IN (0, 1)").filter(~held_out("k")).groupBy("k").agg(F.max("y").alias("y")))
     # both parts are bounded by max_per_class, so the ids may be broadcast
-    picked = [marked.filter(F.col("y") == y).orderBy(F.xxhash64("k"), "k").limit(max_per_class[y]) for y in (0, 1)]
+    picked = [hash_sample(marked.filter(F.col("y") == y), max_per_class[y], 1, F.col("k")) for y in (0, 1)]
     ids = pin(picked[0].unionByName(picked[1]))
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     return texts.join(F.broadcast(ids), F.col("id") == F.col("k")).select("y", "text")
@@ -190,4 +190,4 @@ def score_documents(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
 def drop_toxic(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> DataFrame:
     """The documents that are not rejected, with their own columns."""
     model = fit(training_sample(docs, labels, id_col, text_col, label_col))
-    return score_column(docs, text_col, model, "__toxicity").filter("__toxicity < 0.5").select(*docs.columns)
+    return score_column(docs, text_col, model, "__toxicity").filter("__toxicity < 0.5").select(*columns(docs))
