@@ -1,3 +1,4 @@
+import os
 import random
 
 from pyspark.sql import Window, functions as F
@@ -46,7 +47,7 @@ def test_fill_more_missing_than_donors(spark):
     cycled = fill_missing_recommendations(out, audience, cycle=True)
     assert cycled.count() == 9
     assert rows(cycled.where("vip_no = 'a5'")) == [("a5", "o3-c1", "o3-c8")]
-    counts = fill_missing_counts(out, audience, merged).collect()[0].asDict()
+    counts = backfill(out, audience)[1].collect()[0].asDict()
     assert counts == {"output_ids": 3, "audience_ids": 6, "missing_rows": 6, "merged_ids": 5}
 
 
@@ -75,9 +76,36 @@ def test_backfill_counts_equal_separate_counts(spark):
     audience = _aud(spark, ["a1", "a2", "a2", "o1", "a3"])
     merged, counts = backfill(out, audience)
     assert rows(merged) == rows(fill_missing_recommendations(out, audience))
-    assert rows(counts) == rows(fill_missing_counts(out, audience, merged))
+    added = merged.where("vip_no like 'a%'")
+    assert rows(counts) == rows(fill_missing_counts(out, audience, added))
 
 
 def test_dense_index_with_map_column(spark):
     df = spark.createDataFrame([("b", {"x": 1}), ("a", {"y": 2}), ("c", None)], "k string, m map<string,int>")
     assert rows(with_dense_index(df, ["k"], "i", num_partitions=2), "k", "i") == [("a", 1), ("b", 2), ("c", 3)]
+
+
+def test_dense_index_at_scale_without_exchange_reuse(spark, scratch):
+    """Counts and rows must agree by themselves, not because Spark happens to reuse an exchange."""
+    path = os.path.join(scratch, "indexed")
+    spark.conf.set("spark.sql.exchange.reuse", "false")
+    try:
+        df = spark.range(0, 1_200_000, 1, 8).select(F.sha1(F.col("id").cast("string")).alias("k"),
+                                                    F.create_map(F.lit("x"), F.col("id")).alias("m"))
+        with_dense_index(df, ["k"], "i", num_partitions=16).write.parquet(path)
+        got = spark.read.parquet(path).agg(F.count("i"), F.count_distinct("i"), F.min("i"), F.max("i")).collect()[0]
+    finally:
+        spark.conf.unset("spark.sql.exchange.reuse")
+    assert tuple(got) == (1_200_000, 1_200_000, 1, 1_200_000)
+
+
+def test_backfill_does_not_sort_the_output(spark):
+    out = _output(spark, [f"o{i}" for i in range(20)])
+    plan = fill_missing_recommendations(out, _aud(spark, ["a1"]))._jdf.queryExecution().executedPlan().toString()
+    assert "rangepartitioning" not in plan
+
+
+def test_backfill_tells_rows_of_one_id_apart(spark):
+    out = spark.createDataFrame([("o1", "x", "1"), ("o1", "y", "2"), ("o1", "y", "2")], OUT)
+    got = rows(fill_missing_recommendations(out, _aud(spark, ["a1", "a2", "a3"])).where("vip_no like 'a%'"))
+    assert sorted(r[1:] for r in got) == [("x", "1"), ("y", "2"), ("y", "2")]

@@ -1,19 +1,14 @@
 """Dense 1-based row index in a stated order, computed without a
 single-partition window (D7, W1).
 
-Rows are range-partitioned on the order, sorted inside each partition, and
+Rows are range-partitioned on the order, sorted inside each partition and
 numbered locally from ``monotonically_increasing_id`` (partition id in the high
-bits, position in the low bits).  One row per partition is then counted, the
-running offsets are computed over those few rows, and the offsets are
-broadcast back: that table has at most ``num_partitions`` rows, a bound set
-here, not by the data.
-
-The input is pinned first with a reliable checkpoint (shared folder from
-``spark.checkpoint.dir``): its upstream plan then runs once (the range
-partitioner's sampling pass and the shuffle both read the checkpoint), and
-because the pinned input, the sampled bounds and the total sort order are all
-fixed, every recomputation (the counting branch, a retried task after an
-executor loss) produces the same numbering.
+bits, position in the low bits).  That numbered frame is then pinned with a
+reliable checkpoint (shared folder from ``spark.checkpoint.dir``): the counts
+per partition and the rows both read the pinned copy, so they agree whatever
+the range sampling did and however often a task is retried.  One row per
+partition is counted, and the running offsets are broadcast back: that table
+has at most ``num_partitions`` rows, a bound set here, not by the data.
 """
 
 from __future__ import annotations
@@ -27,23 +22,22 @@ _LOW_BITS = 33  # monotonically_increasing_id keeps the row position in the low
 
 
 def with_dense_index(df: DataFrame, order_cols: list[str], index_col: str = "index",
-                     num_partitions: int | None = None, pin: bool = True) -> DataFrame:
+                     num_partitions: int | None = None) -> DataFrame:
     """Add ``index_col`` = 1..N following ``order_cols`` (remaining columns break ties)."""
     spark = df.sparkSession
     n = int(num_partitions or spark.conf.get("spark.sql.shuffle.partitions"))
     # remaining columns break ties (map columns cannot be ordered and are skipped)
     sort_cols = list(order_cols) + [f.name for f in df.schema.fields
                                     if f.name not in order_cols and not isinstance(f.dataType, MapType)]
-    base = df.checkpoint(eager=True) if pin else df
     # range bounds over the full order: a key with many distinct rows can be
     # split across partitions (only identical rows must share one)
-    ranged = base.repartitionByRange(n, *sort_cols).sortWithinPartitions(*sort_cols)
+    ranged = df.repartitionByRange(n, *sort_cols).sortWithinPartitions(*sort_cols)
     mid = F.monotonically_increasing_id()
     numbered = ranged.select(
         "*",
         F.shiftright(mid, _LOW_BITS).alias(_PART),
         (mid.bitwiseAND((1 << _LOW_BITS) - 1) + F.lit(1)).alias(_LOCAL),
-    )
+    ).checkpoint(eager=True)
     counts = numbered.groupBy(_PART).agg(F.count(F.lit(1)).alias("_n"))
     before = Window.orderBy(_PART).rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(_PART, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import MapType
 
 from tidemark.functions import require_columns, with_dense_index
 
@@ -14,20 +15,36 @@ def missing_audience(audience: DataFrame, output: DataFrame) -> DataFrame:
     return audience.select("vip_no").join(output.select("vip_no"), "vip_no", "left_anti")
 
 
+_ROW = "_row_hash"
+
+
+def _row_hash(df: DataFrame):
+    """Tells rows of one id apart (map columns cannot be hashed and are skipped)."""
+    return F.xxhash64(*[f.name for f in df.schema.fields if not isinstance(f.dataType, MapType)])
+
+
 def _backfill_parts(output: DataFrame, audience: DataFrame, cycle: bool):
+    """(missing ids, supplement rows).
+
+    Only keys are numbered.  The i-th missing id meets the i-th donor key, and
+    the wide rows are fetched for the donors in use alone; the output itself is
+    neither sorted nor shuffled in full.
+    """
     require_columns(output, ["vip_no"], "recommendation output")
-    # The output is numbered once and pinned (checkpoint); the union, the
-    # anti join and the donor side all read that copy instead of recomputing
-    # the recommender output three times.
-    donors = with_dense_index(output, ["vip_no"], "_i")
-    current = donors.drop("_i").select(*output.columns)
-    missing = missing_audience(audience, current)
+    keyed = output.withColumn(_ROW, _row_hash(output))
+    missing = missing_audience(audience, output)
     numbered = with_dense_index(missing, ["vip_no"], "_i")
+    donors = with_dense_index(keyed.select("vip_no", _ROW), ["vip_no"], "_i").select(
+        F.col("vip_no").alias("_donor"), F.col(_ROW).alias("_donor_row"), "_i")
     if cycle:
         n_donors = donors.select(F.max("_i")).scalar()
         numbered = numbered.withColumn("_i", (F.col("_i") - 1) % n_donors + 1)
-    supplement = numbered.join(donors.drop("vip_no"), "_i", "inner").select(*output.columns)
-    return current, numbered.drop("_i"), current.unionByName(supplement)
+    pairs = numbered.join(donors, "_i", "inner").drop("_i")
+    used = pairs.select(F.col("_donor").alias("vip_no"), F.col("_donor_row").alias(_ROW)).distinct()
+    wide = keyed.join(used, ["vip_no", _ROW], "left_semi").dropDuplicates(["vip_no", _ROW])
+    wide = wide.withColumnRenamed("vip_no", "_wide_id")
+    supplement = pairs.join(wide, (F.col("_donor").eqNullSafe(F.col("_wide_id"))) & (F.col("_donor_row") == F.col(_ROW)))
+    return numbered.drop("_i"), supplement.select(*output.columns)
 
 
 def fill_missing_recommendations(output: DataFrame, audience: DataFrame, cycle: bool = False) -> DataFrame:
@@ -39,39 +56,46 @@ def fill_missing_recommendations(output: DataFrame, audience: DataFrame, cycle:
     filled, as in the reference; ``cycle=True`` reuses donors round-robin
     (``(i - 1) % donors + 1``) so every missing id is filled.
     """
-    return _backfill_parts(output, audience, cycle)[2]
+    return output.unionByName(_backfill_parts(output, audience, cycle)[1])
 
 
 def backfill(output: DataFrame, audience: DataFrame, cycle: bool = False) -> tuple[DataFrame, DataFrame]:
-    """P9 and P10 together: ``(merged, counts)`` computed from one pinned copy of the output."""
-    current, missing, merged = _backfill_parts(output, audience, cycle)
-    return merged, _counts(current, audience, missing, merged)
+    """P9 and P10 together: ``(merged, counts)`` computed from one supplement."""
+    _, supplement = _backfill_parts(output, audience, cycle)
+    return output.unionByName(supplement), fill_missing_counts(output, audience, supplement)
 
 
-def fill_missing_counts(output: DataFrame, audience: DataFrame, merged: DataFrame) -> DataFrame:
+def fill_missing_counts(output: DataFrame, audience: DataFrame, supplement: DataFrame) -> DataFrame:
     """P10: distinct output ids, distinct audience ids, missing rows and distinct merged ids.
 
-    One aggregation over a tagged union (no cross join of one-row frames).
+    One row per id first (flags and the audience's row count, partially
+    aggregated), then one global sum: no distinct count and no Expand.
     """
-    return _counts(output, audience, missing_audience(audience, output), merged)
-
-
-def _counts(output: DataFrame, audience: DataFrame, missing: DataFrame, merged: DataFrame) -> DataFrame:
+    zero, one = F.lit(0).cast("long"), F.lit(1).cast("long")
     tagged = reduce(DataFrame.unionByName, [
-        output.select(F.lit("output").alias("_src"), "vip_no"),
-        audience.select(F.lit("audience").alias("_src"), "vip_no"),
-        missing.select(F.lit("missing").alias("_src"), "vip_no"),
-        merged.select(F.lit("merged").alias("_src"), "vip_no"),
+        output.select("vip_no", one.alias("o"), zero.alias("a"), zero.alias("m")),
+        audience.select("vip_no", zero.alias("o"), one.alias("a"), zero.alias("m")),
+        supplement.select("vip_no", zero.alias("o"), zero.alias("a"), one.alias("m")),
     ])
-    src = F.col("_src")
-    return tagged.agg(
-        F.count_distinct(F.when(src == "output", F.col("vip_no"))).alias("output_ids"),
-        F.count_distinct(F.when(src == "audience", F.col("vip_no"))).alias("audience_ids"),
-        F.count(F.when(src == "missing", F.lit(1))).alias("missing_rows"),
-        F.count_distinct(F.when(src == "merged", F.col("vip_no"))).alias("merged_ids"),
+    ids = tagged.groupBy("vip_no").agg(F.max("o").alias("o"), F.sum("a").alias("a"), F.max("m").alias("m"))
+    known = F.col("vip_no").isNotNull()
+    count = lambda c: F.coalesce(F.sum(F.when(c, 1).otherwise(0).cast("long")), F.lit(0))
+    # an audience row whose id is NULL matches no output row and is missing
+    return ids.agg(
+        count(known & (F.col("o") > 0)).alias("output_ids"),
+        count(known & (F.col("a") > 0)).alias("audience_ids"),
+        F.coalesce(F.sum(F.when((F.col("o") == 0) | ~known, F.col("a"))), F.lit(0)).alias("missing_rows"),
+        count(known & ((F.col("o") > 0) | (F.col("m") > 0))).alias("merged_ids"),
     )
 
 
+def unfilled_rows(output: DataFrame, audience: DataFrame) -> DataFrame:
+    """One row ``unfilled``: missing audience rows beyond the number of donors (never filled without ``cycle``)."""
+    donors = output.agg(F.count(F.lit(1))).scalar()
+    missing = missing_audience(audience, output).agg(F.count(F.lit(1)).alias("n"))
+    return missing.select(F.greatest(F.col("n") - donors, F.lit(0)).alias("unfilled"))
+
+
 def recommendations_union(*versions: DataFrame) -> DataFrame:
     """UNION ALL of the version outputs of one region (by column name)."""
     return reduce(DataFrame.unionByName, versions)
