@@ -13,32 +13,14 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
 
-# Inferred schemas by path.  Inferring a Parquet schema runs a footer-reading
-# job; the operators read the same base tables many times per plan, so the
-# schema is inferred once and every later read passes it explicitly (each read
-# is still a fresh DataFrame, so self-joins stay unambiguous).  Inputs are
-# treated as immutable for the life of the process; call
-# ``clear_schema_cache`` after replacing a dataset in place.
-_SCHEMAS: dict[str, StructType] = {}
+def read_parquet(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
+    """A Parquet file or directory; a known ``schema`` saves the footer-reading job."""
+    return (spark.read.schema(schema) if schema is not None else spark.read).parquet(path)
 
 
-def clear_schema_cache() -> None:
-    _SCHEMAS.clear()
-
-
-def read_parquet(spark: SparkSession, path: str) -> DataFrame:
-    """A Parquet file or directory."""
-    schema = _SCHEMAS.get(path)
-    if schema is None:
-        df = spark.read.parquet(path)
-        _SCHEMAS[path] = df.schema
-        return df
-    return spark.read.schema(schema).parquet(path)
-
-
-def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def read_table(spark: SparkSession, sf_dir: str, name: str, schema: StructType | None = None) -> DataFrame:
     """One base table of a scale-factor folder: ``<sf_dir>/<name>.parquet``."""
-    return read_parquet(spark, f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return read_parquet(spark, f"{sf_dir.rstrip('/')}/{name}.parquet", schema)
 
 
 def campaign_output_name(campaign_id: str, group: str, schema: str | None = None) -> str:
