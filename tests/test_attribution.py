@@ -92,9 +92,11 @@ def test_lineitem_attribution_brute_force(spark):
         "o_orderkey bigint, o_custkey bigint, o_orderpriority string, o_orderdate timestamp_ntz")
     blasts = spark.createDataFrame([("10", dt.date(2000, 1, 1)), ("11", dt.date(2000, 1, 1)),
                                     ("11", dt.date(2000, 2, 1))], "vip_no string, blast_date date")
-    out = lineitem_attribution(lines, orders, blasts)
-    # order 2 is on day 8 of the January blast: outside; order 4 on day 7 of February: inside
-    assert rows(out) == [(dt.date(2000, 1, 1), 1, 7), (dt.date(2000, 2, 1), 1, 8)]
+    redeem = spark.createDataFrame([(1,), (2,), (4,), (4,)], "order_no bigint")
+    out = lineitem_attribution(lines, orders, redeem, blasts)
+    # order 2 is on day 8 of the January blast: outside; order 3 is not redeemed; order 4 is on day 7
+    # of February: inside, and redeemed twice
+    assert rows(out) == [(dt.date(2000, 1, 1), 1, 7), (dt.date(2000, 2, 1), 1, 16)]
 
 
 def test_window_join_spreads_a_hot_member(spark):

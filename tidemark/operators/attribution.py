@@ -75,16 +75,20 @@ def individual_email_response(details: DataFrame, contact: DataFrame, response:
     are excluded.  ``blast_region`` is the fifth ``_`` token of the name
     (``region_upper=True`` upper-cases it for lower-case names, D19).
     """
-    dl = details.where(F.lower(F.col("name")).like(f"%{keyword}%") & (F.col("campaign_category") == category)) \
-        .select("id", "name", "date_sent").alias("DL")
-    ct = contact.where(~F.col("vip_no").like("%test%")).select("campaign_id", "vip_no").alias("CT")
-    rs = response.select("id", "vip_no", "source").alias("RS")
-    # Contacts meet responses first on (campaign, member), a key with one
-    # value per member; the campaign table (a few rows per campaign, filtered)
-    # joins last.  Joining on the campaign id first would make a shuffle key
-    # with one value per campaign, i.e. one task per campaign.
+    dl = broadcast_if_small(details.where(F.lower(F.col("name")).like(f"%{keyword}%") & (F.col("campaign_category") == category))
+                            .select("id", "name", "date_sent"))
+    ids = dl.select(F.col("id").alias("campaign_id"))
+    # Only this campaign's rows are shuffled: both large sides are cut to the
+    # matching campaign ids first (a semi join whose small side is broadcast
+    # while its size is under the bound), and the response is reduced to its
+    # distinct triples.  Contacts and responses then meet on (campaign, member),
+    # a key with one value per member, never on the campaign id alone.
+    ct = (contact.where(~F.col("vip_no").like("%test%")).join(broadcast_if_small(ids), "campaign_id", "left_semi")
+          .select("campaign_id", "vip_no").alias("CT"))
+    rs = (response.join(broadcast_if_small(ids.withColumnRenamed("campaign_id", "id")), "id", "left_semi")
+          .select("id", "vip_no", "source").distinct().alias("RS"))
     j = (ct.join(rs, (F.col("RS.id") == F.col("CT.campaign_id")) & (F.col("RS.vip_no") == F.col("CT.vip_no")), "inner")
-         .join(broadcast_if_small(dl), F.col("DL.id") == F.col("CT.campaign_id"), "inner"))
+         .join(dl.alias("DL"), F.col("DL.id") == F.col("CT.campaign_id"), "inner"))
     region = F.split_part(F.col("DL.name"), F.lit("_"), F.lit(5))
     if region_upper:
         region = F.upper(region)
@@ -100,21 +104,25 @@ def individual_email_response(details: DataFrame, contact: DataFrame, response:
     ).distinct()
 
 
-def lineitem_attribution(lineitem: DataFrame, orders: DataFrame, blasts: DataFrame, priority: str = "1-URGENT",
+def lineitem_attribution(lineitem: DataFrame, orders: DataFrame, redeem: DataFrame, blasts: DataFrame,
                          days: int = ATTRIBUTION_DAYS) -> DataFrame:
-    """P23 at order-line scale: members with a purchase of ``priority`` orders in
+    """P23 at order-line scale: members with a voucher-redeemed order in
     ``[blast_date, blast_date + days]`` and the quantity they bought, per blast date.
 
+    ``redeem`` (order_no) multiplies an order by its number of rows, as in P23.
     Lines are summed per order before the order join, orders per (member, day)
     before the window join, so each shuffle moves pre-aggregated rows.
     """
     per_order = (lineitem.groupBy("l_orderkey")
                  .agg(F.sum(F.col("l_quantity").cast("bigint")).alias("_q")))
-    urgent = orders.where(F.col("o_orderpriority") == priority).select(
+    redeems = redeem.groupBy(F.col("order_no").alias("l_orderkey")).agg(F.count(F.lit(1)).alias("_redeems"))
+    bought = orders.select(
         F.col("o_orderkey").alias("l_orderkey"),
         F.col("o_custkey").cast("string").alias("vip_no"),
         F.col("o_orderdate").cast("date").alias("_order_day"))
-    per_day = (per_order.join(urgent, "l_orderkey", "inner")
-               .groupBy("vip_no", "_order_day").agg(F.sum("_q").alias("_q")))
+    per_day = (per_order.join(redeems, "l_orderkey", "inner").join(bought, "l_orderkey", "inner")
+               .groupBy("vip_no", "_order_day").agg(F.sum(F.col("_q") * F.col("_redeems")).alias("_q")))
     hits = date_window_join(per_day, blasts.select("vip_no", "blast_date"), ["vip_no"], "_order_day", "blast_date", days)
-    return hits.groupBy("blast_date").agg(F.count_distinct("vip_no").alias("n"), F.sum("_q").alias("q"))
+    # one row per (blast, member) first: the distinct count becomes a count
+    members = hits.groupBy("blast_date", "vip_no").agg(F.sum("_q").alias("_q"))
+    return members.groupBy("blast_date").agg(F.count("vip_no").alias("n"), F.sum("_q").alias("q"))
