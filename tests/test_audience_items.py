@@ -7,18 +7,30 @@ from tidemark.operators import items
 from tests.conftest import rows
 
 SNAP = ("vip_no string, status string, cust_type string, country_of_residence string, gender string, email string, "
-        "promotion_edm_flg string, card_type string, pref_lang string, customer_name_shortened_chi string")
+        "promotion_edm_flg string, card_type string, pref_lang string, customer_name_shortened_chi string, "
+        "data_as_of string, card_start_date string, mailing_gp string, birth_mth string, promotion_sms_flg string, phone_no string")
+REST = ("2024-01-09", "2015-02-03", "G1", "07", "Y", "85212345678")
 
 
 def _snapshot(spark):
-    return spark.createDataFrame([
+    return spark.createDataFrame([r + REST for r in [
         ("1", "Active", "Hong Kong", "HK", "Male", "a@x", "Y", "gold", "EN", "n1"),
         ("2", "Active", "China", None, None, None, "N", "silver", "TC", "n2"),
         ("3", "Inactive", "China", "CN", "Female", "c@x", "Y", "silver", "TC", "n3"),
         ("4", "Active", "Staff", "US", "Female", "d@x", "Y", "silver", "TC", "n4"),
         ("5", "Active", "Overseas", "US", "Other", "e@x", "Y", "silver", "TC", "n5"),
         ("6", "Active", "Overseas", "CN", "Female", "f@x", "Y", "silver", "TC", "n6"),
-    ], SNAP)
+    ]], SNAP)
+
+
+def test_audience_has_all_columns(spark):
+    reach = spark.createDataFrame([("1",)], "vip_no string")
+    out = aud.active_reachable_audience(_snapshot(spark), reach)
+    assert tuple(out.columns) == aud.AUDIENCE_COLUMNS and len(out.columns) == 16
+    r = out.collect()[0]
+    assert (r.data_as_of, r.card_start_date, r.phone_no) == (dt.date(2024, 1, 9), dt.date(2015, 2, 3), "85212345678")
+    with pytest.raises(ValueError, match="phone_no"):
+        aud.active_reachable_audience(_snapshot(spark).drop("phone_no"), reach)
 
 
 def test_active_reachable_audience(spark):

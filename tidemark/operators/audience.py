@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.functions import parse_yyyymmdd, require_columns
+from tidemark.functions import broadcast_if_small, parse_yyyymmdd, require_columns
 
 # Fixed values of the audience rules.
 CAMPAIGN_CUST_TYPES = ("Hong Kong", "Overseas", "China")
 VOUCHER_REGIONS = {"hk": ("HKG",), "cn": ("BJG", "SHG", "CHD")}
-# Output columns of the audience, in order; those absent from the snapshot are skipped.
+# Output columns of the audience, in order; the snapshot must have all of them.
 AUDIENCE_COLUMNS = ("data_as_of", "card_start_date", "vip_no", "status", "card_type", "mailing_gp", "cust_type",
                     "gender", "birth_mth", "country_of_residence", "promotion_edm_flg", "promotion_sms_flg", "email",
                     "phone_no", "pref_lang", "customer_name_shortened_chi")
@@ -33,13 +33,11 @@ def active_reachable_audience(snapshot: DataFrame, reachable: DataFrame,
     Residence is folded to CN / HK / Others (NULL -> Others).  Both inputs are
     shuffled on ``vip_no`` once; the DISTINCT reuses that partitioning.
     """
-    require_columns(snapshot, ["vip_no", "status", "cust_type", "country_of_residence"], "member snapshot")
+    require_columns(snapshot, list(AUDIENCE_COLUMNS), "member snapshot")
     members = snapshot.where((F.col("status") == "Active") & F.col("cust_type").isin(*cust_types))
     joined = members.join(reachable.select("vip_no"), "vip_no", "inner")
     cols = []
     for c in AUDIENCE_COLUMNS:
-        if c not in snapshot.columns:
-            continue
         if c in DATE_COLUMNS:
             cols.append(F.col(c).cast("date").alias(c))
         elif c == "country_of_residence":
@@ -96,8 +94,8 @@ def apply_audience_filter(members: DataFrame, filters: DataFrame, region: str,
 
     ``members`` carries ``group`` (lower or title case) plus one column per
     attribute.  The filter table is configuration (a few rows per region and
-    group, a bound fixed by the config, not the data), so it is broadcast into
-    semi joins.
+    group); it is broadcast only while its estimated size is under the fixed
+    bound, else the planner decides.
     """
     if region.lower() not in NATIONALITIES:
         # the configuration has no entry for this region (the reference's lookup fails too, D21)
@@ -107,6 +105,6 @@ def apply_audience_filter(members: DataFrame, filters: DataFrame, region: str,
     for attribute in attributes:
         allowed = f.where(F.col("attribute") == attribute).select(F.col("group").alias("_grp"),
                                                                    F.col("value").alias("_val"))
-        out = out.join(F.broadcast(allowed), (out["_grp"] == allowed["_grp"]) & (out[attribute] == allowed["_val"]),
+        out = out.join(broadcast_if_small(allowed), (out["_grp"] == allowed["_grp"]) & (out[attribute] == allowed["_val"]),
                        "left_semi")
     return out.drop("_grp")

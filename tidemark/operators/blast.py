@@ -41,24 +41,27 @@ def blast_base(recs: DataFrame, audience: DataFrame, blast_date, campaign_id: st
 
 
 def blast_with_seeds(df: DataFrame, seed_ids=("testSeedA_gold", "testSeedB_gold"), salt: str = "seed") -> DataFrame:
-    """Copy ``len(seed_ids)`` rows under test ids with a blank email and append them.
+    """Copy the rows of ``len(seed_ids)`` members under test ids with a blank email.
 
-    The rows are the first ones by ``md5(salt || vip_no)`` (a salted,
-    reproducible sample instead of an unseeded one): a distributed top-k, so
-    at most k rows per task reach the final merge.
+    The members are the first ones by ``md5(salt || vip_no)`` (a salted,
+    reproducible sample instead of an unseeded one): a distributed top-k over
+    ids alone, so at most k ids per task reach the final merge.  The k picked
+    ids are broadcast back (a table of k rows), and one pass over the wide rows
+    emits each original and, for a picked member, its copy.
     """
     k = len(seed_ids)
     if k == 0:
         return df
     key = F.md5(F.concat(F.lit(salt), F.col("vip_no")))
-    picked = df.withColumn("_seed_key", key).orderBy("_seed_key", "vip_no").limit(k)
-    ids = F.array(*[F.lit(s) for s in seed_ids])
+    picked = df.select("vip_no").distinct().withColumn("_seed_key", key).orderBy("_seed_key", "vip_no").limit(k)
     # k rows only: a window without partitioning is bounded by the seed count
     rank = F.row_number().over(Window.orderBy("_seed_key", "vip_no"))
-    seeds = (picked.withColumn("vip_no", F.element_at(ids, rank))
-             .withColumn("email", F.lit(""))
-             .select(*df.columns))
-    return df.unionByName(seeds)
+    seeds = picked.select(F.col("vip_no").alias("_member"), F.element_at(F.array(*[F.lit(s) for s in seed_ids]), rank).alias("_seed"))
+    own = F.struct(F.col("vip_no").alias("v"), F.col("email").alias("e"))
+    copy = F.struct(F.col("_seed").alias("v"), F.lit("").alias("e"))
+    both = df.join(F.broadcast(seeds), F.col("vip_no") == F.col("_member"), "left").withColumn(
+        "_row", F.explode(F.when(F.col("_seed").isNull(), F.array(own)).otherwise(F.array(own, copy))))
+    return both.withColumn("vip_no", F.col("_row.v")).withColumn("email", F.col("_row.e")).select(*df.columns)
 
 
 def utm_campaign(blast_date) -> str:
