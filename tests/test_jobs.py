@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 import __spark_entry__ as E
 from tidemark.plans import jobs
 from tidemark.sources import relations as rel
-from tidemark.streaming import stream_blast_history
 
 SF = "/root/testdata/sf0.001"
 
@@ -32,7 +31,7 @@ def test_jobs_end_to_end(spark, scratch):
     def load_version(campaign_id, group):
         region = campaign_id.split("_")[-1]
         grouped = spark.read.parquet(f"{out}/audience/lc_fprp_notification_{region}.parquet")
-        return rel.version_output(t, grouped, group.capitalize()).where(F.col("vip_no").cast("bigint") % 6 != 0)
+        return rel.version_output(rel.recommendations(t), grouped, group.capitalize()).where(F.col("vip_no").cast("bigint") % 6 != 0)
 
     def load_audience(region):
         return spark.read.parquet(f"{out}/audience/lc_fprp_notification_{region}.parquet")
@@ -40,6 +39,7 @@ def test_jobs_end_to_end(spark, scratch):
     report = jobs.run_blast(spark, registry, load_version, load_audience, rel.item_master_partial(t), out, history,
                             dt.date(2024, 1, 9), salt="seed-2024")
     assert report["hk"]["blast_date"] == blast_date
+    assert set(report["hk"]["unfilled"]) == {"female", "male"}
     hist = spark.read.parquet(history)
     # the history equals the registered query's rows (same chain, backfilled recommendations here)
     assert hist.where("region = 'hk'").count() > 0
@@ -61,28 +61,29 @@ def test_kpi_job_matches_registered_query(spark):
     assert sorted(map(tuple, out.collect()), key=repr) == sorted(map(tuple, E.entry(spark).collect()), key=repr)
 
 
-def test_stream_history_exactly_once(spark, scratch):
-    schema = "vip_no string, blast_date date, region string"
-    src, hist, ckpt = (os.path.join(scratch, n) for n in ("lists", "history", "ckpt"))
-    d = dt.date(2024, 1, 10)
-    spark.createDataFrame([("a", d, "hk"), ("b", d, "hk")], schema).write.mode("append").parquet(src)
-    st = spark.createDataFrame([], schema).schema
-    stream_blast_history(spark, src, hist, st, ckpt).awaitTermination()
-    stream_blast_history(spark, src, hist, st, ckpt).awaitTermination()    # nothing new: nothing added
-    assert spark.read.parquet(hist).count() == 2
-    spark.createDataFrame([("c", d, "cn")], schema).write.mode("append").parquet(src)
-    stream_blast_history(spark, src, hist, st, ckpt).awaitTermination()
-    assert sorted(r.vip_no for r in spark.read.parquet(hist).collect()) == ["a", "b", "c"]
-
-
-def test_default_stream_checkpoint_is_stable(spark):
-    from tidemark.streaming import default_stream_checkpoint
-    if not (spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)):
-        spark.conf.set("spark.checkpoint.dir", "/tmp/tidemark-test-ckpt")
-    a = default_stream_checkpoint(spark, "/data/history")
-    assert a == default_stream_checkpoint(spark, "/data/history/")
-    assert a != default_stream_checkpoint(spark, "/data/other")
-    assert spark.sparkContext.getCheckpointDir() is None or a not in spark.sparkContext.getCheckpointDir()
+def test_both_groups_are_registered_without_an_audience(spark, scratch):
+    """A region whose audience is empty (or lacks a group) still gets the new campaign, never last week's."""
+    t = rel.Tables(spark, SF)
+    only_cn = spark.createDataFrame([("1", "20990101", "BJG")], "vip_no string, collect_start_date string, region string")
+    out, registry_path = (os.path.join(scratch, n) for n in ("out", "registry"))
+    for day, voucher in ((dt.date(2024, 1, 3), rel.voucher_summary(t)), (dt.date(2024, 1, 10), only_cn)):
+        inputs = jobs.CampaignInputs(rel.member_snapshot(t), rel.member_reachable(t), voucher,
+                                     rel.publication_status(t), rel.item_start_date(t), rel.item_master(t))
+        jobs.prepare_campaign(spark, inputs, day, rel.ITEMS_AS_OF, out, registry_path)
+    assert spark.read.parquet(f"{out}/audience/lc_fprp_notification_hk.parquet").count() == 0
+    camp, audiences = jobs.lookup_campaign(spark, spark.read.parquet(registry_path), "hk")
+    assert camp == "lc_fprp_notification_20240110_hk"
+    assert sorted(audiences) == [f"{camp}_female", f"{camp}_male"]
+    versions = spark.read.parquet(f"{out}/campaign/{camp}/versions")
+    assert sorted(r.version_id for r in versions.collect()) == ["female", "male"]
+
+
+def test_blast_reports_unfilled_members(spark):
+    from tidemark.operators.recommend import unfilled_rows
+    out = spark.createDataFrame([("o1",), ("o2",)], "vip_no string")
+    aud = spark.createDataFrame([("a1",), ("a2",), ("a3",), ("o1",)], "vip_no string")
+    assert unfilled_rows(out, aud).collect()[0]["unfilled"] == 1
+    assert unfilled_rows(out, aud.limit(0)).collect()[0]["unfilled"] == 0
 
 
 def test_views_answer_sql(spark):
@@ -113,7 +114,7 @@ def test_blast_backfills_version_tables_in_place(spark, scratch):
     grouped = spark.read.parquet(f"{out}/audience/lc_fprp_notification_cn.parquet")
     tables = os.path.join(scratch, "tables")
     for group in jobs.GROUPS:   # the recommender's tables, missing every sixth member
-        (rel.version_output(t, grouped, group.capitalize()).where(F.col("vip_no").cast("bigint") % 6 != 0)
+        (rel.version_output(rel.recommendations(t), grouped, group.capitalize()).where(F.col("vip_no").cast("bigint") % 6 != 0)
          .write.parquet(f"{tables}/{group}"))
     before = {g: spark.read.parquet(f"{tables}/{g}").count() for g in jobs.GROUPS}
 

@@ -9,13 +9,23 @@ reproducible; the operators themselves take them as arguments.
 from __future__ import annotations
 
 import datetime as _dt
+import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from tidemark import sinks
 from tidemark.operators import attribution as att
+from tidemark.operators import audience as aud
+from tidemark.operators import blast as bl
+from tidemark.operators import feeds
+from tidemark.operators import funnel
+from tidemark.operators import items
 from tidemark.operators import kpi
+from tidemark.operators import recommend as recm
+from tidemark.operators import registry as reg
 from tidemark.sources import relations as rel
+from tidemark.session import ensure_checkpoint_dir
 from tidemark.sources.relations import Tables
 
 # Fixed run parameters of the registered queries.
@@ -24,6 +34,8 @@ BLAST_DATE = _dt.date(2024, 1, 10)       # blast date of the assembled blast (da
 RUN_DATE = _dt.date(2024, 1, 9)          # created_date of the export feeds
 SEED_IDS = ("testSeedA_gold", "testSeedB_gold")
 SEED_SALT = "seed-2024"
+REGIONS = ("hk", "cn")                   # every region-bound step runs for both, with a region column
+PREVIOUS_BLAST_DATE = _dt.date(2024, 1, 3)   # registry content before this run
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -86,20 +98,28 @@ def q_monthly_kpi_deduped(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("attribution_lineitem")
 def q_attribution_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = Tables(spark, sf_dir)
-    return att.lineitem_attribution(t.lineitem, t.orders, rel.attribution_blasts(t))
+    return att.lineitem_attribution(t.lineitem, t.orders, rel.order_redeem(t), rel.attribution_blasts(t))
 
 
-# --------------------------------------------------------------------------- audience
+# --------------------------------------------------------------------------- region steps
 
-from tidemark.operators import audience as aud  # noqa: E402
-from tidemark.operators import items  # noqa: E402
-from tidemark.operators import recommend as recm  # noqa: E402
-from tidemark.operators import blast as bl  # noqa: E402
-from tidemark.operators import feeds  # noqa: E402
-from tidemark.operators import funnel  # noqa: E402
-from tidemark.operators import registry as reg  # noqa: E402
+def _regions(step: Callable[[str], DataFrame]) -> DataFrame:
+    """One step for every region, told apart by a region column."""
+    frames = [step(r).withColumn("region", F.lit(r)) for r in REGIONS]
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f)
+    return out
 
-PREVIOUS_BLAST_DATE = _dt.date(2024, 1, 3)   # registry content before this run
+
+def _stored(t: Tables, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+    """A frame that production reads from a stored table: written once per query, in the shared folder."""
+    cache = t.__dict__.setdefault("_built", {})
+    if name not in cache:
+        path = f"{ensure_checkpoint_dir(t.spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+        build().write.parquet(path)
+        cache[name] = path
+    return t.spark.read.parquet(cache[name])
 
 
 def _audience0(t: Tables) -> DataFrame:
@@ -114,198 +134,133 @@ def _grouped(t: Tables, region: str) -> DataFrame:
     return aud.audience_grouped(_audience(t, region))
 
 
-@register("active_reachable_audience")
-def q_active_reachable_audience(spark, sf_dir):
-    return _audience0(Tables(spark, sf_dir))
-
-
-@register("voucher_audience_hk")
-def q_voucher_audience_hk(spark, sf_dir):
-    return _audience(Tables(spark, sf_dir), "hk")
-
+def _stored_audience(t: Tables, region: str) -> DataFrame:
+    """The grouped audience as the day -1 run stored it."""
+    return _stored(t, f"grouped_{region}", lambda: _grouped(t, region))
 
-@register("voucher_audience_cn")
-def q_voucher_audience_cn(spark, sf_dir):
-    return _audience(Tables(spark, sf_dir), "cn")
 
+def _recommendations(t: Tables) -> DataFrame:
+    """The recommender's output, which other steps only read."""
+    return _stored(t, "recommendations", lambda: rel.recommendations(t))
 
-@register("audience_grouped")
-def q_audience_grouped(spark, sf_dir):
-    return _grouped(Tables(spark, sf_dir), "cn")
 
+def _versions(t: Tables, region: str) -> DataFrame:
+    grouped, recs = _stored_audience(t, region), _recommendations(t)
+    return recm.recommendations_union(*[rel.version_output(recs, grouped, g) for g in ("Female", "Male")])
 
-@register("audience_ids_by_group")
-def q_audience_ids_by_group(spark, sf_dir):
-    return aud.audience_ids_by_group(_grouped(Tables(spark, sf_dir), "cn"))
 
+def _output(t: Tables, region: str) -> DataFrame:
+    return rel.rec_output(_recommendations(t), _stored_audience(t, region))
 
-# --------------------------------------------------------------------------- items
 
-def _new_in(t: Tables, region: str = "hk") -> DataFrame:
+def _new_in(t: Tables, region: str) -> DataFrame:
     return items.new_in_list_direct(rel.publication_status(t), rel.item_start_date(t), rel.item_master(t),
                                     region, ITEMS_AS_OF)
 
 
-@register("new_in_candidates")
-def q_new_in_candidates(spark, sf_dir):
-    t = Tables(spark, sf_dir)
-    return items.new_in_candidates(rel.publication_status(t), rel.item_start_date(t), rel.child_sku(t),
-                                   rel.inventory(t), rel.item_master(t), "hk", ITEMS_AS_OF)
-
-
-@register("new_in_list")
-def q_new_in_list(spark, sf_dir):
-    return _new_in(Tables(spark, sf_dir))
-
-
-@register("new_in_list_final")
-def q_new_in_list_final(spark, sf_dir):
-    return items.new_in_list_final(_new_in(Tables(spark, sf_dir)), ITEMS_AS_OF)
-
+def _blast_base(t: Tables, region: str) -> DataFrame:
+    return bl.blast_base(_versions(t, region), _stored_audience(t, region), BLAST_DATE)
 
-# --------------------------------------------------------------------------- recommendations
 
-def _rec_output_cn(t: Tables) -> DataFrame:
-    return rel.rec_output(t, _audience(t, "cn"))
-
-
-@register("missing_audience")
-def q_missing_audience(spark, sf_dir):
-    t = Tables(spark, sf_dir)
-    return recm.missing_audience(_audience(t, "cn"), _rec_output_cn(t))
-
-
-@register("fill_missing_recommendations")
-def q_fill_missing_recommendations(spark, sf_dir):
-    t = Tables(spark, sf_dir)
-    return recm.fill_missing_recommendations(_rec_output_cn(t), _audience(t, "cn"))
-
-
-@register("fill_missing_counts")
-def q_fill_missing_counts(spark, sf_dir):
-    t = Tables(spark, sf_dir)
-    return recm.backfill(_rec_output_cn(t), _audience(t, "cn"))[1]
-
-
-def _recs_union(t: Tables, grouped: DataFrame) -> DataFrame:
-    return recm.recommendations_union(rel.version_output(t, grouped, "Female"), rel.version_output(t, grouped, "Male"))
-
-
-@register("recommendations_union")
-def q_recommendations_union(spark, sf_dir):
-    t = Tables(spark, sf_dir)
-    return _recs_union(t, _grouped(t, "hk"))
-
-
-# --------------------------------------------------------------------------- blast
-
-def _blast_base(t: Tables, region: str = "hk", grouped: DataFrame | None = None) -> DataFrame:
-    grouped = _grouped(t, region) if grouped is None else grouped
-    return bl.blast_base(_recs_union(t, grouped), grouped, BLAST_DATE)
-
-
-def _seeded(t: Tables, region: str = "hk") -> DataFrame:
+def _seeded(t: Tables, region: str) -> DataFrame:
     return bl.blast_with_seeds(_blast_base(t, region), SEED_IDS, SEED_SALT)
 
 
-def _tagged(t: Tables, region: str = "hk") -> DataFrame:
+def _tagged(t: Tables, region: str) -> DataFrame:
     return bl.utm_tags(_seeded(t, region), BLAST_DATE)
 
 
-def _region_list(t: Tables, region: str = "hk") -> DataFrame:
+def _region_list(t: Tables, region: str) -> DataFrame:
     return bl.region_list(_blast_base(t, region), BLAST_DATE, SEED_IDS, SEED_SALT)
 
 
-@register("blast_base")
-def q_blast_base(spark, sf_dir):
-    return _blast_base(Tables(spark, sf_dir))
-
-
-@register("blast_with_seeds")
-def q_blast_with_seeds(spark, sf_dir):
-    return _seeded(Tables(spark, sf_dir))
+def _personalization(t: Tables, region: str) -> DataFrame:
+    return feeds.campaign_personalization(_region_list(t, region), RUN_DATE)
 
 
-@register("utm_tags")
-def q_utm_tags(spark, sf_dir):
-    return _tagged(Tables(spark, sf_dir))
-
-
-@register("slot_quality_ok")
-def q_slot_quality_ok(spark, sf_dir):
-    return bl.slot_quality_ok(_tagged(Tables(spark, sf_dir)))
-
+def _candidates(t: Tables, region: str) -> DataFrame:
+    return items.new_in_candidates(rel.publication_status(t), rel.item_start_date(t), rel.child_sku(t),
+                                   rel.inventory(t), rel.item_master(t), region, ITEMS_AS_OF)
 
-@register("slot_quality_rejects")
-def q_slot_quality_rejects(spark, sf_dir):
-    return bl.slot_quality_rejects(_tagged(Tables(spark, sf_dir)))
 
+def _registry_before(t: Tables) -> DataFrame:
+    frames = []
+    for region in REGIONS:
+        versions = reg.audience_versions(_grouped(t, region), PREVIOUS_BLAST_DATE, region)
+        frames.append(reg.registry_rows(reg.customization_id(region), reg.campaign_id(PREVIOUS_BLAST_DATE, region),
+                                        versions.select("audience_id")))
+    return frames[0].unionByName(frames[1])
 
-@register("top_brands")
-def q_top_brands(spark, sf_dir):
-    return _region_list(Tables(spark, sf_dir))
 
+def _registry_after(t: Tables, region: str = "hk") -> DataFrame:
+    versions = reg.audience_versions(_grouped(t, region), BLAST_DATE, region)
+    return reg.customization_replace(_registry_before(t), reg.customization_id(region), reg.campaign_id(BLAST_DATE, region),
+                                     versions.select("audience_id"))
 
-@register("append_blast_history")
-def q_append_blast_history(spark, sf_dir):
-    t = Tables(spark, sf_dir)
-    return bl.history_rows({"hk": _region_list(t, "hk"), "cn": _region_list(t, "cn")})
 
+# name -> step of one region
+STEPS: dict[str, Callable[[Tables, str], DataFrame]] = {
+    "audience_grouped": _grouped,
+    "audience_ids_by_group": lambda t, r: aud.audience_ids_by_group(_grouped(t, r)),
+    "new_in_candidates": _candidates,
+    "new_in_list": _new_in,
+    "new_in_list_final": lambda t, r: items.new_in_list_final(_new_in(t, r), ITEMS_AS_OF),
+    "missing_audience": lambda t, r: recm.missing_audience(_stored_audience(t, r), _output(t, r)),
+    "fill_missing_recommendations": lambda t, r: recm.fill_missing_recommendations(_output(t, r), _stored_audience(t, r)),
+    "fill_missing_counts": lambda t, r: recm.backfill(_output(t, r), _stored_audience(t, r))[1],
+    "recommendations_union": _versions,
+    "blast_base": _blast_base,
+    "blast_with_seeds": _seeded,
+    "utm_tags": _tagged,
+    "slot_quality_ok": lambda t, r: bl.slot_quality_ok(_tagged(t, r)),
+    "slot_quality_rejects": lambda t, r: bl.slot_quality_rejects(_tagged(t, r)),
+    "top_brands": _region_list,
+    "product_recommendation": lambda t, r: feeds.product_recommendation(_region_list(t, r), RUN_DATE),
+    "products": lambda t, r: feeds.products(_region_list(t, r), rel.item_master_partial(t), RUN_DATE),
+    "campaign_personalization": _personalization,
+    "blast_funnel": lambda t, r: funnel.blast_funnel(_stored_audience(t, r), _versions(t, r), _personalization(t, r)),
+    "customization_lookup": lambda t, r: reg.customization_lookup(_registry_after(t, r), reg.customization_id(r)),
+    "campaign_version_table": lambda t, r: reg.campaign_version_table(reg.audience_versions(_grouped(t, r), BLAST_DATE, r), r).drop("region"),
+}
+
+
+def _step_query(step: Callable[[Tables, str], DataFrame]):
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        t = Tables(spark, sf_dir)
+        return _regions(lambda region: step(t, region))
+    return run
+
+
+for _name, _step in STEPS.items():
+    QUERIES[_name] = _step_query(_step)
 
-# --------------------------------------------------------------------------- feeds + funnel
 
-@register("product_recommendation")
-def q_product_recommendation(spark, sf_dir):
-    return feeds.product_recommendation(_region_list(Tables(spark, sf_dir)), RUN_DATE)
+@register("active_reachable_audience")
+def q_active_reachable_audience(spark, sf_dir):
+    return _audience0(Tables(spark, sf_dir))
 
 
-@register("products")
-def q_products(spark, sf_dir):
-    t = Tables(spark, sf_dir)
-    return feeds.products(_region_list(t), rel.item_master_partial(t), RUN_DATE)
+@register("voucher_audience_hk")
+def q_voucher_audience_hk(spark, sf_dir):
+    return _audience(Tables(spark, sf_dir), "hk")
 
 
-@register("campaign_personalization")
-def q_campaign_personalization(spark, sf_dir):
-    return feeds.campaign_personalization(_region_list(Tables(spark, sf_dir)), RUN_DATE)
+@register("voucher_audience_cn")
+def q_voucher_audience_cn(spark, sf_dir):
+    return _audience(Tables(spark, sf_dir), "cn")
 
 
-@register("blast_funnel")
-def q_blast_funnel(spark, sf_dir):
+@register("append_blast_history")
+def q_append_blast_history(spark, sf_dir):
+    """Both regions' lists appended to a new history twice (a re-run must not duplicate), then read back."""
     t = Tables(spark, sf_dir)
-    grouped = _grouped(t, "hk")
-    personalization = feeds.campaign_personalization(_region_list(t), RUN_DATE)
-    return funnel.blast_funnel(grouped, _recs_union(t, grouped), personalization)
-
-
-# --------------------------------------------------------------------------- registry + config
-
-def _registry_before(t: Tables) -> DataFrame:
-    frames = []
-    for region in ("hk", "cn"):
-        versions = reg.audience_versions(_grouped(t, region), PREVIOUS_BLAST_DATE, region)
-        frames.append(reg.registry_rows(reg.customization_id(region), reg.campaign_id(PREVIOUS_BLAST_DATE, region),
-                                        versions.select("audience_id")))
-    return frames[0].unionByName(frames[1])
-
-
-def _registry_after(t: Tables) -> DataFrame:
-    versions = reg.audience_versions(_grouped(t, "hk"), BLAST_DATE, "hk")
-    return reg.customization_replace(_registry_before(t), reg.customization_id("hk"), reg.campaign_id(BLAST_DATE, "hk"),
-                                     versions.select("audience_id"))
+    rows = bl.history_rows({r: _region_list(t, r) for r in REGIONS})
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/blast-history-{uuid.uuid4().hex}"
+    for _ in range(2):
+        sinks.append_blast_history(rows, path)
+    return spark.read.parquet(path)
 
 
 @register("customization_replace")
 def q_customization_replace(spark, sf_dir):
     return _registry_after(Tables(spark, sf_dir))
-
-
-@register("customization_lookup")
-def q_customization_lookup(spark, sf_dir):
-    return reg.customization_lookup(_registry_after(Tables(spark, sf_dir)), reg.customization_id("hk"))
-
-
-@register("campaign_version_table")
-def q_campaign_version_table(spark, sf_dir):
-    t = Tables(spark, sf_dir)
-    return reg.campaign_version_table(reg.audience_versions(_grouped(t, "hk"), BLAST_DATE, "hk"), "hk")

@@ -35,6 +35,7 @@ from tidemark.session import ensure_checkpoint_dir
 
 GROUPS = ("female", "male")
 REGIONS = ("hk", "cn")
+MAX_AUDIENCES = 1000
 
 
 @dataclass
@@ -89,11 +90,12 @@ def prepare_campaign(spark: SparkSession, inputs: CampaignInputs, blast_date, as
                                      as_of), as_of)
         item_list = f"{out_dir}/campaign/{camp}/item_list.csv"
         sinks.write_csv(new_in, item_list)
-        versions = reg.audience_versions(grouped, blast_date, region)
+        # every group of the run is registered, whoever is in the audience
+        ids = [audience_id(blast_date, region, group) for group in groups]
+        versions = reg.version_pairs(spark, camp, list(groups), ids)
         sinks.write_parquet(reg.campaign_version_table(versions, region, item_list), f"{out_dir}/campaign/{camp}/versions")
         sinks.write_parquet(layouts.where(F.col("region") == region.lower()), f"{out_dir}/campaign/{camp}/layout")
-        new_rows = reg.registry_rows(reg.customization_id(region), camp, versions.select("audience_id"))
-        sinks.write_registry(new_rows, registry_path)
+        sinks.write_registry(spark, registry_path, reg.customization_id(region), camp, ids)
         written[region] = camp
     return written
 
@@ -102,7 +104,9 @@ def lookup_campaign(spark: SparkSession, registry: DataFrame, region: str) -> tu
     """P28 at the edge: (campaign_id, audience_ids) of a region; raises when absent."""
     cid = reg.customization_id(region)
     found = reg.require_customization(reg.customization_lookup(registry, cid), cid)
-    rows = found.collect()   # registry rows of one key: one per audience group
+    rows = found.limit(MAX_AUDIENCES + 1).collect()   # registry rows of one key: one per audience group
+    if len(rows) > MAX_AUDIENCES:
+        raise ValueError(f"more than {MAX_AUDIENCES} audiences registered for '{cid}'")
     return rows[0]["campaign_id"], [r["audience_id"] for r in rows]
 
 
@@ -118,7 +122,9 @@ def run_blast(spark: SparkSession, registry: DataFrame, load_version: Callable[[
     persists a backfilled output and returns it re-read (default: Parquet
     under ``out_dir/recommendations``; to replace the recommender's own table
     in place use :func:`tidemark.sinks.overwrite_from_self`).  The region
-    list, used by five outputs, is checkpointed once.
+    list, used by five outputs, is checkpointed once.  The report names, per
+    region, the campaign, its date and how many missing members found no donor
+    (``unfilled`` per group).
     """
     ensure_checkpoint_dir(spark)
     out_dir = out_dir.rstrip("/")
@@ -127,10 +133,11 @@ def run_blast(spark: SparkSession, registry: DataFrame, load_version: Callable[[
         camp, _ = lookup_campaign(spark, registry, region)
         blast_date = _dt.datetime.strptime(camp.split("_")[-2], "%Y%m%d").date()
         grouped = load_audience(region)
-        versions = []
+        versions, unfilled = [], {}
         for group in GROUPS:
             output = load_version(camp, group)
             ids = aud.audience_ids_of_group(grouped, group.capitalize())
+            unfilled[group] = recm.unfilled_rows(output, ids).collect()[0]["unfilled"]
             filled = recm.fill_missing_recommendations(output, ids)
             if store_version is None:
                 path = f"{out_dir}/recommendations/{camp}/{group}"
@@ -149,7 +156,7 @@ def run_blast(spark: SparkSession, registry: DataFrame, load_version: Callable[[
         }, f"{out_dir}/blast", _ymd(blast_date), region)
         sinks.write_parquet(funnel.blast_funnel(grouped, recs, pers), f"{out_dir}/blast/funnel_{region}")
         lists[region] = lst
-        report[region] = {"campaign_id": camp, "blast_date": blast_date}
+        report[region] = {"campaign_id": camp, "blast_date": blast_date, "unfilled": unfilled}
     sinks.append_blast_history(bl.history_rows(lists), history_path, test=test)
     return report
 

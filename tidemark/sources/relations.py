@@ -28,19 +28,27 @@ ITEMS_AS_OF = _dt.date(2001, 8, 1)
 ATTRIBUTION_FIRST = _dt.date(1995, 1, 1)
 ATTRIBUTION_LAST = _dt.date(2001, 8, 1)
 RESPONSE_DAYS = 7
+SNAPSHOT_DATE = "2024-01-09"
 
 
 class Tables:
-    """Lazy handle on one scale-factor folder."""
+    """Lazy handle on one scale-factor folder.
+
+    A table's schema is inferred once per handle (one query); every read is a
+    fresh DataFrame, so self-joins stay unambiguous.
+    """
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir
+        self._schemas: dict = {}
 
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):
             raise AttributeError(name)
-        return read_table(self.spark, self.sf_dir, name)
+        df = read_table(self.spark, self.sf_dir, name, self._schemas.get(name))
+        self._schemas[name] = df.schema
+        return df
 
 
 def _vip(col: str):
@@ -69,6 +77,13 @@ def member_snapshot(t: Tables) -> DataFrame:
         F.when(F.col("c_acctbal") > 5000, "gold").otherwise("silver").alias("card_type"),
         F.when(F.col("c_custkey") % 2 == 0, "EN").otherwise("TC").alias("pref_lang"),
         F.col("c_name").alias("customer_name_shortened_chi"),
+        F.lit(SNAPSHOT_DATE).alias("data_as_of"),
+        F.date_format(F.date_add(F.lit(_dt.date(2010, 1, 1)), (F.col("c_custkey") % 3650).cast("int")), "yyyy-MM-dd").alias("card_start_date"),
+        F.concat(F.lit("G"), (F.col("c_custkey") % 5).cast("string")).alias("mailing_gp"),
+        F.lpad((F.col("c_custkey") % 12 + 1).cast("string"), 2, "0").alias("birth_mth"),
+        F.when(F.col("c_custkey") % 7 == 0, "N").otherwise("Y").alias("promotion_sms_flg"),
+        F.when(F.col("c_custkey") % 11 == 0, F.lit(None).cast("string"))
+         .otherwise(F.concat(F.lit("852"), F.lpad(F.col("c_custkey").cast("string"), 8, "0"))).alias("phone_no"),
     )
 
 
@@ -195,16 +210,16 @@ def recommendation_columns(slots: int = 8) -> list[str]:
     return cols
 
 
-def rec_output(t: Tables, audience: DataFrame) -> DataFrame:
+def rec_output(recs: DataFrame, audience: DataFrame) -> DataFrame:
     """Recommender output for an audience that skipped every sixth customer."""
-    rec = recommendations(t).where(F.col("vip_no").cast("bigint") % 6 != 0)
+    rec = recs.where(F.col("vip_no").cast("bigint") % 6 != 0)
     return rec.join(audience.select("vip_no"), "vip_no", "left_semi")
 
 
-def version_output(t: Tables, grouped_audience: DataFrame, group: str) -> DataFrame:
+def version_output(recs: DataFrame, grouped_audience: DataFrame, group: str) -> DataFrame:
     """Recommender output table of one version (audience group) of a campaign."""
     ids = grouped_audience.where(F.col("group") == group).select("vip_no")
-    return recommendations(t).join(ids, "vip_no", "left_semi")
+    return recs.join(ids, "vip_no", "left_semi")
 
 
 # --------------------------------------------------------------------------- blast + response
@@ -230,20 +245,39 @@ def voucher_redeem(t: Tables) -> DataFrame:
     return sales_dtl(t).where(F.col("order_no").cast("bigint") % 4 != 0).select("order_no")
 
 
+# Decoys beside the campaign's own entries: id suffix, name pattern, category.  The first is
+# another campaign, the second another category of the same name, the third matches the name
+# filter only because ``_`` is a one-character wildcard.
+DECOYS = (("O", "lc_other_campaign_{d}_{r}", CAMPAIGN_CATEGORY), ("N", "lc_fprp_notification_{d}_{r}", "Newsletter"),
+          ("W", "lc_fprp-notification_x_{d}_Z{r}", CAMPAIGN_CATEGORY))
+TEST_MEMBER_EVERY = 50     # every 50th member is also contacted under a test id
+
+
 def campaign_details(spark: SparkSession, dates=HISTORY_BLAST_DATES, regions=CAMPAIGN_REGIONS,
                      category: str = CAMPAIGN_CATEGORY) -> DataFrame:
-    """Email-platform campaign metadata: one campaign per blast date and region."""
-    rows = [(d.strftime("%m%d") + r, f"lc_fprp_notification_{d.strftime('%Y%m%d')}_{r}", d, category)
-            for d in dates for r in regions]
-    return spark.createDataFrame(rows, "id string, name string, date_sent date, campaign_category string")
+    """Email-platform campaign metadata: one campaign per blast date and region, and its decoys.
+
+    ``target_region`` is the region whose members were contacted.  The rows are
+    an inline table, whose size the optimizer knows.
+    """
+    rows = []
+    for d in dates:
+        for r in regions:
+            rows.append((d.strftime("%m%d") + r, f"lc_fprp_notification_{d.strftime('%Y%m%d')}_{r}", d, category, r))
+            rows += [(d.strftime("%m%d") + r + suffix, name.format(d=d.strftime("%Y%m%d"), r=r), d, other, r)
+                     for suffix, name, other in DECOYS]
+    values = ", ".join(f"('{i}', '{n}', DATE'{d}', '{c}', '{r}')" for i, n, d, c, r in rows)
+    return spark.sql(f"SELECT * FROM VALUES {values} AS t(id, name, date_sent, campaign_category, target_region)")
 
 
 def campaign_contact(t: Tables, details: DataFrame, blast_list: DataFrame) -> DataFrame:
     b = blast_list.where(F.col("blast_channel") == "EDM")
     # (date, region) has one value per campaign: never a shuffle key for the blast list
     details = broadcast_if_small(details)
-    cond = (details.date_sent == b.blast_date) & (F.split_part(details.name, F.lit("_"), F.lit(5)) == b.blast_region)
-    return details.join(b, cond, "inner").select(details.id.alias("campaign_id"), b.vip_no)
+    cond = (details.date_sent == b.blast_date) & (details.target_region == b.blast_region)
+    sent = details.join(b, cond, "inner").select(details.id.alias("campaign_id"), b.vip_no)
+    test = F.when(F.col("vip_no").cast("bigint") % TEST_MEMBER_EVERY == 0, F.array("vip_no", F.concat(F.lit("test"), "vip_no")))
+    return sent.withColumn("vip_no", F.explode(F.coalesce(test, F.array("vip_no"))))
 
 
 def campaign_response(t: Tables, details: DataFrame, contact: DataFrame, days: int = RESPONSE_DAYS) -> DataFrame:
@@ -255,13 +289,21 @@ def campaign_response(t: Tables, details: DataFrame, contact: DataFrame, days: i
     of a member with every campaign of that member.
     """
     e = t.events.where(F.col("event_type").isin("view", "click", "error"))
-    ck = contact.join(details, contact.campaign_id == details.id, "inner").select(
-        "campaign_id", "vip_no", F.col("date_sent").cast("date").alias("date_sent"))
+    ck = contact.join(broadcast_if_small(details), contact.campaign_id == details.id, "inner").select(
+        "campaign_id", F.col("vip_no").alias("_contact_id"), F.regexp_replace("vip_no", "^test", "").alias("vip_no"),
+        F.col("date_sent").cast("date").alias("date_sent"))
     ev = e.select(_vip("user_id").alias("vip_no"), F.col("ts").cast("date").alias("_event_day"), "event_type")
     j = date_window_join(ev, ck, ["vip_no"], "_event_day", "date_sent", days - 1)
     source = (F.when(F.col("event_type") == "view", "mo").when(F.col("event_type") == "click", "click")
               .otherwise(F.col("event_type")))
-    return j.select(F.col("campaign_id").alias("id"), "vip_no", source.alias("source"))
+    return j.select(F.col("campaign_id").alias("id"), F.col("_contact_id").alias("vip_no"), source.alias("source"))
+
+
+def order_redeem(t: Tables) -> DataFrame:
+    """Voucher redemptions of orders: three orders of four redeemed once, every twelfth twice."""
+    k = F.col("o_orderkey")
+    times = F.when(k % 4 == 0, 0).when(k % 12 == 1, 2).otherwise(1)
+    return t.orders.select(k.alias("order_no"), F.explode(F.array_repeat(F.lit(1), times)).alias("_")).select("order_no")
 
 
 def attribution_blasts(t: Tables, first: _dt.date = ATTRIBUTION_FIRST, last: _dt.date = ATTRIBUTION_LAST) -> DataFrame:
