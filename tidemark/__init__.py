@@ -6,4 +6,4 @@ campaign constants are arguments, never ``current_date()``.  Sources live in
 ``tidemark.functions`` and the registered query plans in ``tidemark.plans``.
 """
 
-__all__ = ["session", "operators", "sources", "sinks", "functions", "plans", "streaming"]
+__all__ = ["session", "operators", "sources", "sinks", "functions", "plans"]

@@ -1,8 +1,9 @@
-"""Writers (K1-K7, P21): Parquet overwrite, idempotent partition replace, CSV feeds."""
+"""Writers (K1-K7, P21): Parquet overwrite, idempotent partition replace, safe rewrites, CSV feeds."""
 
-from tidemark.sinks.writers import (append_blast_history, feed_name, overwrite_from_self, replace_partitions,
-                                    write_audience_lists, write_blast_exports, write_csv, write_feed, write_parquet,
-                                    write_registry)
+from tidemark.sinks.writers import (append_blast_history, feed_name, overwrite_from_self, overwrite_table, path_exists,
+                                    read_csv, replace_partitions, write_audience_lists, write_blast_exports, write_csv,
+                                    write_feed, write_parquet, write_registry)
 
-__all__ = ["write_parquet", "replace_partitions", "append_blast_history", "write_csv", "overwrite_from_self",
-           "write_registry", "write_audience_lists", "write_feed", "write_blast_exports", "feed_name"]
+__all__ = ["write_parquet", "replace_partitions", "append_blast_history", "write_csv", "read_csv", "overwrite_from_self",
+           "overwrite_table", "path_exists", "write_registry", "write_audience_lists", "write_feed", "write_blast_exports",
+           "feed_name"]

@@ -1,31 +1,37 @@
 """Sinks.
 
-* Overwrites are whole-path (K1, K3, K6).
-* Appends that must be idempotent (blast history, registry) replace only the
-  partitions present in the new rows (``partitionOverwriteMode=dynamic``),
-  so a re-run rewrites its own partitions instead of duplicating rows (D13).
-* A table rewritten from its own contents (K5) is first checkpointed to the
-  shared checkpoint folder, which cuts the lineage to the files being replaced.
-* CSV feeds are written multi-part with a header (K4): no single-task funnel.
+* Overwrites replace the whole path (K1, K3, K6), whatever the session's
+  partition overwrite mode is.
+* The blast history (K2) replaces only the partitions present in the new rows
+  (``partitionOverwriteMode=dynamic`` for that write), so a re-run rewrites its
+  own partitions instead of duplicating rows (D13).
+* A table rewritten from its own contents (K5, K7) is written to a sibling
+  staging path first and swapped in by renames, so a failure at any point
+  leaves the old or the new table readable.
+* CSV feeds are folders of part files with a header (K4): no single-task
+  funnel.  Text comes back unchanged from a standard CSV reader: quotes are
+  doubled, blanks are kept, NULL is an empty field and '' is quoted.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import uuid
 
-from tidemark.session import ensure_checkpoint_dir
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
+
+from tidemark.operators.registry import REGISTRY_SCHEMA, customization_replace
 
 
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite", partition_by=None) -> None:
-    """K1/K3: Parquet write (overwrite by default)."""
-    w = df.write.mode(mode)
+    """K1/K3: Parquet write (the whole path is replaced by default)."""
+    w = df.write.mode(mode).option("partitionOverwriteMode", "static")
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)
 
 
 def replace_partitions(df: DataFrame, path: str, partition_by) -> None:
-    """K2/K7: replace only the partitions that ``df`` has rows for."""
+    """K2: replace only the partitions that ``df`` has rows for."""
     (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(*partition_by).parquet(path))
 
@@ -42,30 +48,103 @@ def append_blast_history(rows: DataFrame, path: str, test: bool = False) -> bool
     return True
 
 
-def write_registry(registry_rows: DataFrame, path: str) -> None:
-    """P27 sink: the new rows of one customization replace that key's partition only."""
-    replace_partitions(registry_rows, path, ["customization_id"])
+def _files(spark: SparkSession, path: str):
+    """(file system, Hadoop path) of ``path``."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
 
 
-def write_audience_lists(ids_by_group: DataFrame, path: str) -> None:
-    """P4 sink: one Parquet dataset per audience group (``group=<name>`` folders)."""
-    ids_by_group.write.mode("overwrite").partitionBy("group").parquet(path)
+def _rename(spark: SparkSession, source: str, target: str) -> None:
+    fs, p = _files(spark, source)
+    if not fs.rename(p, _files(spark, target)[1]):
+        raise OSError(f"could not rename {source} to {target}")
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    fs, p = _files(spark, path)
+    return fs.exists(p)
 
 
 def overwrite_from_self(df: DataFrame, path: str) -> None:
-    """K5: overwrite ``path`` with a frame computed from ``path`` itself.
+    """K5: overwrite ``path`` with a frame that may be computed from ``path`` itself.
 
-    A reliable checkpoint (shared folder from ``spark.checkpoint.dir``)
-    materialises the result and cuts its lineage to the old files before they
-    are deleted; this replaces the reference's backup table.
+    The result is written completely beside the old files and its row count
+    is checked against the rows that went in; only then the two are swapped,
+    and the old files go last.  If the swap fails half-way the old folder is
+    put back.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    df.checkpoint(eager=True).write.mode("overwrite").parquet(path)
+    spark, path = df.sparkSession, path.rstrip("/")
+    tag = uuid.uuid4().hex
+    staging, old = f"{path}__staging_{tag}", f"{path}__old_{tag}"
+    seen = Observation()
+    df.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("errorifexists").parquet(staging)
+    if spark.read.parquet(staging).count() != seen.get["n"]:
+        raise OSError(f"{staging} does not hold the rows that were written")
+    if path_exists(spark, path):
+        _rename(spark, path, old)
+        try:
+            _rename(spark, staging, path)
+        except Exception:
+            _rename(spark, old, path)
+            raise
+        fs, p = _files(spark, old)
+        fs.delete(p, True)
+    else:
+        _rename(spark, staging, path)
+
+
+def overwrite_table(df: DataFrame, name: str) -> None:
+    """K5 for a catalog table: create ``name``, or replace it by a frame that may read it.
+
+    The new rows are saved under a staging name first; the old table is
+    dropped only after that, and the staging table takes its name.
+    """
+    spark = df.sparkSession
+    staging = f"{name}__staging_{uuid.uuid4().hex}"
+    df.write.mode("errorifexists").saveAsTable(staging)
+    if spark.catalog.tableExists(name):
+        old = f"{name}__old_{uuid.uuid4().hex}"
+        spark.sql(f"ALTER TABLE {name} RENAME TO {old}")
+        try:
+            spark.sql(f"ALTER TABLE {staging} RENAME TO {name}")
+        except Exception:
+            spark.sql(f"ALTER TABLE {old} RENAME TO {name}")
+            raise
+        spark.sql(f"DROP TABLE {old}")
+    else:
+        spark.sql(f"ALTER TABLE {staging} RENAME TO {name}")
+
+
+def write_registry(spark: SparkSession, path: str, customization: str, campaign: str, audience_ids) -> None:
+    """P27 sink (K7): all rows of ``customization`` are replaced by one row per
+    audience id; with no ids the key's rows are gone afterwards."""
+    registry = spark.read.parquet(path) if path_exists(spark, path) else spark.createDataFrame([], REGISTRY_SCHEMA)
+    registry = registry.select("customization_id", "audience_id", "campaign_id")
+    overwrite_from_self(customization_replace(registry, customization, campaign, audience_ids), path)
+
+
+def write_audience_lists(ids_by_group: DataFrame, path: str) -> None:
+    """P4 sink: one Parquet dataset per audience group (``group=<name>`` folders); the whole path is replaced."""
+    write_parquet(ids_by_group, path, partition_by=["group"])
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """K4: CSV with header, UTF-8, no index column; one part file per task."""
-    df.write.mode(mode).option("header", True).option("encoding", "UTF-8").csv(path)
+    """K4: a folder of CSV part files with header, UTF-8, no index column."""
+    (df.write.mode(mode).option("header", True).option("encoding", "UTF-8")
+     .option("quote", '"').option("escape", '"')
+     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+     .option("nullValue", None).option("emptyValue", '""').csv(path))
+
+
+# An unquoted empty field is NULL for the reader by itself; this text stands for no value at all.
+NULL_FIELD = "\x00"
+
+
+def read_csv(spark: SparkSession, path: str, schema=None) -> DataFrame:
+    """Read back what :func:`write_csv` wrote: text unchanged, NULL and '' told apart."""
+    r = (spark.read.option("header", True).option("encoding", "UTF-8").option("multiLine", True)
+         .option("quote", '"').option("escape", '"').option("nullValue", NULL_FIELD).option("emptyValue", ""))
+    return (r.schema(schema) if schema is not None else r).csv(path)
 
 
 def write_feed(df: DataFrame, path: str, sort_cols=None) -> None:
@@ -74,7 +153,11 @@ def write_feed(df: DataFrame, path: str, sort_cols=None) -> None:
 
 
 def feed_name(kind: str, blast_date: str, region: str) -> str:
-    """File name of an export feed: ``<kind>_fprp_notification_<yyyyMMdd>_<region>.upsert.csv``."""
+    """Folder name of an export feed: ``<kind>_fprp_notification_<yyyyMMdd>_<region>.upsert.csv``.
+
+    The name is that of the upload file; it is a folder whose part files, in
+    name order, make up the file (each with its own header line).
+    """
     return f"{kind}_fprp_notification_{blast_date}_{region}.upsert.csv"
 
 
