@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import StructType
 
 from tidemark.llm.common import pin, shuffle_partitions
-from tidemark.llm.texts import prefix_hash, span_hash, string_chunks
+from tidemark.llm.texts import packed_texts, prefix_hash, span_hash, string_chunks, unpack
 
 LENGTH = 400
 GRAM = 64
@@ -192,11 +192,11 @@ def _ordinary(texts: DataFrame, n: int, length: int) -> DataFrame:
         seen = set()
         for b in batches:
             lead, key, first, context = [], [], [], []
-            for k, fams, text in zip(*[c.to_pylist() for c in b.columns]):
+            for k, fams, size, data in zip(*[c.to_pylist() for c in b.columns]):
                 if k in seen:
                     continue
                 seen.add(k)
-                raw = text.encode()
+                raw = unpack(size, data)
                 for p, w, offset, hot in np.frombuffer(fams, "<u4").reshape(-1, 4).tolist():
                     if not hot:
                         lead.append(raw[p + offset:p + offset + LEAD_BYTES]), key.append(k), first.append(p)
@@ -255,14 +255,14 @@ def _hot(texts: DataFrame, buckets: int, length: int) -> DataFrame:
             size = 0
 
         for b in batches:
-            for k, fams, text in zip(*[c.to_pylist() for c in b.columns]):
+            for k, fams, length_, data in zip(*[c.to_pylist() for c in b.columns]):
                 f = np.frombuffer(fams, "<u4").reshape(-1, 4).astype(np.int64)
                 f = f[f[:, 3] > 0]
                 if not len(f) or k in seen:
                     continue
                 seen.add(k)
                 p = np.repeat(f[:, 0] - (np.cumsum(f[:, 1]) - f[:, 1]), f[:, 1]) + np.arange(f[:, 1].sum())
-                hs.append(span_hash(prefix_hash(np.frombuffer(text.encode(), np.uint8)), p, p + length))
+                hs.append(span_hash(prefix_hash(np.frombuffer(unpack(length_, data), np.uint8)), p, p + length))
                 keys.append(np.full(len(p), k)), ps.append(p)
                 size += len(p)
                 if size >= BLOCK_WINDOWS:
@@ -296,17 +296,18 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     copied = every.join(classes.filter("n > 1").select(F.col("md5").alias("m2")), F.col("md5") == F.col("m2")).select("key").distinct()
     wanted = shared_families(keyed.select("key", "text"), n, length, gram, hot_members).groupBy("key").agg(F.first("fams").alias("fams"))
     wanted = wanted.join(classes.select(F.col("rep").alias("key")), "key", "left_semi")
-    texts = (keyed.select(F.col("key").alias("k2"), "text").join(pin(wanted), F.col("k2") == F.col("key")).select("key", "fams", "text"))
+    packed = packed_texts(keyed)
+    texts = packed.withColumnRenamed("key", "k2").join(pin(wanted), F.col("k2") == F.col("key")).select("key", "fams", "size", "packed")
     spans = pin(_ordinary(texts, n, length).unionByName(_hot(texts, n, length)))
     spans = spans.unionByName(copied.select("key", F.lit(0).cast("long").alias("p0"), F.lit(1 << 40).alias("p1")))
     per_key = pin(spans.groupBy("key").agg(F.collect_list(F.struct("p0", "p1")).alias("found")).withColumnRenamed("key", "k2"))
-    joined = keyed.join(per_key, F.col("key") == F.col("k2"), "left").select("doc_id", "text", "found")
+    joined = packed.join(per_key, F.col("key") == F.col("k2"), "left").select("doc_id", "size", "packed", "found")
 
     def cut(batches):
         for b in batches:
             sizes, removed, runs, kept = [], [], [], []
-            for text, found in zip(b.column(1).to_pylist(), b.column(2).to_pylist()):
-                raw = text.encode()
+            for size, data, found in zip(*[c.to_pylist() for c in b.columns[1:]]):
+                raw = unpack(size, data)
                 merged = []
                 for s in sorted((f["p0"], min(f["p1"], len(raw))) for f in found or []):
                     if merged and s[0] <= merged[-1][1]:

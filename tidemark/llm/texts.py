@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import DataFrame, functions as F
 
 CHUNK_BYTES = 1 << 21
 _MUL = np.uint64(0x9E3779B97F4A7C15)          # odd multiplier of the rolling hash
@@ -140,3 +141,23 @@ def shingle_sets(col: pa.Array, k: int = 5):
                 yield i + r, sequence_hash(words[a:b], int(b - a))
             else:
                 yield i + r, np.zeros(0, np.uint64)
+
+
+def packed_texts(df: DataFrame, text_col: str = "text") -> DataFrame:
+    """``df`` with its (non-null) text column replaced by ``size`` (bytes) and ``packed``
+    (zstd): texts that must be shuffled take less disk and network that way."""
+    keep = [c for c in df.columns if c != text_col]
+    rows = df.select(*[F.col(f"`{c}`") for c in keep], F.col(text_col).cast("binary").alias("raw"))
+
+    def pack(batches):
+        for b in batches:
+            raws = b.column(len(keep)).to_pylist()
+            yield pa.RecordBatch.from_arrays(
+                [*b.columns[:-1], pa.array([len(r) for r in raws], pa.int64()),
+                 pa.array([pa.compress(r, "zstd", asbytes=True) if r else b"" for r in raws], pa.binary())], names=[*b.schema.names[:-1], "size", "packed"])
+
+    return rows.mapInArrow(pack, rows.drop("raw").schema.add("size", "long").add("packed", "binary"))
+
+
+def unpack(size: int, data: bytes) -> bytes:
+    return pa.decompress(data, size, "zstd", asbytes=True) if size else b""
