@@ -31,8 +31,8 @@ from tidemark.llm.common import pin, scratch_path, shuffle_partitions
 from tidemark.llm.texts import prefix_hash, span_hash, string_chunks, word_bounds
 
 END_ID = 2
-MAX_CACHE = 200_000
-CHUNK_BYTES = 1 << 20
+MAX_CACHE = 400_000
+CHUNK_BYTES = 3 << 19
 _SCHEMA = "doc_id long, part int, seq long, n_tokens int, ids array<int>"
 
 
