@@ -1,0 +1,245 @@
+"""Toxicity (3), PII (4), decontamination (7), URL filter (10)."""
+
+import math
+import random
+import re
+from collections import Counter
+from zlib import crc32
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from tests.llm.helpers import documents, no_documents, table, words
+from tidemark.llm import decontam, pii, toxicity, url_filter
+from tidemark.llm.bilstm_crf import BiLstmCrf
+
+
+# ---------------------------------------------------------------- toxicity
+
+def toxic_corpus(n=400, seed=2):
+    r = random.Random(seed)
+    texts, labels = [], []
+    for i in range(n):
+        bad = i % 4 == 0
+        w = words(r, r.randrange(20, 200)).split()
+        if bad:
+            for _ in range(r.randrange(1, 4)):
+                w.insert(r.randrange(len(w)), r.choice(["Nastyword", "vileterm", "slurry"]))
+        texts.append(" ".join(w))
+        labels.append((i, int(bad), 1))
+    return texts, labels
+
+
+def test_held_out_accuracy(spark):
+    texts, labels = toxic_corpus()
+    texts += [None, "", "x" * 60_000]
+    docs, lab = documents(spark, texts), spark.createDataFrame(labels, "doc_id long, toxic int, quality int")
+    got = {r.doc_id: r for r in toxicity.score_documents(docs, lab).collect()}
+    assert len(got) == len(texts)
+    assert all(r.held_out == (crc32(str(i).encode()) % 5 == 0) for i, r in got.items())
+    held = [(r.predicted, labels[i][1]) for i, r in got.items() if r.held_out and i < len(labels)]
+    assert len(held) > 40 and np.mean([p == y for p, y in held]) > 0.95
+    assert all(0 <= r.score <= 1 and r.predicted == int(r.score >= 0.5) for r in got.values())
+    assert got[400].score == got[401].score and got[400].predicted == 0          # null like empty
+    kept = toxicity.drop_toxic(docs, lab)
+    assert kept.columns == docs.columns
+    assert {r.doc_id for r in kept.collect()} == {i for i, r in got.items() if not r.predicted}
+
+
+def test_held_out_labels_are_not_learned(spark):
+    texts, labels = toxic_corpus(200)
+    docs = documents(spark, texts)
+    flip = [(i, 1 - y if crc32(str(i).encode()) % 5 == 0 else y, q) for i, y, q in labels]
+    schema = "doc_id long, toxic int, quality int"
+    a = toxicity.score_documents(docs, spark.createDataFrame(labels, schema)).orderBy("doc_id").collect()
+    b = toxicity.score_documents(docs, spark.createDataFrame(flip, schema)).orderBy("doc_id").collect()
+    assert a == b
+
+
+def test_toxicity_without_labels_or_rows(spark):
+    schema = "doc_id long, toxic int"
+    none = spark.createDataFrame([(1, None), (None, 1)], schema)
+    assert [r.score for r in toxicity.score_documents(documents(spark, ["a b", None]), none).collect()] == [0.0, 0.0]
+    assert toxicity.score_documents(no_documents(spark), spark.createDataFrame([], schema)).count() == 0
+
+
+# ---------------------------------------------------------------- personal data
+
+AWKWARD = ["mail a.b@c.de, x@y no", "@a.b a@b.c@d.e", "1.2.3.4 256.1.1.1 1.2.3.4.5 01.002.3.4", "4111 1111 1111 1111 and 4111-1111-1111-1112",
+           "+1 (743) 555-3824, +49 30 123", "7 7 7 7", "", "é 10.0.0.1 ü +44 20 7946 0958.", "a" * 5000 + "@", "1" * 5000, "+" * 50 + "1-2"]
+
+
+def test_base_spans_equal_the_patterns():
+    r = random.Random(7)
+    cases = AWKWARD + ["".join(r.choice("ab1@.+- ()2") for _ in range(r.randrange(60))) for _ in range(3000)]
+    for t in cases:
+        assert pii.span_text(pii.base_spans(t)) == pii.plain_reference(t), t
+
+
+@pytest.fixture(scope="module")
+def tagger():
+    r = random.Random(3)
+    texts = [words(r, 200).replace("w", "th").replace("1", "e") for _ in range(60)]
+    return pii.train(texts), texts
+
+
+def test_tagger_on_held_out_windows(tagger):
+    model, texts = tagger
+    x, y = pii.training_windows(texts, 300, seed=99)
+    tags = model.decode(model.emissions(x))
+    assert (tags[y > 0] == y[y > 0]).mean() > 0.9 and (tags[y == 0] == 0).mean() > 0.98
+
+
+def test_windows_are_reconciled_over_the_text(spark, tagger):
+    model, _ = tagger
+    long = "then " * 3000 + "call +1 (743) 555-3824 now, or write to some.body@example.org; 10.20.30.40 " + "then " * 500
+    docs = documents(spark, AWKWARD + [long, None])
+    rows = {r.doc_id: r for r in pii.pii_digests(pii.find_pii(docs, model=model)).collect()}
+    for i, t in enumerate(AWKWARD + [long, None]):
+        base = pii.plain_reference(t)
+        assert rows[i].base_sha256 == pii.digest(base)
+        assert set(filter(None, base.split(","))) <= set(rows[i].spans.split(","))          # base spans stay
+        counts = Counter(s.split(":")[0] for s in base.split(",") if s)
+        assert [rows[i][f"n_{k}"] for k in pii.KINDS] == [counts[k] for k in pii.KINDS]
+    found = pii.model_spans(model, [long])[0]
+    assert len({k for _, _, k in found}) >= 2
+    assert all(a >= 15_000 for a, _, _ in found)
+    assert pii.find_pii(no_documents(spark), model=model).count() == 0
+
+
+def test_reconcile_picks_the_best_set():
+    spans = [(0, 10, 0, 3.0), (8, 20, 1, 4.0), (20, 30, 2, 2.0), (5, 25, 3, 5.0), (0, 10, 0, 3.0)]
+    assert reconcile_total(spans) == 6.0 and pii.reconcile([]) == []
+    assert pii.merge_spans([(0, 5, 0)], [(4, 9, 1), (5, 9, 1)]) == [(0, 5, 0), (5, 9, 1)]
+
+
+def reconcile_total(spans):
+    return sum(s[3] for s in pii.reconcile(spans))
+
+
+def test_crf_gradient_matches_differences():
+    model = BiLstmCrf(3, embed=3, hidden=2, seed=1)
+    r = np.random.default_rng(0)
+    e, y = r.standard_normal((5, 2, 3)), r.integers(0, 3, (5, 2))
+    model.p["T"] = r.standard_normal((3, 3))
+    _, ge, gt = model._crf(e, y)
+    for grad, array in ((ge, e), (gt, model.p["T"])):
+        for at in [tuple(r.integers(0, n) for n in array.shape) for _ in range(5)]:
+            was = array[at]
+            array[at] = was + 1e-5
+            up = model._crf(e, y)[0]
+            array[at] = was - 1e-5
+            down = model._crf(e, y)[0]
+            array[at] = was
+            assert abs((up - down) / 2e-5 - grad[at]) < 1e-4
+
+
+# ---------------------------------------------------------------- decontamination
+
+def leak_corpus(seed=5):
+    r = random.Random(seed)
+    items = [(i, ". ".join(words(r, r.randrange(6, 20), 3000) for _ in range(3)) + ".") for i in range(30)]
+    texts, want = [None, "", "w1 w2"], set()
+    for i in range(60):
+        w = words(r, r.randrange(50, 400), 3000).split()
+        if i % 3 == 0:
+            item = r.randrange(30)
+            p = items[item][1].split()
+            if i % 2:
+                for _ in range(max(1, len(p) // 12)):
+                    p[r.randrange(len(p))] = f"q{r.randrange(99)}"                        # a light paraphrase
+            at = r.randrange(len(w))
+            w[at:at] = [x.upper() if i % 6 == 0 else x for x in p]
+            want.add((len(texts), item))
+        texts.append(" ".join(w))
+    return items, texts, want
+
+
+def test_leaks_are_found_and_clean_documents_left(spark):
+    items, texts, want = leak_corpus()
+    docs = documents(spark, texts)
+    bench = spark.createDataFrame(items + [(99, None), (98, "too short")], "item_id long, text string")
+    got = decontam.find_leaks(docs, bench).collect()
+    assert {(r.doc_id, r.item_id) for r in got} == want
+    kept = decontam.drop_leaks(docs, bench)
+    assert kept.columns == docs.columns
+    assert {r.doc_id for r in kept.collect()} == set(range(len(texts))) - {d for d, _ in want}
+
+
+def test_leaks_of_empty_tables_and_repeated_rows(spark):
+    items, texts, want = leak_corpus()
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    assert decontam.find_leaks(no_documents(spark), bench).count() == 0
+    docs = documents(spark, texts)
+    assert decontam.find_leaks(docs, bench.limit(0)).count() == 0
+    assert decontam.drop_leaks(docs, bench.limit(0)).count() == len(texts)
+    assert decontam.find_leaks(docs.unionByName(docs), bench).count() == 2 * len(want)
+    with pytest.raises(ValueError):
+        decontam.find_leaks(docs, bench, max_items=5)
+
+
+def test_lcs_equals_dynamic_programming():
+    r = random.Random(1)
+    for _ in range(200):
+        a, b = ([r.randrange(6) for _ in range(r.randrange(1, 30))] for _ in range(2))
+        best = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
+        for i in range(len(a)):
+            for j in range(len(b)):
+                best[i + 1][j + 1] = best[i][j] + 1 if a[i] == b[j] else max(best[i][j + 1], best[i + 1][j])
+        assert decontam.lcs(a, decontam._masks(np.array(b)), len(b)).bit_count() == best[-1][-1]
+
+
+# ---------------------------------------------------------------- URL filter
+
+URLS = ["http://a.net/x", "http://example.net/en/1", "https://EXAMPLE.com/de/", "https://q.org/fr/2?x#y", "http://net", "http://net/",
+        "mailto:x", None, "", "http://sub.q.org/en/1", "://odd.com/a://b", "http://xnet/", "http://a.b.example.com/de/x", "https://é.org/fr/",
+        "http://x.example.com/en/" + "long/" * 3000]
+
+
+def brute_filter(urls):
+    """Rules and Markov models in plain Python."""
+    parts = []
+    for u in urls:
+        m = re.search(r"://([^/?#]*)([^?#]*)", u or "", re.S)
+        host, path = (m.group(1), m.group(2)) if m else ("", "")
+        host = re.sub("[A-Z]", lambda c: c.group().lower(), host)
+        fits = [(len(h + p), v, h + p) for v, h, p in url_filter.RULES if (host == h or host.endswith("." + h)) and path.startswith(p)]
+        _, v, rule = max(fits, default=(0, None, None))
+        parts.append((host, path, rule, v))
+    counts = {"allow": Counter(), "block": Counter()}
+    grams = lambda s: [("\x02" * 3 + s + "\x03")[i:i + 4] for i in range(len(s) + 1)]
+    for host, path, _, v in parts:
+        if v:
+            for g in grams(host + path):
+                for k in range(4):
+                    counts[v][g[3 - k:]] += 1
+                    counts[v]["ctx", g[3 - k:3]] += 1
+
+    def p(c, g):
+        out = 1 / 256
+        for k in range(4):
+            out = (c[g[3 - k:]] + out) / (c["ctx", g[3 - k:3]] + 1)
+        return out
+
+    ratio = {g: round((math.log(p(counts["allow"], g)) - math.log(p(counts["block"], g))) * 10**6) for h, q, _, _ in parts for g in grams(h + q)}
+    bins = [math.floor(sum(ratio[g] for g in grams(h + q)) * 1000 / (len(h + q) + 1) / 10**6) for h, q, _, _ in parts]
+    errors = lambda c: sum((v == "allow" and b < c) + (v == "block" and b >= c) for b, (_, _, _, v) in zip(bins, parts))
+    cut = min(sorted(set(bins)), key=errors) if any(v for *_, v in parts) else 0
+    return [(i, h, q, r, v or ("allow" if b >= cut else "block")) for i, (b, (h, q, r, v)) in enumerate(zip(bins, parts))]
+
+
+def test_url_filter_equals_brute_force(spark):
+    urls = URLS + [r.url for r in table(spark, "pages").collect()]
+    df = spark.createDataFrame([(i, u, "h", "k") for i, u in enumerate(urls)], "page_id long, url string, host string, s string")
+    got = url_filter.filter_urls(df).drop("score").orderBy("page_id").collect()
+    assert [tuple(r) for r in got] == brute_filter(urls)
+
+
+def test_url_filter_edges(spark):
+    schema = "page_id long, url string"
+    assert url_filter.filter_urls(spark.createDataFrame([], schema)).count() == 0
+    got = url_filter.filter_urls(spark.createDataFrame([(1, "http://a.com/x"), (1, "http://a.com/x"), (None, None)], schema)).collect()
+    assert [(r.rule, r.verdict) for r in got] == [(None, "allow")] * 3              # nothing to learn from
+    plan = url_filter.filter_urls(spark.createDataFrame([(1, "http://a.net/x")], schema))._jdf.queryExecution().executedPlan().toString()
+    assert not any(n in plan for n in ("Python", "Pandas", "Arrow"))
