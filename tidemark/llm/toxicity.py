@@ -22,6 +22,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from tidemark.llm.common import columns, hash_sample, pin
 from tidemark.llm.texts import mix64
@@ -164,8 +165,8 @@ def _logistic(x: np.ndarray, y: np.ndarray, rounds: int, l2: float = 1e-4, rate:
 def score_column(df: DataFrame, text_col: str, model: dict | None, score_col: str = "score") -> DataFrame:
     """``df`` plus the score of every whole text (0 to 1, 6 decimals)."""
     keep = [c for c in df.columns if c != score_col]
-    schema = df.select(*[F.col(f"`{c}`") for c in keep]).schema.add(score_col, "double")
     at = keep.index(text_col)
+    rows = df.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(keep)])
 
     def score(batches):
         for b in batches:
@@ -173,9 +174,9 @@ def score_column(df: DataFrame, text_col: str, model: dict | None, score_col: st
             if model is not None:
                 for row, slots in present(b.column(at).to_pylist(), model["slot"]):
                     out[row] = 1 / (1 + np.exp(-np.clip(model["bias"] + model["weight"][slots].sum(), -30, 30)))
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(np.round(out, 6))], names=[*b.schema.names, score_col])
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(np.round(out, 6))], names=[*b.schema.names, "s"])
 
-    return df.select(*[F.col(f"`{c}`") for c in keep]).mapInArrow(score, schema)
+    return rows.mapInArrow(score, StructType([*rows.schema.fields, StructField("s", DoubleType())])).toDF(*keep, score_col)
 
 
 def score_documents(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
