@@ -62,3 +62,27 @@ def rotate_perspectives(conversations: DataFrame, id_col: str = "conv_id", turn_
                     F.concat_ws("", "r").alias("text"),
                     F.transform("r", F.length).alias("lengths"),
                     F.transform("m", lambda x: F.when(x["role"] == F.col("speaker"), 1).otherwise(0)).alias("mask")))
+
+
+def oracle(segment_turns: int = SEGMENT_TURNS) -> str:
+    """DuckDB SQL of ``rotate_perspectives`` over the table conversations (lengths and mask comma-joined)."""
+    order = "ORDER BY m.turn, m.key, m.role, m.text"
+    own = "m.role = p.speaker"
+    rendered = f"CASE WHEN {own} THEN '<|assistant|>\n' ELSE '<|user name=' || m.role || '|>\n' END || m.text || '<|end|>\n'".replace("\n", "' || chr(10) || '")
+    return f"""WITH msgs AS (
+  SELECT DISTINCT conv_id, turn, replace(coalesce(role, '{UNKNOWN}'), '<|', '< |') AS role, replace(coalesce(text, ''), '<|', '< |') AS text
+  FROM conversations),
+keyed AS (SELECT *, md5(role || chr(0) || text) AS key FROM msgs),
+crowded AS (SELECT conv_id, turn, ceil(count(*) / {segment_turns})::BIGINT AS parts FROM keyed GROUP BY 1, 2 HAVING count(*) > {segment_turns}),
+placed AS (
+  SELECT k.*, CASE WHEN k.conv_id IS NULL OR k.turn IS NULL THEN k.key END AS loose, floor(k.turn / {segment_turns})::BIGINT AS segment,
+    CASE WHEN c.parts IS NOT NULL THEN k.turn END AS own_turn,
+    coalesce((('0x' || substr(k.key, 1, 8))::BIGINT * c.parts) >> 32, 0) AS sub
+  FROM keyed k LEFT JOIN crowded c ON c.conv_id = k.conv_id AND c.turn = k.turn),
+people AS (SELECT DISTINCT conv_id, loose, role AS speaker FROM placed)
+SELECT m.conv_id, p.speaker, m.segment, concat_ws(':', coalesce(m.own_turn::VARCHAR, ''), m.sub::VARCHAR, m.loose) AS sub,
+  min(m.turn) AS first_turn, count(*) AS n_messages, count(*) FILTER ({own}) AS n_trained,
+  string_agg({rendered}, '' {order}) AS text, string_agg(length({rendered})::VARCHAR, ',' {order}) AS lengths,
+  string_agg(CASE WHEN {own} THEN '1' ELSE '0' END, ',' {order}) AS mask
+FROM placed m JOIN people p ON p.conv_id IS NOT DISTINCT FROM m.conv_id AND p.loose IS NOT DISTINCT FROM m.loose
+GROUP BY m.conv_id, m.loose, p.speaker, m.segment, m.own_turn, m.sub"""

@@ -23,6 +23,9 @@ def op1(spark, sf_dir):
     return ngram_join.near_duplicate_components(read(spark, sf_dir, "documents")).drop("key", "class")
 
 
+ORACLES["op1_ngram_jaccard"] = ngram_join.oracle()
+
+
 @register("op2_source_mix")
 def op2(spark, sf_dir):
     return mixing.mix_sources(read(spark, sf_dir, "documents"))
@@ -35,6 +38,9 @@ def op6(spark, sf_dir):
                       F.array_join("lengths", ",").alias("lengths"), F.array_join("mask", ",").alias("mask"))
 
 
+ORACLES["op6_perspective_rotation"] = chat.oracle()
+
+
 @register("op9_token_orc")
 def op9(spark, sf_dir):
     return token_orc.token_orc_roundtrip(read(spark, sf_dir, "documents"))

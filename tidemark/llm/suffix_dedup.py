@@ -291,9 +291,10 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     byte runs as (start, end), kept the remaining bytes."""
     n = shuffle_partitions(docs.sparkSession)
     keyed = _keyed(docs, id_col, text_col)
-    every = pin(keyed.select("key", F.md5("text").alias("md5"), F.octet_length("text").alias("size")))
-    classes = every.filter(F.col("size") >= length).groupBy("md5").agg(F.count(F.lit(1)).alias("n"), F.min("key").alias("rep"))
-    copied = every.join(classes.filter("n > 1").select(F.col("md5").alias("m2")), F.col("md5") == F.col("m2")).select("key").distinct()
+    # one row per (id, text), then classes of equal texts; repeated rows are counted on the way
+    every = pin(keyed.groupBy("key", F.md5("text").alias("md5"), F.octet_length("text").alias("size")).agg(F.count(F.lit(1)).alias("rows")))
+    classes = pin(every.filter(F.col("size") >= length).groupBy("md5").agg(F.sum("rows").alias("n"), F.min("key").alias("rep")))
+    copied = every.join(classes.filter("n > 1").select(F.col("md5").alias("m2")), F.col("md5") == F.col("m2")).select("key")
     wanted = shared_families(keyed.select("key", "text"), n, length, gram, hot_members).groupBy("key").agg(F.first("fams").alias("fams"))
     wanted = wanted.join(classes.select(F.col("rep").alias("key")), "key", "left_semi")
     packed = packed_texts(keyed)

@@ -4,7 +4,8 @@ and Bloom filters on the document ids.
 ``write_token_orc`` range-partitions the documents on their id (sampled
 splitters), sorts inside each partition, encodes the whole texts there and
 writes one ORC file per partition, so a stripe holds a contiguous id range.
-ORC's integer columns are run-length encoded (RLEv2); the row index keeps
+ORC's integer columns are run-length encoded (RLEv2), which leaves a general
+compressor little to gain, so none is used; the row index keeps
 min/max per ``row_index_stride`` rows and the Bloom filter decides equality
 look-ups, so readers prune stripes and row groups by metadata.  Spark reads
 the stripes of one file in parallel.
@@ -31,8 +32,7 @@ from tidemark.llm.common import pin, scratch_path, shuffle_partitions
 from tidemark.llm.texts import prefix_hash, span_hash, string_chunks, word_bounds
 
 END_ID = 2
-MAX_CACHE = 400_000
-CHUNK_BYTES = 3 << 19
+MAX_CACHE = 800_000
 _SCHEMA = "doc_id long, part int, seq long, n_tokens int, ids array<int>"
 
 
@@ -158,7 +158,7 @@ def write_token_orc(docs: DataFrame, path: str, tokenizer: str | None = None, id
     def encode(batches):
         encoder, seq = encoder_for(tokenizer), 0
         for b in batches:
-            for lo, data, off in string_chunks(b.column(1), CHUNK_BYTES):
+            for lo, data, off in string_chunks(b.column(1)):
                 ids, lengths = encoder.encode(data, off)
                 n, ends = len(lengths), np.cumsum(lengths)
                 ids = np.insert(ids, ends, END_ID)
@@ -172,7 +172,7 @@ def write_token_orc(docs: DataFrame, path: str, tokenizer: str | None = None, id
     (placed.mapInArrow(encode, _SCHEMA).write.mode("overwrite")
      .option("orc.bloom.filter.columns", "doc_id").option("orc.bloom.filter.fpp", "0.01")
      .option("orc.row.index.stride", str(row_index_stride)).option("orc.stripe.size", str(stripe_bytes))
-     .option("compression", "zstd").orc(path))
+     .option("compression", "none").orc(path))
 
 
 def read_token_orc(spark: SparkSession, path: str) -> DataFrame:
