@@ -2,9 +2,8 @@
 plus the few composite DataFrame helpers shared by several operators."""
 
 from tidemark.functions.dates import parse_yyyymmdd, format_yyyymmdd, month_padded, as_date
-from tidemark.functions.slots import (SLOTS, slot_cols, pack_slots, valid_code_count, distinct_in_order,
-                                      first_distinct)
-from tidemark.functions.ids import compose_id, id_token, group_from_audience_id
+from tidemark.functions.slots import (SLOTS, slot_cols, pack_slots, valid_code_count, first_distinct)
+from tidemark.functions.ids import id_token
 from tidemark.functions.joins import date_window_join
 from tidemark.functions.indexing import with_dense_index
 from tidemark.functions.checks import require_columns
@@ -12,7 +11,7 @@ from tidemark.functions.sizing import broadcast_if_small, estimated_bytes
 
 __all__ = [
     "parse_yyyymmdd", "format_yyyymmdd", "month_padded", "as_date",
-    "SLOTS", "slot_cols", "pack_slots", "valid_code_count", "distinct_in_order", "first_distinct",
-    "compose_id", "id_token", "group_from_audience_id",
+    "SLOTS", "slot_cols", "pack_slots", "valid_code_count", "first_distinct",
+    "id_token",
     "date_window_join", "with_dense_index", "require_columns", "broadcast_if_small", "estimated_bytes",
 ]

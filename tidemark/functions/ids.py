@@ -8,17 +8,7 @@ from pyspark.sql import Column, functions as F
 CAMPAIGN_PREFIX = "lc_fprp_notification"
 
 
-def compose_id(*parts, prefix: str = CAMPAIGN_PREFIX) -> str:
-    """``lc_fprp_notification_<part>_<part>...`` for driver-side parameters."""
-    return "_".join([prefix, *[str(p) for p in parts]])
-
-
 def id_token(col, index: int) -> Column:
     """Token of an id split by ``_``; negative index counts from the end (``-2``: blast date)."""
     c = F.col(col) if isinstance(col, str) else col
     return F.element_at(F.split(c, "_"), index)
-
-
-def group_from_audience_id(col) -> Column:
-    """Last token of an audience id, e.g. ``..._hk_male`` -> ``male``."""
-    return id_token(col, -1)

@@ -38,11 +38,6 @@ def valid_code_count(packed: Column, code_length: int = CODE_LENGTH, sep: str =
     return F.coalesce(F.size(F.array_distinct(codes)), F.lit(0))
 
 
-def distinct_in_order(arr: Column) -> Column:
-    """Distinct elements keeping first-occurrence order (``array_distinct`` keeps order)."""
-    return F.array_distinct(arr)
-
-
 def first_distinct(packed: Column, k: int, sep: str = SEPARATOR) -> list[Column]:
     """The first ``k`` distinct values of a packed list as k columns; '' when absent."""
     arr = F.array_distinct(_split(packed, sep))

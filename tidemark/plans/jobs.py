@@ -113,7 +113,8 @@ def lookup_campaign(spark: SparkSession, registry: DataFrame, region: str) -> tu
 def run_blast(spark: SparkSession, registry: DataFrame, load_version: Callable[[str, str], DataFrame],
               load_audience: Callable[[str], DataFrame], item_master: DataFrame, out_dir: str, history_path: str,
               run_date, test: bool = False, regions=REGIONS, seed_ids=("testSeedA_gold", "testSeedB_gold"),
-              salt: str = "seed", store_version: Callable[[str, str, DataFrame], DataFrame] | None = None) -> dict:
+              salt: str = "seed", store_version: Callable[[str, str, DataFrame], DataFrame] | None = None,
+              max_rejects: int | None = None) -> dict:
     """Blast run.
 
     ``load_version(campaign_id, group)`` returns the recommender output of one
@@ -124,7 +125,8 @@ def run_blast(spark: SparkSession, registry: DataFrame, load_version: Callable[[
     in place use :func:`tidemark.sinks.overwrite_from_self`).  The region
     list, used by five outputs, is checkpointed once.  The report names, per
     region, the campaign, its date and how many missing members found no donor
-    (``unfilled`` per group).
+    (``unfilled`` per group); ``max_rejects`` stops a run with more rows that
+    fail the slot check.
     """
     ensure_checkpoint_dir(spark)
     out_dir = out_dir.rstrip("/")
@@ -147,6 +149,7 @@ def run_blast(spark: SparkSession, registry: DataFrame, load_version: Callable[[
                 versions.append(store_version(camp, group, filled))
         recs = recm.recommendations_union(*versions)
         base = bl.blast_base(recs, grouped, blast_date)
+        bl.check_rejects(bl.slot_quality_rejects(base), max_rejects)
         lst = bl.region_list(base, blast_date, seed_ids, salt).checkpoint(eager=True)
         pers = feeds.campaign_personalization(lst, run_date)
         sinks.write_blast_exports({

@@ -15,6 +15,7 @@ import datetime as _dt
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
+from tidemark.functions.dates import format_yyyymmdd
 from tidemark.functions.joins import date_window_join
 from tidemark.functions.sizing import broadcast_if_small
 from tidemark.sources.tables import read_table
@@ -96,7 +97,7 @@ def voucher_summary(t: Tables) -> DataFrame:
     k = F.col("o_custkey") % 5
     return o.select(
         _vip("o_custkey").alias("vip_no"),
-        F.date_format(F.trunc(F.col("o_orderdate").cast("date"), "year"), "yyyyMMdd").alias("collect_start_date"),
+        format_yyyymmdd(F.trunc(F.col("o_orderdate").cast("date"), "year")).alias("collect_start_date"),
         F.when(k == 0, "HKG").when(k == 1, "HKG").when(k == 2, "BJG").when(k == 3, "SHG").otherwise("CHD").alias("region"),
     )
 
@@ -235,7 +236,7 @@ def sales_dtl(t: Tables) -> DataFrame:
     return e.select(
         F.col("event_id").cast("string").alias("order_no"),
         _vip("user_id").alias("vip_no"),
-        F.date_format(F.col("ts"), "yyyyMMdd").alias("order_date"),
+        format_yyyymmdd("ts").alias("order_date"),
         F.col("value").cast("decimal(18,2)").alias("amt_hkd"),
         (F.lit(1) + F.col("event_id") % 3).alias("dtl_qty"),
     )

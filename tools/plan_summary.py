@@ -19,7 +19,7 @@ import sys
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-import __spark_entry__ as E  # noqa: E402
+from tidemark.plans import catalog  # noqa: E402
 from tidemark.session import build_session  # noqa: E402
 
 
@@ -49,7 +49,7 @@ def main() -> None:
     print("| query | planned shuffles | planned broadcasts | scans (pushed filters) | single-partition feeders | "
           "python nodes | run joins | jobs / stages / tasks |")
     print("|---|---|---|---|---|---|---|---|")
-    for n, (name, fn) in enumerate(E.queries().items()):
+    for n, (name, fn) in enumerate(catalog.QUERIES.items()):
         group = f"plan-{n}"
         sc.setJobGroup(f"{group}-plan", name)
         planned = fn(spark, sf_dir)
@@ -100,8 +100,8 @@ NOTES = """
 * *Planned shuffles* count every subtree; the registered queries compose the
   whole chain (inputs derived from the base tables) in one plan, so shared
   inputs appear several times.  Identical exchanges are reused at run time
-  (e.g. `blast_with_seeds`: 25 planned, 19 stages run).  The production jobs
-  (`plans/jobs.py`) write the grouped audience, the backfilled outputs and
+  (and the recommender's output and the day -1 audience are stored tables).
+  The production jobs (`plans/jobs.py`) write the grouped audience, the backfilled outputs and
   checkpoint the region list, so each is computed once.
 
 | query family | shuffle keys at scale | hot-key handling | bounded single-task steps |
