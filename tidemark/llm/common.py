@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import uuid
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidemark.session import ensure_checkpoint_dir
@@ -20,7 +22,16 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def small_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Arrow batches of ``rows`` rows where the session leaves Spark's 10,000:
+    a row holds a whole text here, and a batch is in memory several times."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(key) == "10000":
+        spark.conf.set(key, str(rows))
+
+
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
@@ -43,3 +54,60 @@ def hash_sample(df: DataFrame, n: int, seed: int, *cols: Column) -> DataFrame:
     h = F.pmod(F.xxhash64(F.lit(seed), *cols), F.lit(space))
     cut = space if total <= 4 * n else -(-4 * n * space // total)
     return df.filter(h < cut).orderBy(h, *cols).limit(n)
+
+
+SLICES, FAN_IN = 16, 64
+
+
+def array_slices(total: np.ndarray):
+    """Rows (i, slot, at, c) for ``tree_sum`` from one task's array: its slices,
+    as positions and values where most entries are 0."""
+    from pyspark import TaskContext
+    slot = TaskContext.get().partitionId()
+    for i, piece in enumerate(np.array_split(total, SLICES)):
+        full = np.flatnonzero(piece)
+        if len(full):
+            sparse = 2 * len(full) < len(piece)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([i], pa.int32()), pa.array([slot], pa.int64()), pa.array([full.astype("<u4").tobytes() if sparse else None], pa.binary()),
+                 pa.array([(piece[full] if sparse else piece).tobytes()], pa.binary())], names=["i", "slot", "at", "c"])
+
+
+SLICE_ROWS = "i int, slot long, at binary, c binary"
+
+
+def tree_sum(rows: DataFrame, tasks: int, size: int, kind) -> np.ndarray:
+    """Sum of the tasks' arrays of ``size`` entries (rows of ``array_slices``).
+
+    Slices of 64 tasks are added at a time, level by level, so no group holds
+    more than that however many tasks there are; the total has a fixed size and
+    comes to the driver.
+    """
+    widths = [len(x) for x in np.array_split(np.zeros(size, np.int8), SLICES)]
+
+    def add(table: pa.Table) -> pa.Table:
+        i, total = table.column("i")[0].as_py(), None
+        total = np.zeros(widths[i], kind)
+        for at, c in zip(table.column("at").to_pylist(), table.column("c").to_pylist()):
+            if at is None:
+                total += np.frombuffer(c, kind)
+            else:
+                total[np.frombuffer(at, "<u4")] += np.frombuffer(c, kind)
+        return pa.table({"i": table.column("i")[:1], "slot": table.column("slot")[:1], "at": pa.array([None], pa.binary()),
+                         "c": pa.array([total.tobytes()], pa.binary())})
+
+    left = tasks
+    while True:
+        left = -(-left // FAN_IN)
+        rows = rows.withColumn("slot", F.floor(F.col("slot") / FAN_IN)).groupBy("i", "slot").applyInArrow(add, SLICE_ROWS)
+        if left <= 1:
+            break
+    out = [np.zeros(w, kind) for w in widths]
+    for r in rows.select("i", "c").collect():
+        out[r["i"]] = np.frombuffer(r["c"], kind)
+    return np.concatenate(out)
+
+
+def task_count(df: DataFrame) -> int:
+    """Tasks that read ``df`` (cheap for files and checkpoints)."""
+    return df._jdf.rdd().getNumPartitions()

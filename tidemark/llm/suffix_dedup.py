@@ -42,7 +42,7 @@ LENGTH = 400
 GRAM = 64
 HOT_MEMBERS = 100
 BLOCK_FAMILIES = 1 << 18
-BLOCK_WINDOWS = 1 << 21
+BLOCK_WINDOWS = 1 << 20
 LEAD_BYTES = 16
 _POS_BITS = np.uint64(28)
 _POS = np.uint64((1 << 28) - 1)

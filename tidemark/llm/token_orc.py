@@ -32,7 +32,8 @@ from tidemark.llm.common import pin, scratch_path, shuffle_partitions
 from tidemark.llm.texts import prefix_hash, span_hash, string_chunks, word_bounds
 
 END_ID = 2
-MAX_CACHE = 800_000
+MAX_CACHE = 400_000
+CHUNK_BYTES = 3 << 19
 _SCHEMA = "doc_id long, part int, seq long, n_tokens int, ids array<int>"
 
 
@@ -158,7 +159,7 @@ def write_token_orc(docs: DataFrame, path: str, tokenizer: str | None = None, id
     def encode(batches):
         encoder, seq = encoder_for(tokenizer), 0
         for b in batches:
-            for lo, data, off in string_chunks(b.column(1)):
+            for lo, data, off in string_chunks(b.column(1), CHUNK_BYTES):
                 ids, lengths = encoder.encode(data, off)
                 n, ends = len(lengths), np.cumsum(lengths)
                 ids = np.insert(ids, ends, END_ID)
