@@ -167,6 +167,21 @@ def test_leaks_are_found_and_clean_documents_left(spark):
     assert {r.doc_id for r in kept.collect()} == set(range(len(texts))) - {d for d, _ in want}
 
 
+def test_leaks_whose_rarest_words_changed_are_found(spark):
+    r = random.Random(8)
+    common = [f"c{i}" for i in range(240)]
+    items, texts, want = [], [], set()
+    for i in range(12):
+        w = r.sample(common, 26) + [f"r{i}x{j}" for j in range(6)]
+        r.shuffle(w)
+        items.append((i, " ".join(w)))
+        texts.append(" ".join([f"q{i}" if x[0] == "r" else x for x in w] + words(r, 40).split()))
+        want.add((i, i))
+    texts += [" ".join(r.sample(common, 12) + words(r, 60).split()) for _ in range(150)]
+    got = decontam.find_leaks(documents(spark, texts), spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert {(g.doc_id, g.item_id) for g in got} == want
+
+
 def test_leaks_of_empty_tables_and_repeated_rows(spark):
     items, texts, want = leak_corpus()
     bench = spark.createDataFrame(items, "item_id long, text string")
