@@ -182,6 +182,47 @@ def test_leaks_whose_rarest_words_changed_are_found(spark):
     assert {(g.doc_id, g.item_id) for g in got} == want
 
 
+def test_leaks_equal_the_checks_on_every_region(spark):
+    r = random.Random(4)
+    df = table(spark, "benchmark")
+    items = sorted((b.item_id, b.text.lower()) for b in df.collect())
+    bench = decontam.Benchmark(items)
+    host = [d.text for d in table(spark, "documents").orderBy("doc_id").limit(120).collect()]
+    held = Counter(w for t in host for w in set((t or "").lower().split()))
+    texts = list(host)
+    for i, (_, text) in enumerate(items):
+        w = text.split()
+        for j in sorted(range(len(w)), key=lambda j: held[w[j]])[:len(w) * (10, 15, 20, 25)[i % 4] // 100]:
+            w[j] = f"q{r.randrange(99)}"
+        h = (host[i % 120] or "").split()[:300]
+        at = r.randrange(len(h) + 1)
+        texts.append(" ".join(h[:at] + w + h[at:]))
+    want = set()
+    for d, text in enumerate(texts):
+        seq = bench.numbers(bench._hashes((text or "").lower())[0])
+        for i, item in enumerate(bench.items):
+            n, masks, known = len(item), decontam._masks(item), np.isin(seq, item)
+            for h in range(-(-len(seq) // decontam.BLOCK)):
+                a, z = max(0, h * decontam.BLOCK - n), (h + 2) * decontam.BLOCK + n
+                if known[a:z].sum() >= 0.6 * n:
+                    bits, answer = decontam.lcs(seq[a:z].tolist(), masks, n), bench.answers[i]
+                    if bits.bit_count() >= 0.7 * n and (bits >> answer).bit_count() >= 0.6 * (n - answer):
+                        want.add((d, bench.ids[i]))
+    assert len(want) > len(items) // 2
+    got = decontam.find_leaks(documents(spark, texts), df).collect()
+    assert {(g.doc_id, g.item_id) for g in got} == want
+    assert all(0 <= g.first_word and g.lcs >= 0.7 * g.item_words for g in got)
+
+
+def test_latent_space_is_the_same_from_pair_counts(spark):
+    items, texts, _ = leak_corpus()
+    bench = decontam.Benchmark(items)
+    terms = decontam.pin(decontam.term_rows(documents(spark, texts), "doc_id", "text", bench))
+    idf = decontam.term_weights(*decontam.document_counts(terms, len(bench.terms) + 1))
+    a, b = (decontam.latent_space(terms, bench, idf, rank=20, max_pairs=m) for m in (0, decontam.MAX_PAIRS))
+    assert np.abs(a @ a.T - b @ b.T).max() < 1e-3 * np.abs(a @ a.T).max()
+
+
 def test_leaks_of_empty_tables_and_repeated_rows(spark):
     items, texts, want = leak_corpus()
     bench = spark.createDataFrame(items, "item_id long, text string")
