@@ -57,6 +57,13 @@ def test_held_out_labels_are_not_learned(spark):
     assert a == b
 
 
+def test_a_bounded_sample_keeps_the_class_ratio(spark):
+    docs = documents(spark, [("alpha beta gamma", "delta epsilon zeta")[i // 10 % 2] for i in range(800)])
+    lab = spark.createDataFrame([(i, int(i % 10 == 0)) for i in range(800)], "doc_id long, toxic int")
+    whole, bounded = ([r.score for r in toxicity.score_documents(docs, lab, max_per_class=m).collect()] for m in ((9000, 3000), (40, 40)))
+    assert abs(np.mean(whole) - 0.1) < 0.05 and abs(np.mean(bounded) - np.mean(whole)) < 0.05
+
+
 def test_toxicity_without_labels_or_rows(spark):
     schema = "doc_id long, toxic int"
     none = spark.createDataFrame([(1, None), (None, 1)], schema)

@@ -9,6 +9,8 @@ fitted on them.  Scoring walks every whole text once.
 
 Training reads at most ``max_per_class`` labelled documents (clean, toxic),
 those with the smallest seeded hash of their id; that bound is the only one.
+A sampled row weighs its class's labels over its class's sampled labels, so the
+fitted prior is that of all labels at every size.
 Labels are learned from ids with crc32(id as text) mod 5 != 0 only.
 
 Defined results: a null or empty text has no n-grams and gets the model's
@@ -91,20 +93,23 @@ def present(texts: list, slot: np.ndarray):
 
 def training_sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str,
                     max_per_class: tuple = MAX_PER_CLASS) -> DataFrame:
-    """(label, text) of at most ``max_per_class`` labelled documents (clean, toxic), none held out."""
+    """(label, text, weight) of at most ``max_per_class`` labelled documents (clean, toxic), none held out."""
     marked = pin(labels.select(F.col(id_col).alias("k"), F.col(label_col).cast("int").alias("y"))
               .filter("k IS NOT NULL AND y IN (0, 1)").filter(~held_out("k")).groupBy("k").agg(F.max("y").alias("y")))
     # both parts are bounded by max_per_class, so the ids may be broadcast
     picked = [hash_sample(marked.filter(F.col("y") == y), max_per_class[y], 1, F.col("k")) for y in (0, 1)]
     ids = pin(picked[0].unionByName(picked[1]))
+    every, taken = ({r["y"]: r["count"] for r in d.groupBy("y").count().collect()} for d in (marked, ids))
+    weight = F.when(F.col("y") == 1, every.get(1, 0) / max(taken.get(1, 0), 1)).otherwise(every.get(0, 0) / max(taken.get(0, 0), 1))
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    return texts.join(F.broadcast(ids), F.col("id") == F.col("k")).select("y", "text")
+    return texts.join(F.broadcast(ids), F.col("id") == F.col("k")).select("y", "text", weight.alias("weight"))
 
 
 def fit(sample: DataFrame, features: int = FEATURES, rounds: int = 300) -> dict | None:
     """Model ``{"slot": bucket -> feature or -1, "weight": per feature, "bias": float}``; None without both classes."""
     sample = pin(sample)
-    sizes = {r["y"]: r["n"] for r in sample.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
+    classes = sample.groupBy("y").agg(F.count(F.lit(1)).alias("n"), F.max("weight").alias("weight")).collect()
+    sizes, weights = {r["y"]: r["n"] for r in classes}, {r["y"]: r["weight"] for r in classes}
     if not (sizes.get(0) and sizes.get(1)):
         return None
     every = np.arange(1 << BITS, dtype=np.int32)
@@ -123,7 +128,7 @@ def fit(sample: DataFrame, features: int = FEATURES, rounds: int = 300) -> dict
 
     counts = sample.mapInArrow(count, "bucket int, pos long, neg long").groupBy("bucket").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
     p, q = F.col("pos") / sizes[1], F.col("neg") / sizes[0]
-    both = (F.col("pos") + F.col("neg")) / (sizes[0] + sizes[1])
+    both = (F.col("pos") * weights[1] + F.col("neg") * weights[0]) / (sizes[0] * weights[0] + sizes[1] * weights[1])
     best = (counts.filter(F.col("pos") + F.col("neg") >= 5).withColumn("gain", F.abs(p - q) / F.sqrt(both * (1 - both) + 1e-4))
             .orderBy(F.desc("gain"), "bucket").limit(features).collect())
     pos, neg = (np.array([r[c] for r in best], float) for c in ("pos", "neg"))
@@ -144,13 +149,13 @@ def fit(sample: DataFrame, features: int = FEATURES, rounds: int = 300) -> dict
         x.append(row), y.append(r["y"])
     order = np.lexsort((np.array([v.sum() for v in x]), np.array(y)))
     x, y = np.stack(x)[order], np.array(y, np.float32)[order]
-    weight, bias = _logistic(x, y, rounds)
+    weight, bias = _logistic(x, y, np.where(y == 1, weights[1], weights[0]), rounds)
     return {"slot": slot, "weight": (weight * ratio).astype(np.float64), "bias": bias}
 
 
-def _logistic(x: np.ndarray, y: np.ndarray, rounds: int, l2: float = 1e-4, rate: float = 0.05):
-    """Logistic regression by Adam on the full sample; rows weigh alike, so a rejection needs real evidence."""
-    each = np.float32(1 / len(y))
+def _logistic(x: np.ndarray, y: np.ndarray, weights: np.ndarray, rounds: int, l2: float = 1e-4, rate: float = 0.05):
+    """Logistic regression by Adam on the full sample; rows weigh as in all labels, so a rejection needs real evidence."""
+    each = (weights / weights.sum()).astype(np.float32)
     w, b = np.zeros(x.shape[1], np.float32), 0.0
     m, v = np.zeros(len(w) + 1, np.float32), np.zeros(len(w) + 1, np.float32)
     for t in range(1, rounds + 1):
