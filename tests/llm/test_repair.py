@@ -1,0 +1,159 @@
+"""Conversation structure repair (11)."""
+
+import hashlib
+import itertools
+import random
+import re
+from zlib import crc32
+
+import pytest
+
+from tidemark.llm import repair
+
+SCHEMA = "conv_id long, turn long, role string, text string"
+PATTERN = re.compile(r"(s?(ua)+)?\Z")
+
+
+def damaged(rows):
+    out = []
+    for conv, turn, role, text in rows:
+        role, text = " " if role is None else role, " " if text is None else text
+        key = f"{' ' if conv is None else conv}:{' ' if turn is None else turn}"
+        d = crc32(key.encode()) % 20
+        if d == 0:
+            continue
+        text = "" if d == 1 else re.sub("[.!?]", "", text) if d == 2 else text
+        out += [(conv, turn, "user" if d == 4 else role, text)] * (2 if d == 3 else 1)
+    return out
+
+
+def cheapest(rows, fault):
+    """(cost, audit, repaired) over every edit of every row and up to two insertions in every gap."""
+    gaps = ["", "u", "a", "ua", "au"]
+    full = {"u": "user", "a": "assistant"}
+    options = [["D"] if f in ("blank", "duplicate") else ["D", "K", "u", "a"] for f in fault]
+    found = None
+    for edits in itertools.product(*options):
+        for ins in itertools.product(gaps, repeat=len(rows) + 1):
+            kept, cost, audit = [], 0, ""
+            for i in range(len(rows) + 1):
+                kept += [(full[c], "") for c in ins[i]]
+                cost, audit = cost + 2 * len(ins[i]), audit + "I" * len(ins[i])
+                if i < len(rows):
+                    e, (role, text) = edits[i], rows[i]
+                    if e == "D":
+                        cost += 3
+                    else:
+                        kept.append((role if e == "K" else full[e], text))
+                        cost += (e != "K") * 2 + (fault[i] == "truncated")
+                    audit += "R" if e in "ua" else e
+            if PATTERN.match("".join(r[:1] for r, _ in kept)) and (found is None or (cost, audit) < found[:2]):
+                found = (cost, audit, kept)
+    return found
+
+
+def brute(conv, rows):
+    """The contract's row of one conversation, its rows in order."""
+    turns = {t for _, t, _, _ in rows if t is not None}
+    fault, seen = [], set()
+    for _, _, role, text in rows:
+        shown = re.sub(r"[\x20\x09-\x0D]", "", text)
+        fault.append("blank" if not shown else "duplicate" if (role, text) in seen else "" if shown[-1] in ".!?" else "truncated")
+        seen.add((role, text))
+    first = [r[:1] for _, _, r, _ in rows]
+    illegal = sum(a + b not in ("su", "ua", "au") for a, b in zip(first, first[1:]))
+    cost, audit, kept = cheapest([(r, t) for _, _, r, t in rows], fault)
+    text = "\n".join(f"{r}:{t}" for r, t in kept)
+    return (conv, max(turns) - min(turns) + 1 - len(turns) if turns else 0, *(fault.count(x) for x in ("blank", "duplicate", "truncated")),
+            illegal, cost, audit, hashlib.sha256(text.encode()).hexdigest())
+
+
+def run(spark, rows):
+    df = spark.createDataFrame(rows, SCHEMA).selectExpr("*", "'x' as kind", "1 as n", "'y' as h", "2 as copies", "3 as `odd.name`", "4 as audit")
+    return {tuple(r)[0]: tuple(r) for r in repair.repair_conversations(df).collect()}
+
+
+def test_equals_brute_force(spark):
+    r = random.Random(5)
+    rows = []
+    for conv in [None, *range(1, 120)]:
+        for turn in r.sample([None, *range(6)], r.randrange(1, 4)):
+            rows.append((conv, turn, r.choice(["user", "assistant", "assistant", "system", "tool", None]),
+                         r.choice(["yes.", "no", " ", None, "end! ", "what?\n", "é", "a. b"])))
+    got = run(spark, rows)
+    assert set(got) == {row[0] for row in rows}
+    after = damaged(rows)
+    for conv in got:
+        mine = sorted((x for x in after if x[0] == conv), key=lambda x: (x[1] is not None, x[1] or 0))
+        assert got[conv] == brute(conv, mine), (conv, mine)
+
+
+def test_cells_of_any_split_agree():
+    """Blocks joined in a tree give the cells that CYK over all spans gives."""
+    r, p = random.Random(1), repair.Parser()
+    for n in (1, 5, 16, 17, 40):
+        s = "".join(r.choice("suaxSUAXd") for _ in range(n))
+        cut = r.randrange(n + 1)
+        assert repair.join_spans(p.cells(s[:cut]), p.cells(s[cut:])) == p.cells(s)
+        if n <= 17:
+            assert repair.Parser().block(s) == p.cells(s)
+
+
+@pytest.mark.parametrize("text,expect", [("", "K"), ("x" * 200_000, "K")])
+def test_texts_empty_and_very_long(spark, text, expect):
+    conv = next(c for c in range(1000) if all(crc32(f"{c}:{t}".encode()) % 20 > 4 for t in (0, 1)))
+    got = run(spark, [(conv, 0, "user", "a."), (conv, 1, "assistant", text + ".")])
+    assert got[conv][6:8] == (0, "KK")
+    assert got[conv][8] == hashlib.sha256(f"user:a.\nassistant:{text}.".encode()).hexdigest()
+
+
+def test_one_conversation_over_many_tasks(spark):
+    """A conversation of thousands of rows is parsed in stretches; repeated rows are counted, not moved."""
+    r = random.Random(3)
+    rows = [(7, t, r.choice(["user", "assistant", "system"]), f"t{t}" + r.choice([".", "", "!"])) for t in range(3000)] + [(7, 5000, "user", "same.")] * 500
+    rows += [(8, 0, "user", "hi."), (9, 0, "system", "s.")]
+    got = run(spark, rows)[7]
+    after = sorted(damaged(rows[:3500]), key=lambda x: x[1])
+    symbols, seen = "", set()
+    for _, _, role, text in after:
+        gone = not text.strip() or (role, text) in seen
+        seen.add((role, text))
+        symbols += "d" if gone else role[0] if text.strip()[-1] in ".!?" else role[0].upper()
+    assert (got[6], got[7]) == shortest(symbols)
+    assert got[3] == len(after) - len(set((a[2], a[3]) for a in after)) - sum(not a[3].strip() for a in after) + len({a[2:] for a in after if not a[3].strip()})
+
+
+def shortest(symbols):
+    """Least (cost, audit) by a plain left-to-right pass over the pattern's states, without spans."""
+    step = {(0, "s"): 1, (0, "u"): 2, (1, "u"): 2, (3, "u"): 2, (2, "a"): 3}
+    best = {0: (0, "")}
+
+    def grow(best):
+        for _ in range(3):
+            for p, (c, a) in list(best.items()):
+                for x in "ua":
+                    if (p, x) in step:
+                        q = step[p, x]
+                        best[q] = min(best.get(q, (1 << 60, "")), (c + 2, a + "I"))
+        return best
+
+    for s in symbols:
+        nxt = {}
+        for p, (c, a) in grow(best).items():
+            moves = [(p, 3, "D")]
+            if s != "d":
+                moves += [(step[p, x], (x != s.lower()) * 2 + s.isupper(), "K" if x == s.lower() else "R") for x in "sua" if (p, x) in step and (x != "s" or s.lower() == "s")]
+            for q, cost, e in moves:
+                nxt[q] = min(nxt.get(q, (1 << 60, "")), (c + cost, a + e))
+        best = nxt
+    return min(v for q, v in grow(best).items() if q in (0, 3))
+
+
+def test_empty_table(spark):
+    df = spark.createDataFrame([], SCHEMA)
+    assert repair.repair_conversations(df).collect() == []
+
+
+def test_all_rows_dropped(spark):
+    conv = next(c for c in range(1000) if crc32(f"{c}:0".encode()) % 20 == 0)
+    assert run(spark, [(conv, 0, "user", "a.")])[conv] == (conv, 0, 0, 0, 0, 0, 0, "", hashlib.sha256(b"").hexdigest())

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat, decontam, mixing, ngram_join, pii, suffix_dedup, token_orc, topk, toxicity, url_filter
+from tidemark.llm import chat, decontam, mixing, ngram_join, pii, repair, suffix_dedup, token_orc, topk, toxicity, url_filter
 from tidemark.llm.common import read
 
 QUERIES: dict = {}
@@ -81,3 +81,11 @@ def op8(spark, sf_dir):
 @register("op7_decontaminate")
 def op7(spark, sf_dir):
     return decontam.find_leaks(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+@register("op11_structure_repair")
+def op11(spark, sf_dir):
+    return repair.repair_conversations(read(spark, sf_dir, "conversations"))
+
+
+ORACLES["op11_structure_repair"] = repair.oracle()
