@@ -22,6 +22,22 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def _hadoop(spark: SparkSession, path: str):
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
+
+
+def make_folder(spark: SparkSession, path: str) -> None:
+    system, place = _hadoop(spark, path)
+    system.mkdirs(place)
+
+
+def drop_path(spark: SparkSession, path: str) -> None:
+    """Delete a scratch folder that no frame reads any more."""
+    system, place = _hadoop(spark, path)
+    system.delete(place, True)
+
+
 def small_batches(spark: SparkSession, rows: int = 1000) -> None:
     """Arrow batches of ``rows`` rows where the session leaves Spark's 10,000:
     a row holds a whole text here, and a batch is in memory several times."""

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat, decontam, mixing, ngram_join, pii, repair, suffix_dedup, token_orc, topk, toxicity, url_filter
+from tidemark.llm import chat, decontam, mixing, ngram_join, pii, repair, suffix_dedup, token_orc, topk, toxicity, url_filter, warc
 from tidemark.llm.common import read
 
 QUERIES: dict = {}
@@ -89,3 +89,11 @@ def op11(spark, sf_dir):
 
 
 ORACLES["op11_structure_repair"] = repair.oracle()
+
+
+@register("op12_warc")
+def op12(spark, sf_dir):
+    return warc.archive_pages(read(spark, sf_dir, "pages"))
+
+
+ORACLES["op12_warc"] = warc.oracle()
