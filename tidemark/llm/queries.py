@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat, decontam, mixing, ngram_join, pii, repair, suffix_dedup, token_orc, topk, toxicity, url_filter, warc
+from tidemark.llm import chat, decontam, mixing, ngram_join, pii, repair, runs, suffix_dedup, token_orc, topk, toxicity, url_filter, warc
 from tidemark.llm.common import read
 
 QUERIES: dict = {}
@@ -97,3 +97,11 @@ def op12(spark, sf_dir):
 
 
 ORACLES["op12_warc"] = warc.oracle()
+
+
+@register("op13_periodic_runs")
+def op13(spark, sf_dir):
+    return runs.run_digests(runs.periodic_runs(runs.loop_tails(read(spark, sf_dir, "documents"))))
+
+
+ORACLES["op13_periodic_runs"] = runs.oracle()
