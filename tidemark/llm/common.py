@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 import numpy as np
 import pyarrow as pa
@@ -11,10 +14,75 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from tidemark.session import ensure_checkpoint_dir
 
 
+#: Spark's setting to delete an execution's shuffle files at its end.
+DROP_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+class Pins:
+    """Owner of the frames pinned inside a ``with pins()`` block."""
+
+    def __init__(self, outer: "Pins | None"):
+        self.outer, self.paths, self.spark = outer, [], None
+
+    def keep(self, frame: DataFrame) -> DataFrame:
+        """Let the pinned ``frame`` live on: the block around this one owns it, or the caller."""
+        path = _checkpoint_path(frame)
+        self.paths.remove(path)
+        if self.outer:
+            self.outer.add(frame, path)
+        return frame
+
+    def add(self, frame: DataFrame, path: str) -> None:
+        self.spark = frame.sparkSession
+        self.paths.append(path)
+
+    def drop(self, frame: DataFrame) -> None:
+        """Delete the pinned ``frame`` now: what was made of it is pinned itself."""
+        path = _checkpoint_path(frame)
+        self.paths.remove(path)
+        drop_path(self.spark, path)
+
+    def close(self) -> None:
+        for path in self.paths:
+            drop_path(self.spark, path)
+
+
+_OWNER: ContextVar[Pins | None] = ContextVar("pins", default=None)
+
+
+@contextmanager
+def pins() -> Iterator[Pins]:
+    """Frames pinned in the block are deleted at its end, but for those it keeps."""
+    owner = Pins(_OWNER.get())
+    token = _OWNER.set(owner)
+    try:
+        yield owner
+    finally:
+        _OWNER.reset(token)
+        owner.close()
+
+
+def _checkpoint_path(frame: DataFrame) -> str:
+    return frame._jdf.queryExecution().logical().rdd().getCheckpointFile().get()
+
+
 def pin(df: DataFrame) -> DataFrame:
-    """Cut the lineage with a reliable checkpoint in the shared folder."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Cut the lineage with a reliable checkpoint in the shared folder.
+
+    The shuffle files behind it go once it is written; the checkpoint goes with
+    the ``pins`` block around the call (without one it is the caller's).
+    """
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    before = spark.conf.get(DROP_SHUFFLES, "false")
+    spark.conf.set(DROP_SHUFFLES, "true")
+    try:
+        out = df.select("*").checkpoint(eager=True)
+    finally:
+        spark.conf.set(DROP_SHUFFLES, before)
+    if owner := _OWNER.get():
+        owner.add(out, _checkpoint_path(out))
+    return out
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

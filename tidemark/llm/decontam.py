@@ -35,7 +35,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tidemark.llm.common import SLICE_ROWS, array_slices, columns, pin, task_count, tree_sum
+from tidemark.llm.common import SLICE_ROWS, array_slices, columns, pin, pins, task_count, tree_sum
 from tidemark.llm.texts import prefix_hash, span_hash, string_chunks
 
 BLOCK = 16
@@ -415,5 +415,6 @@ def drop_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
     """The documents that contain no benchmark item, with their own columns."""
     key = F.xxhash64(F.col(id_col), F.col(text_col))
     keyed = docs.withColumn("__leak_key", key)
-    leaks = find_leaks(keyed, benchmark, "__leak_key", text_col).select(F.col("doc_id").alias("__leak_id")).distinct()
+    with pins() as own:
+        leaks = own.keep(pin(find_leaks(keyed, benchmark, "__leak_key", text_col).select(F.col("doc_id").alias("__leak_id")).distinct()))
     return keyed.join(leaks, F.col("__leak_key") == F.col("__leak_id"), "left_anti").select(*columns(docs))

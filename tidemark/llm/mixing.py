@@ -26,7 +26,7 @@ from fractions import Fraction
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidemark.llm.common import columns, pin
+from tidemark.llm.common import columns, pin, pins
 from tidemark.llm.texts import word_counts
 
 WEIGHTS = (5, 2, 1)
@@ -215,7 +215,7 @@ def mixed_documents(docs: DataFrame, source_col: str = "source", text_col: str =
     """The documents of the mix with their own columns, each as often as it is taken."""
     u, p = "__mix_hash", "__mix_pattern"
     keyed = docs.select("*", F.array(F.col(source_col)).alias(p), seeded_hash(seed, F.col(id_col), F.col(text_col)).alias(u))
-    sized = pin(word_sizes(keyed.select(p, u, F.col(text_col).alias("t")), "t"))
-    cuts, _, _ = plan_mix(sized, p, "size", u, seed, weights, cap)
+    with pins():
+        cuts, _, _ = plan_mix(pin(word_sizes(keyed.select(p, u, F.col(text_col).alias("t")), "t")), p, "size", u, seed, weights, cap)
     out = with_copies(keyed, cuts, p, u, "__mix_copies").filter("__mix_copies > 0")
     return out.withColumn("__mix_copies", F.explode(F.sequence(F.lit(1).cast("long"), F.col("__mix_copies")))).select(*columns(docs))

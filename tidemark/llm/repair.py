@@ -37,7 +37,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidemark.llm.common import pin, shuffle_partitions
+from tidemark.llm.common import pin, pins, shuffle_partitions
 
 START, AFTER_S, AFTER_U, AFTER_A = range(4)
 STATES = range(4)
@@ -320,10 +320,11 @@ RESULT = ["gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit"]
 def repair_conversations(conversations: DataFrame) -> DataFrame:
     """conv_id, gaps, blank, duplicate, truncated, illegal, cost, audit, repaired_sha256 of every conversation after the damage."""
     damaged = damage(conversations)
-    faults = pin(_faults(damaged))
-    parsed = _parse(faults).select(F.col("conv_id").alias("c"), "illegal", "cost", "audit")
-    found = _counts(faults).join(parsed, F.col("conv_id").eqNullSafe(F.col("c")), "left").select(
-        "conv_id", *RESULT[:4], *(F.coalesce(x, F.lit(0)).cast("long").alias(x) for x in ("illegal", "cost")), F.coalesce("audit", F.lit("")).alias("audit"))
+    with pins() as own:
+        faults = pin(_faults(damaged))
+        parsed = _parse(faults).select(F.col("conv_id").alias("c"), "illegal", "cost", "audit")
+        found = own.keep(pin(_counts(faults).join(parsed, F.col("conv_id").eqNullSafe(F.col("c")), "left").select(
+            "conv_id", *RESULT[:4], *(F.coalesce(x, F.lit(0)).cast("long").alias(x) for x in ("illegal", "cost")), F.coalesce("audit", F.lit("")).alias("audit"))))
     void = [F.lit(None).cast(t).alias(c) for c, t in found.dtypes if c in RESULT]
     rows = damaged.filter("copies > 0").select(
         "conv_id", F.lit(1).alias("kind"), "turn", "role", F.unhex(F.md5(F.col("text").cast("binary"))).alias("h"),

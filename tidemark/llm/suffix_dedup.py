@@ -35,7 +35,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import StructType
 
-from tidemark.llm.common import pin, shuffle_partitions
+from tidemark.llm.common import pin, pins, shuffle_partitions
 from tidemark.llm.texts import packed_texts, prefix_hash, span_hash, string_chunks, unpack
 
 LENGTH = 400
@@ -292,16 +292,17 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     n = shuffle_partitions(docs.sparkSession)
     keyed = _keyed(docs, id_col, text_col)
     # one row per (id, text), then classes of equal texts; repeated rows are counted on the way
-    every = pin(keyed.groupBy("key", F.md5("text").alias("md5"), F.octet_length("text").alias("size")).agg(F.count(F.lit(1)).alias("rows")))
-    classes = pin(every.filter(F.col("size") >= length).groupBy("md5").agg(F.sum("rows").alias("n"), F.min("key").alias("rep")))
-    copied = every.join(classes.filter("n > 1").select(F.col("md5").alias("m2")), F.col("md5") == F.col("m2")).select("key")
-    wanted = shared_families(keyed.select("key", "text"), n, length, gram, hot_members).groupBy("key").agg(F.first("fams").alias("fams"))
-    wanted = wanted.join(classes.select(F.col("rep").alias("key")), "key", "left_semi")
-    packed = packed_texts(keyed)
-    texts = packed.withColumnRenamed("key", "k2").join(pin(wanted), F.col("k2") == F.col("key")).select("key", "fams", "size", "packed")
-    spans = pin(_ordinary(texts, n, length).unionByName(_hot(texts, n, length)))
-    spans = spans.unionByName(copied.select("key", F.lit(0).cast("long").alias("p0"), F.lit(1 << 40).alias("p1")))
-    per_key = pin(spans.groupBy("key").agg(F.collect_list(F.struct("p0", "p1")).alias("found")).withColumnRenamed("key", "k2"))
+    with pins() as own:
+        every = pin(keyed.groupBy("key", F.md5("text").alias("md5"), F.octet_length("text").alias("size")).agg(F.count(F.lit(1)).alias("rows")))
+        classes = pin(every.filter(F.col("size") >= length).groupBy("md5").agg(F.sum("rows").alias("n"), F.min("key").alias("rep")))
+        copied = every.join(classes.filter("n > 1").select(F.col("md5").alias("m2")), F.col("md5") == F.col("m2")).select("key")
+        wanted = shared_families(keyed.select("key", "text"), n, length, gram, hot_members).groupBy("key").agg(F.first("fams").alias("fams"))
+        wanted = wanted.join(classes.select(F.col("rep").alias("key")), "key", "left_semi")
+        packed = packed_texts(keyed)
+        texts = packed.withColumnRenamed("key", "k2").join(pin(wanted), F.col("k2") == F.col("key")).select("key", "fams", "size", "packed")
+        spans = pin(_ordinary(texts, n, length).unionByName(_hot(texts, n, length)))
+        spans = spans.unionByName(copied.select("key", F.lit(0).cast("long").alias("p0"), F.lit(1 << 40).alias("p1")))
+        per_key = own.keep(pin(spans.groupBy("key").agg(F.collect_list(F.struct("p0", "p1")).alias("found")).withColumnRenamed("key", "k2")))
     joined = packed.join(per_key, F.col("key") == F.col("k2"), "left").select("doc_id", "size", "packed", "found")
 
     def cut(batches):

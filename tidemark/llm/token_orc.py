@@ -28,7 +28,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from tidemark.llm.common import pin, scratch_path, shuffle_partitions
+from tidemark.llm.common import drop_path, pin, scratch_path, shuffle_partitions
 from tidemark.llm.texts import prefix_hash, span_hash, string_chunks, word_bounds
 
 END_ID = 2
@@ -208,6 +208,9 @@ def document_digests(tokens: DataFrame) -> DataFrame:
 def token_orc_roundtrip(docs: DataFrame, tokenizer: str | None = None, path: str | None = None) -> DataFrame:
     """Write the files (below the shared checkpoint folder unless ``path`` is given), read them back, digest them."""
     spark = docs.sparkSession
-    path = path or scratch_path(spark, "token-orc")
-    write_token_orc(docs, path, tokenizer)
-    return document_digests(read_token_orc(spark, path))
+    folder = path or scratch_path(spark, "token-orc")
+    write_token_orc(docs, folder, tokenizer)
+    out = document_digests(read_token_orc(spark, folder))
+    if not path:
+        drop_path(spark, folder)                                 # the digests of the files are pinned
+    return out

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from tidemark.llm.common import columns, hash_sample, pin
+from tidemark.llm.common import columns, hash_sample, pin, pins
 from tidemark.llm.texts import mix64
 
 SIZES = (3, 4, 5)
@@ -187,7 +187,8 @@ def score_column(df: DataFrame, text_col: str, model: dict | None, score_col: st
 def score_documents(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
                     max_per_class: tuple = MAX_PER_CLASS) -> DataFrame:
     """Rows (doc_id, held_out, score, predicted) for every document."""
-    model = fit(training_sample(docs, labels, id_col, text_col, label_col, max_per_class))
+    with pins():
+        model = fit(training_sample(docs, labels, id_col, text_col, label_col, max_per_class))
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     return (score_column(rows, "text", model)
             .select("doc_id", held_out("doc_id").alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")))
@@ -195,5 +196,6 @@ def score_documents(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> DataFrame:
     """The documents that are not rejected, with their own columns."""
-    model = fit(training_sample(docs, labels, id_col, text_col, label_col))
+    with pins():
+        model = fit(training_sample(docs, labels, id_col, text_col, label_col))
     return score_column(docs, text_col, model, "__toxicity").filter("__toxicity < 0.5").select(*columns(docs))

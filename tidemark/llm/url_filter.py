@@ -23,7 +23,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from tidemark.llm.common import pin
+from tidemark.llm.common import pin, pins
 
 #: The rules: (verdict, host, path).
 RULES = (("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/"))
@@ -93,17 +93,18 @@ def filter_urls(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
     """Rows (page_id, host, path, rule, verdict, score) for every page."""
     ruled = with_rules(pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url")), "url", rules).drop("url")
     ruled = ruled.withColumn("s", F.concat("host", "path"))
-    texts = pin(ruled.groupBy("s", "ruled").agg(F.count(F.lit(1)).alias("n")))
-    texts = texts.select("s", F.when(F.col("ruled") == "allow", F.col("n")).otherwise(0).alias("a"),
-                         F.when(F.col("ruled") == "block", F.col("n")).otherwise(0).alias("r"))
-    grams = pin(_windows(texts).groupBy("g").agg(F.sum("a").alias("a"), F.sum("r").alias("r")))
-    ratios = pin(window_ratios(grams))
-    if ratios.count() <= BROADCAST_ROWS:
-        ratios = F.broadcast(ratios)
-    scores = pin(_windows(texts).join(ratios, "g").groupBy("s").agg(
-        F.sum("ratio").alias("total"), F.count(F.lit(1)).alias("length"), F.first("a").alias("a"), F.first("r").alias("r"))
-        .withColumn("bin", F.floor(F.col("total") * BINS_PER_NAT / (F.col("length") * SCALE))))
-    cut = calibrate(scores)
+    with pins() as own:
+        texts = pin(ruled.groupBy("s", "ruled").agg(F.count(F.lit(1)).alias("n")))
+        texts = texts.select("s", F.when(F.col("ruled") == "allow", F.col("n")).otherwise(0).alias("a"),
+                             F.when(F.col("ruled") == "block", F.col("n")).otherwise(0).alias("r"))
+        grams = pin(_windows(texts).groupBy("g").agg(F.sum("a").alias("a"), F.sum("r").alias("r")))
+        ratios = pin(window_ratios(grams))
+        if ratios.count() <= BROADCAST_ROWS:
+            ratios = F.broadcast(ratios)
+        scores = pin(_windows(texts).join(ratios, "g").groupBy("s").agg(
+            F.sum("ratio").alias("total"), F.count(F.lit(1)).alias("length"), F.first("a").alias("a"), F.first("r").alias("r"))
+            .withColumn("bin", F.floor(F.col("total") * BINS_PER_NAT / (F.col("length") * SCALE))))
+        cut = calibrate(own.keep(scores))
     return (ruled.join(scores.select(F.col("s").alias("s2"), "total", "length", "bin"), F.col("s") == F.col("s2"), "left")
             .select("page_id", "host", "path", "rule",
                     F.coalesce("ruled", F.when(F.col("bin") >= cut, "allow").otherwise("block")).alias("verdict"),
