@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as E
 from tidemark.plans import jobs
+from tidemark.sinks import read_versioned
 from tidemark.sources import relations as rel
 
 SF = "/root/testdata/sf0.001"
@@ -18,7 +19,7 @@ def test_jobs_end_to_end(spark, scratch):
     out, registry_path, history = (os.path.join(scratch, n) for n in ("out", "registry", "history"))
     camps = jobs.prepare_campaign(spark, inputs, blast_date, rel.ITEMS_AS_OF, out, registry_path)
     assert camps == {"hk": "lc_fprp_notification_20240110_hk", "cn": "lc_fprp_notification_20240110_cn"}
-    registry = spark.read.parquet(registry_path)
+    registry = read_versioned(spark, registry_path)
     assert registry.count() == 4
     male_hk = spark.read.parquet(f"{out}/audience/lc_fprp_notification_20240110_hk_male/audience_list")
     grouped_hk = spark.read.parquet(f"{out}/audience/lc_fprp_notification_{'hk'}.parquet")
@@ -40,14 +41,14 @@ def test_jobs_end_to_end(spark, scratch):
                             dt.date(2024, 1, 9), salt="seed-2024")
     assert report["hk"]["blast_date"] == blast_date
     assert set(report["hk"]["unfilled"]) == {"female", "male"}
-    hist = spark.read.parquet(history)
+    hist = read_versioned(spark, history)
     # the history equals the registered query's rows (same chain, backfilled recommendations here)
     assert hist.where("region = 'hk'").count() > 0
     assert os.path.isdir(f"{out}/blast/products_fprp_notification_20240110_hk.upsert.csv")
     n = hist.count()
     jobs.run_blast(spark, registry, load_version, load_audience, rel.item_master_partial(t), out, history,
                    dt.date(2024, 1, 9), salt="seed-2024")
-    assert spark.read.parquet(history).count() == n          # re-run replaces its own partitions
+    assert read_versioned(spark, history).count() == n          # re-run replaces its own partitions
     assert recs is not None
 
 
@@ -71,7 +72,7 @@ def test_both_groups_are_registered_without_an_audience(spark, scratch):
                                      rel.publication_status(t), rel.item_start_date(t), rel.item_master(t))
         jobs.prepare_campaign(spark, inputs, day, rel.ITEMS_AS_OF, out, registry_path)
     assert spark.read.parquet(f"{out}/audience/lc_fprp_notification_hk.parquet").count() == 0
-    camp, audiences = jobs.lookup_campaign(spark, spark.read.parquet(registry_path), "hk")
+    camp, audiences = jobs.lookup_campaign(spark, read_versioned(spark, registry_path), "hk")
     assert camp == "lc_fprp_notification_20240110_hk"
     assert sorted(audiences) == [f"{camp}_female", f"{camp}_male"]
     versions = spark.read.parquet(f"{out}/campaign/{camp}/versions")
@@ -122,7 +123,7 @@ def test_blast_backfills_version_tables_in_place(spark, scratch):
         overwrite_from_self(filled, f"{tables}/{group}")     # filled reads the path it replaces
         return spark.read.parquet(f"{tables}/{group}")
 
-    jobs.run_blast(spark, spark.read.parquet(registry_path), lambda c, g: spark.read.parquet(f"{tables}/{g}"),
+    jobs.run_blast(spark, read_versioned(spark, registry_path), lambda c, g: spark.read.parquet(f"{tables}/{g}"),
                    lambda r: grouped, rel.item_master_partial(t), out, history, dt.date(2024, 1, 9),
                    regions=("cn",), store_version=store)
     for g in jobs.GROUPS:

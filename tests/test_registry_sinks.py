@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.operators import registry as reg
-from tidemark.sinks import (append_blast_history, overwrite_from_self, read_csv, write_audience_lists, write_csv, write_feed,
+from tidemark.sinks import (append_blast_history, overwrite_from_self, read_csv, read_versioned, write_audience_lists, write_csv, write_feed,
                             write_registry)
 from tests.conftest import rows
 
@@ -65,11 +65,12 @@ def test_append_history_is_idempotent(spark, scratch):
     run1 = spark.createDataFrame([("v1", d1, "hk"), ("v2", d1, "hk"), ("v3", d1, "cn")],
                                  "vip_no string, blast_date date, region string")
     run2 = spark.createDataFrame([("v1", d2, "hk")], "vip_no string, blast_date date, region string")
-    assert append_blast_history(run1, path)
-    append_blast_history(run1, path)                      # re-run of the same blast
-    append_blast_history(run2, path)
-    assert not append_blast_history(run2, path, test=True)
-    got = spark.read.parquet(path)
+    both = [("hk", d1), ("cn", d1)]
+    assert append_blast_history(run1, path, both)
+    append_blast_history(run1, path, both)                # re-run of the same blast
+    append_blast_history(run2, path, [("hk", d2)])
+    assert not append_blast_history(run2, path, [("hk", d2)], test=True)
+    got = read_versioned(spark, path)
     assert got.count() == 4
     assert got.where(F.col("blast_date") == d1).count() == 3
 
@@ -78,7 +79,7 @@ def test_registry_sink_replaces_one_key(spark, scratch):
     path = os.path.join(scratch, "registry")
     for key, campaign, ids in (("k1", "c1", ["a1", "a2"]), ("k2", "c2", ["b1"]), ("k1", "c9", ["n1"])):
         write_registry(spark, path, key, campaign, ids)
-    read = lambda: rows(spark.read.parquet(path), "customization_id", "audience_id", "campaign_id")
+    read = lambda: rows(read_versioned(spark, path), "customization_id", "audience_id", "campaign_id")
     assert read() == [("k1", "n1", "c9"), ("k2", "b1", "c2")]
     write_registry(spark, path, "k1", "c10", [])              # nothing new: the key's old rows go all the same
     assert read() == [("k2", "b1", "c2")]

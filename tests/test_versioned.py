@@ -1,0 +1,148 @@
+"""Versioned tables: old or new at any moment, declared partitions, refused writers."""
+
+import datetime as dt
+import os
+import threading
+
+import pytest
+from pyspark.sql import functions as F
+
+from tests.conftest import rows
+from tidemark.sinks import versioned as v
+
+
+def ids(spark, path, **kw):
+    return sorted(r[0] for r in v.read_versioned(spark, path, **kw).collect())
+
+
+def test_rewrite_from_itself(spark, scratch):
+    path = os.path.join(scratch, "t")
+    assert v.current_version(spark, path) == 0
+    assert v.replace(spark.range(5), path) == 1
+    for n in (2, 3):
+        assert v.rewrite(spark, path, lambda t: t.unionByName(t.select((F.col("id") + 5 * 2 ** (n - 2)).alias("id")))) == n
+    assert ids(spark, path) == list(range(20)) and ids(spark, path, version=1) == list(range(5))
+    assert v.rewrite(spark, path, lambda t: t.limit(0)) == 4
+    assert ids(spark, path) == [] and v.read_versioned(spark, path).columns == ["id"]
+    assert v.vacuum(spark, path) == 0                                       # nothing old enough
+    assert v.vacuum(spark, path, keep=2, older_than=0) == 3                   # versions 1 and 2, and the folder of no rows
+    assert ids(spark, path) == [] and ids(spark, path, version=3) == list(range(20))
+    assert v.replace(spark.range(3).selectExpr("id", "cast(id as string) as name"), path) == 5   # a full rewrite may change the columns
+    assert v.read_versioned(spark, path).columns == ["id", "name"]
+
+
+STEPS = ["_stage", "_commit", "_create", "_manifest"]
+
+
+@pytest.mark.parametrize("step", STEPS)
+@pytest.mark.parametrize("after", [False, True])
+def test_a_failure_at_any_step_leaves_old_or_new(spark, scratch, monkeypatch, step, after):
+    path = os.path.join(scratch, "t")
+    v.replace(spark.range(5), path)
+    real, base = getattr(v, step), v.current_version(spark, path)
+    calls = []
+
+    def fail(*args, **kw):
+        calls.append(args)
+        if step == "_manifest" and len(calls) < 3:                          # the read back of the own version
+            return real(*args, **kw)
+        if after:
+            real(*args, **kw)
+        raise OSError("lost")
+
+    monkeypatch.setattr(v, step, fail)
+    with pytest.raises(OSError):
+        v.replace(spark.range(100, 107), path, base=base)
+    monkeypatch.undo()
+    committed = step == "_manifest" or after and step in ("_commit", "_create")
+    assert ids(spark, path) == (list(range(100, 107)) if committed else list(range(5)))
+    v.replace(spark.range(2), path)                                         # and the next write goes through
+    assert ids(spark, path) == [0, 1]
+
+
+def test_a_failing_job_leaves_the_old_table(spark, scratch):
+    path = os.path.join(scratch, "t")
+    v.replace(spark.range(5), path)
+    with pytest.raises(Exception):
+        v.rewrite(spark, path, lambda t: t.select(F.when(F.col("id") < 4, F.col("id")).otherwise(F.raise_error(F.lit("stop"))).alias("id")))
+    assert ids(spark, path) == list(range(5)) and v.current_version(spark, path) == 1
+
+
+def test_a_writer_with_an_old_version_is_refused(spark, scratch):
+    path = os.path.join(scratch, "t")
+    v.replace(spark.range(5), path)
+    late = v.read_versioned(spark, path)
+    v.replace(spark.range(7), path, base=1)
+    with pytest.raises(v.ConcurrentWrite):
+        v.replace(late, path, base=1)
+    assert ids(spark, path) == list(range(7)) and len(os.listdir(os.path.join(path, "data"))) == 2
+    with pytest.raises(v.ConcurrentWrite):                                  # two writers of a new table
+        v.replace(late, path, base=0)
+
+
+def test_an_unfinished_commit_is_passed_over_then_taken_over(spark, scratch, monkeypatch):
+    path = os.path.join(scratch, "t")
+    v.replace(spark.range(5), path)
+    assert v._create(spark, v._version_file(path, 2), '{"version": 2, "par')
+    assert v.current_version(spark, path) == 1 and ids(spark, path) == list(range(5))
+    monkeypatch.setattr(v, "COMMIT_TRIES", 3)
+    with pytest.raises(v.ConcurrentWrite):
+        v.replace(spark.range(7), path)
+    monkeypatch.setattr(v, "STALE_SECONDS", 0)
+    assert v.replace(spark.range(7), path) == 2 and ids(spark, path) == list(range(7))
+
+
+HISTORY = "id long, region string, day date"
+D1, D2 = dt.date(2024, 1, 3), dt.date(2024, 1, 10)
+
+
+def run(spark, *data):
+    return spark.createDataFrame(list(data), HISTORY)
+
+
+def test_declared_partitions(spark, scratch):
+    path, by = os.path.join(scratch, "h"), ["region", "day"]
+    v.replace(run(spark, (1, "hk", D1), (2, "cn", D1), (3, None, D1)), path, by, [("hk", D1), ("cn", D1), (None, D1)])
+    v.replace(run(spark, (4, "hk", D2), (5, "cn", D2)), path, by, [("hk", D2), ("cn", D2)])
+    v.replace(run(spark, (6, "hk", D2)), path, by, [("hk", D2), ("cn", D2)])      # cn has nobody left
+    assert ids(spark, path) == [1, 2, 3, 6]
+    assert ids(spark, path, where={"region": "hk", "day": D2}) == [6] and ids(spark, path, where={"region": None}) == [3]
+    with pytest.raises(ValueError):
+        v.replace(run(spark, (9, "hk", D1)), path, by, [("hk", D2)])             # rows outside
+    with pytest.raises(ValueError):
+        v.replace(run(spark, (9, "hk", D1)), path, ["region"], [("hk",)])        # another partitioning
+    with pytest.raises(ValueError):
+        v.replace(run(spark, (9, "hk", D1)).withColumn("x", F.lit(1)), path, by, [("hk", D1)])
+    v.replace(run(spark).limit(0), path, by, [(None, D1), ("zz", D1)])
+    assert ids(spark, path) == [1, 2, 6]
+    scanned = v.read_versioned(spark, path, where={"region": "cn"}).inputFiles()
+    assert scanned and all(os.path.dirname(f) == os.path.dirname(scanned[0]) for f in scanned)   # one folder is read
+
+
+def test_writers_of_different_partitions_both_succeed(spark, scratch):
+    path, by = os.path.join(scratch, "h"), ["region"]
+    v.replace(run(spark, (0, "aa", D1)), path, by, [("aa",)])
+    errors = []
+
+    def write(region, n):
+        try:
+            v.replace(run(spark, (n, region, D1)), path, by, [(region,)], base=1)
+        except Exception as e:  # noqa: BLE001
+            errors.append(e)
+
+    threads = [threading.Thread(target=write, args=(r, n)) for n, r in enumerate(("hk", "cn"), 1)]
+    [t.start() for t in threads]
+    [t.join() for t in threads]
+    assert not errors and ids(spark, path) == [0, 1, 2]
+    with pytest.raises(v.ConcurrentWrite):                                  # hk changed since version 1
+        v.replace(run(spark, (9, "hk", D1)), path, by, [("hk",)], base=1)
+
+
+def test_plain_folders_are_not_overwritten(spark, scratch):
+    path = os.path.join(scratch, "t")
+    spark.range(5).write.parquet(path)
+    with pytest.raises(ValueError):
+        v.replace(spark.range(1), path)
+    assert rows(spark.read.parquet(path), "id") == [(i,) for i in range(5)]
+    with pytest.raises(FileNotFoundError):
+        v.read_versioned(spark, path)

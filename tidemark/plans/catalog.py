@@ -26,6 +26,7 @@ from tidemark.operators import recommend as recm
 from tidemark.operators import registry as reg
 from tidemark.sources import relations as rel
 from tidemark.session import ensure_checkpoint_dir
+from tidemark.sinks import versioned
 from tidemark.sources.relations import Tables
 
 # Fixed run parameters of the registered queries.
@@ -116,12 +117,17 @@ def _stored(t: Tables, name: str, build: Callable[[], DataFrame]) -> DataFrame:
     """A frame that production reads from a stored table: written once per query, in the shared folder."""
     cache = t.__dict__.setdefault("_built", {})
     if name not in cache:
-        path = f"{ensure_checkpoint_dir(t.spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+        path = _new_table(t, name)
         build().write.parquet(path)
         cache[name] = path
     return t.spark.read.parquet(cache[name])
 
 
+def _new_table(t: Tables, name: str) -> str:
+    """Path of a table that a query writes and reads back, in the shared folder."""
+    return f"{ensure_checkpoint_dir(t.spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
 def _audience0(t: Tables) -> DataFrame:
     return aud.active_reachable_audience(rel.member_snapshot(t), rel.member_reachable(t))
 
@@ -255,10 +261,53 @@ def q_append_blast_history(spark, sf_dir):
     """Both regions' lists appended to a new history twice (a re-run must not duplicate), then read back."""
     t = Tables(spark, sf_dir)
     rows = bl.history_rows({r: _region_list(t, r) for r in REGIONS})
-    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/blast-history-{uuid.uuid4().hex}"
+    path = _new_table(t, "blast-history")
     for _ in range(2):
-        sinks.append_blast_history(rows, path)
-    return spark.read.parquet(path)
+        sinks.append_blast_history(rows, path, [(r, BLAST_DATE) for r in REGIONS])
+    return sinks.read_versioned(spark, path)
+
+
+@register("history_rerun")
+def q_history_rerun(spark, sf_dir):
+    """Two blasts of both regions in the history, then the second re-run with nobody left in cn."""
+    t = Tables(spark, sf_dir)
+    lists = {r: _region_list(t, r) for r in REGIONS}
+    path = _new_table(t, "blast-history")
+    earlier = bl.history_rows(lists).withColumn("blast_date", F.lit(PREVIOUS_BLAST_DATE))
+    sinks.append_blast_history(earlier, path, [(r, PREVIOUS_BLAST_DATE) for r in REGIONS])
+    sinks.append_blast_history(bl.history_rows(lists), path, [(r, BLAST_DATE) for r in REGIONS])
+    rerun = bl.history_rows({"hk": lists["hk"], "cn": lists["cn"].limit(0)})
+    sinks.append_blast_history(rerun, path, [(r, BLAST_DATE) for r in REGIONS])
+    return sinks.read_versioned(spark, path)
+
+
+@register("registry_by_key")
+def q_registry_by_key(spark, sf_dir):
+    """Both regions registered, hk registered again for the next blast, a test key registered and emptied, all by key."""
+    t = Tables(spark, sf_dir)
+    path = _new_table(t, "registry")
+    for region, day in (("hk", PREVIOUS_BLAST_DATE), ("cn", PREVIOUS_BLAST_DATE), ("hk", BLAST_DATE)):
+        ids = reg.audience_versions(_stored_audience(t, region), day, region).select("audience_id")
+        sinks.write_registry(spark, path, reg.customization_id(region), reg.campaign_id(day, region), ids)
+        if region == "cn":
+            sinks.write_registry(spark, path, "test", "test", ids)
+    sinks.write_registry(spark, path, "test", "test", [])
+    return sinks.read_versioned(spark, path)
+
+
+@register("recommendations_rewritten")
+def q_recommendations_rewritten(spark, sf_dir):
+    """The recommender's table backfilled in place, twice (the second time nothing is missing any more)."""
+    t = Tables(spark, sf_dir)
+
+    def in_place(region: str) -> DataFrame:
+        path, grouped = _new_table(t, f"output-{region}"), _stored_audience(t, region)
+        versioned.replace(_output(t, region), path)
+        for _ in range(2):
+            versioned.rewrite(spark, path, lambda output: recm.fill_missing_recommendations(output, grouped))
+        return sinks.read_versioned(spark, path)
+
+    return _regions(in_place)
 
 
 @register("customization_replace")

@@ -122,7 +122,7 @@ def run_blast(spark: SparkSession, registry: DataFrame, load_version: Callable[[
     :func:`prepare_campaign`.  ``store_version(campaign_id, group, filled)``
     persists a backfilled output and returns it re-read (default: Parquet
     under ``out_dir/recommendations``; to replace the recommender's own table
-    in place use :func:`tidemark.sinks.overwrite_from_self`).  The region
+    in place use :func:`tidemark.sinks.versioned.rewrite`).  The region
     list, used by five outputs, is checkpointed once.  The report names, per
     region, the campaign, its date and how many missing members found no donor
     (``unfilled`` per group); ``max_rejects`` stops a run with more rows that
@@ -160,7 +160,7 @@ def run_blast(spark: SparkSession, registry: DataFrame, load_version: Callable[[
         sinks.write_parquet(funnel.blast_funnel(grouped, recs, pers), f"{out_dir}/blast/funnel_{region}")
         lists[region] = lst
         report[region] = {"campaign_id": camp, "blast_date": blast_date, "unfilled": unfilled}
-    sinks.append_blast_history(bl.history_rows(lists), history_path, test=test)
+    sinks.append_blast_history(bl.history_rows(lists), history_path, [(r, report[r]["blast_date"]) for r in regions], test=test)
     return report
 
 

@@ -3,7 +3,8 @@
 from tidemark.sinks.writers import (append_blast_history, feed_name, overwrite_from_self, overwrite_table, path_exists,
                                     read_csv, replace_partitions, write_audience_lists, write_blast_exports, write_csv,
                                     write_feed, write_parquet, write_registry)
+from tidemark.sinks.versioned import read_versioned
 
 __all__ = ["write_parquet", "replace_partitions", "append_blast_history", "write_csv", "read_csv", "overwrite_from_self",
            "overwrite_table", "path_exists", "write_registry", "write_audience_lists", "write_feed", "write_blast_exports",
-           "feed_name"]
+           "feed_name", "read_versioned"]

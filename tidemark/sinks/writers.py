@@ -2,12 +2,12 @@
 
 * Overwrites replace the whole path (K1, K3, K6), whatever the session's
   partition overwrite mode is.
-* The blast history (K2) replaces only the partitions present in the new rows
-  (``partitionOverwriteMode=dynamic`` for that write), so a re-run rewrites its
-  own partitions instead of duplicating rows (D13).
-* A table rewritten from its own contents (K5, K7) is written to a sibling
-  staging path first and swapped in by renames, so a failure at any point
-  leaves the old or the new table readable.
+* The blast history (K2, P21) and the registry (K7) are versioned tables
+  (``sinks.versioned``): a run replaces exactly the (region, date) pairs or the
+  key it declares, with or without rows for them, in one commit (D13).
+* A table rewritten from its own contents (K5) is ``versioned.rewrite``; for a
+  plain Parquet folder ``overwrite_from_self`` writes a sibling staging path
+  first and swaps it in by two renames.
 * CSV feeds are folders of part files with a header (K4): no single-task
   funnel.  Text comes back unchanged from a standard CSV reader: quotes are
   doubled, blanks are kept, NULL is an empty field and '' is quoted.
@@ -16,10 +16,12 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
-from tidemark.operators.registry import REGISTRY_SCHEMA, customization_replace
+from tidemark.operators.registry import REGISTRY_SCHEMA, registry_rows
+from tidemark.sinks import versioned
 
 
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite", partition_by=None) -> None:
@@ -36,15 +38,16 @@ def replace_partitions(df: DataFrame, path: str, partition_by) -> None:
      .partitionBy(*partition_by).parquet(path))
 
 
-def append_blast_history(rows: DataFrame, path: str, test: bool = False) -> bool:
-    """Add the run's blast rows to the history unless in test mode.
+def append_blast_history(rows: DataFrame, path: str, run: Sequence[tuple], test: bool = False) -> bool:
+    """Make ``rows`` the history of the run's (region, blast_date) pairs unless in test mode.
 
-    ``rows`` carries ``region`` and ``blast_date``; running the same blast
-    twice leaves one copy.  Returns whether anything was written.
+    ``run`` lists the pairs of this run.  Running the same blast twice leaves one
+    copy, a pair without rows has none afterwards, and rows of any other pair are
+    an error.  Read the table with ``read_versioned``.  Returns whether anything was written.
     """
     if test:
         return False
-    replace_partitions(rows, path, ["region", "blast_date"])
+    versioned.replace(rows, path, ["region", "blast_date"], run)
     return True
 
 
@@ -70,8 +73,9 @@ def overwrite_from_self(df: DataFrame, path: str) -> None:
 
     The result is written completely beside the old files and its row count
     is checked against the rows that went in; only then the two are swapped,
-    and the old files go last.  If the swap fails half-way the old folder is
-    put back.
+    and the old files go last.  If the second rename fails the old folder is put
+    back; a driver lost between the two renames leaves both folders beside the
+    path and none at it.  ``versioned.rewrite`` has no such moment.
     """
     spark, path = df.sparkSession, path.rstrip("/")
     tag = uuid.uuid4().hex
@@ -117,10 +121,15 @@ def overwrite_table(df: DataFrame, name: str) -> None:
 
 def write_registry(spark: SparkSession, path: str, customization: str, campaign: str, audience_ids) -> None:
     """P27 sink (K7): all rows of ``customization`` are replaced by one row per
-    audience id; with no ids the key's rows are gone afterwards."""
-    registry = spark.read.parquet(path) if path_exists(spark, path) else spark.createDataFrame([], REGISTRY_SCHEMA)
-    registry = registry.select("customization_id", "audience_id", "campaign_id")
-    overwrite_from_self(customization_replace(registry, customization, campaign, audience_ids), path)
+    audience id; with no ids the key's rows are gone afterwards.
+
+    Only that key is written; runs of different keys do not get in each other's
+    way.  Read the registry with ``read_versioned``.
+    """
+    rows = registry_rows(customization, campaign, audience_ids)
+    if not isinstance(rows, DataFrame):
+        rows = spark.createDataFrame(rows, REGISTRY_SCHEMA)
+    versioned.replace(rows.select("customization_id", "audience_id", "campaign_id"), path, ["customization_id"], [(customization,)])
 
 
 def write_audience_lists(ids_by_group: DataFrame, path: str) -> None:
