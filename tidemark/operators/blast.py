@@ -88,6 +88,12 @@ def slot_quality_rejects(df: DataFrame) -> DataFrame:
     return df.where(_valid_codes() != len(SLOTS)).select("vip_no", "atg_code", _valid_codes().alias("valid_codes"))
 
 
+def quality_marked(df: DataFrame) -> DataFrame:
+    """P15 in one pass: every row with its count of valid distinct codes and whether that passes."""
+    n = _valid_codes()
+    return df.select("*", n.alias("valid_codes"), F.coalesce(n == len(SLOTS), F.lit(False)).alias("accepted"))
+
+
 def check_rejects(rejects: DataFrame, max_rejects: int | None) -> None:
     """Optional hard stop when more than ``max_rejects`` rows fail the slot check."""
     if max_rejects is None:
@@ -120,5 +126,5 @@ def history_rows(region_lists: dict) -> DataFrame:
     return out
 
 
-__all__ = ["blast_base", "blast_with_seeds", "utm_tags", "slot_quality_ok", "slot_quality_rejects", "check_rejects",
+__all__ = ["blast_base", "blast_with_seeds", "utm_tags", "slot_quality_ok", "slot_quality_rejects", "quality_marked", "check_rejects",
            "top_brands", "region_list", "history_rows", "utm_campaign"]

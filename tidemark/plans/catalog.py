@@ -28,6 +28,7 @@ from tidemark.sources import relations as rel
 from tidemark.session import ensure_checkpoint_dir
 from tidemark.sinks import versioned
 from tidemark.sources.relations import Tables
+from tidemark.sources.tables import campaign_output_name, campaign_outputs
 
 # Fixed run parameters of the registered queries.
 ITEMS_AS_OF = rel.ITEMS_AS_OF            # catalogue date the item fixtures are aged against
@@ -295,6 +296,48 @@ def q_registry_by_key(spark, sf_dir):
     return sinks.read_versioned(spark, path)
 
 
+@register("product_recommendation_upload")
+def q_product_recommendation_upload(spark, sf_dir):
+    """The recommendation feed of each region written as an upload file and read back from its parts."""
+    t = Tables(spark, sf_dir)
+
+    def exported(region: str) -> DataFrame:
+        feed, path = feeds.product_recommendation(_region_list(t, region), RUN_DATE), _new_table(t, f"upload-{region}")
+        sinks.write_upload(feed, path, ["customer_id", "display_id"])
+        return sinks.read_upload(spark, path, feed.schema)
+
+    return _regions(exported)
+
+
+@register("slot_quality_split")
+def q_slot_quality_split(spark, sf_dir):
+    """Accepted and rejected rows of each region's list, split in one pass and read back."""
+    t = Tables(spark, sf_dir)
+
+    def split(region: str) -> DataFrame:
+        path = _new_table(t, f"checked-{region}")
+        sinks.write_quality_split(bl.quality_marked(_tagged(t, region)), path)
+        sides = [sinks.read_versioned(spark, path, where={"accepted": side}) for side in (True, False)]
+        return sides[0].unionByName(sides[1]).select("vip_no", "atg_code", "valid_codes", "accepted")
+
+    return _regions(split)
+
+
+@register("campaign_outputs_by_name")
+def q_campaign_outputs_by_name(spark, sf_dir):
+    """Version tables with differing columns saved in a catalog schema, found by name and read as one."""
+    t = Tables(spark, sf_dir)
+    schema = f"outputs_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE SCHEMA {schema} LOCATION '{_new_table(t, schema)}'")
+    for region in REGIONS:
+        grouped, recs = _stored_audience(t, region), _recommendations(t)
+        for group, change in (("Female", lambda df: df.withColumn("model", F.lit("f1"))), ("Male", lambda df: df.drop("brand_desc_8"))):
+            name = campaign_output_name(reg.campaign_id(BLAST_DATE, region), group.lower(), schema)
+            change(rel.version_output(recs, grouped, group)).write.saveAsTable(name)
+    spark.range(1).write.saveAsTable(f"{schema}.campaign_notes")
+    return campaign_outputs(spark, schema)
+
+
 @register("recommendations_rewritten")
 def q_recommendations_rewritten(spark, sf_dir):
     """The recommender's table backfilled in place, twice (the second time nothing is missing any more)."""

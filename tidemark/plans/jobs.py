@@ -123,14 +123,14 @@ def run_blast(spark: SparkSession, registry: DataFrame, load_version: Callable[[
     persists a backfilled output and returns it re-read (default: Parquet
     under ``out_dir/recommendations``; to replace the recommender's own table
     in place use :func:`tidemark.sinks.versioned.rewrite`).  The region
-    list, used by five outputs, is checkpointed once.  The report names, per
+    list, used by five outputs, is stored once, accepted and rejected rows apart.  The report names, per
     region, the campaign, its date and how many missing members found no donor
     (``unfilled`` per group); ``max_rejects`` stops a run with more rows that
     fail the slot check.
     """
     ensure_checkpoint_dir(spark)
     out_dir = out_dir.rstrip("/")
-    lists, report = {}, {}
+    lists, report, rejected = {}, {}, {}
     for region in regions:
         camp, _ = lookup_campaign(spark, registry, region)
         blast_date = _dt.datetime.strptime(camp.split("_")[-2], "%Y%m%d").date()
@@ -149,8 +149,11 @@ def run_blast(spark: SparkSession, registry: DataFrame, load_version: Callable[[
                 versions.append(store_version(camp, group, filled))
         recs = recm.recommendations_union(*versions)
         base = bl.blast_base(recs, grouped, blast_date)
-        bl.check_rejects(bl.slot_quality_rejects(base), max_rejects)
-        lst = bl.region_list(base, blast_date, seed_ids, salt).checkpoint(eager=True)
+        # one pass over the list writes both sides of the slot check; the accepted side is read by five outputs
+        checked = f"{out_dir}/blast/checked_{region}"
+        marked = bl.quality_marked(bl.utm_tags(bl.blast_with_seeds(base, seed_ids, salt), blast_date))
+        rejected[region] = sinks.write_quality_split(marked, checked, max_rejects)["rejected"]
+        lst = bl.top_brands(sinks.read_versioned(spark, checked, where={"accepted": True}).drop("valid_codes", "accepted"))
         pers = feeds.campaign_personalization(lst, run_date)
         sinks.write_blast_exports({
             "campaign_personalization": pers,
@@ -159,7 +162,7 @@ def run_blast(spark: SparkSession, registry: DataFrame, load_version: Callable[[
         }, f"{out_dir}/blast", _ymd(blast_date), region)
         sinks.write_parquet(funnel.blast_funnel(grouped, recs, pers), f"{out_dir}/blast/funnel_{region}")
         lists[region] = lst
-        report[region] = {"campaign_id": camp, "blast_date": blast_date, "unfilled": unfilled}
+        report[region] = {"campaign_id": camp, "blast_date": blast_date, "unfilled": unfilled, "rejected": rejected[region]}
     sinks.append_blast_history(bl.history_rows(lists), history_path, [(r, report[r]["blast_date"]) for r in regions], test=test)
     return report
 

@@ -205,10 +205,13 @@ def _refuse_conflicts(base: dict | None, current: dict | None, partition_by: lis
         raise ConcurrentWrite("the partitions to replace were changed by another writer")
 
 
-def replace(df: DataFrame, path: str, partition_by: Sequence[str] = (), declared: Sequence[tuple] = ((),), base: int | None = None) -> int:
+def replace(df: DataFrame, path: str, partition_by: Sequence[str] = (), declared: Sequence[tuple] = ((),), base: int | None = None,
+            check: Callable[[dict[tuple, int]], None] | None = None) -> int:
     """Replace the ``declared`` partitions (default: the whole table) by the rows of ``df``; returns the new version.
 
-    ``base`` is the version that ``df`` was made from (default: the newest one now; 0: no table yet).
+    ``base`` is the version that ``df`` was made from (default: the newest one
+    now; 0: no table yet).  ``check`` sees the rows per declared partition before
+    the commit; if it raises a ValueError nothing is committed.
     """
     spark, path, partition_by = df.sparkSession, path.rstrip("/"), list(partition_by)
     numbers = _numbers(spark, path)
@@ -223,6 +226,8 @@ def replace(df: DataFrame, path: str, partition_by: Sequence[str] = (), declared
     write = f"data/{uuid.uuid4().hex}"
     try:
         counts = _stage(df, f"{path}/{write}", partition_by, declared)
+        if check:
+            check({d: counts.get(i, 0) for i, d in enumerate(declared)})
         parts = [{"values": values[i], "data": f"{write}/{PART}={i}", "rows": n} for i, n in sorted(counts.items())]
         return _commit(spark, path, before, df.schema, partition_by, values, parts)
     except (ConcurrentWrite, ValueError):

@@ -8,8 +8,8 @@
 * A table rewritten from its own contents (K5) is ``versioned.rewrite``; for a
   plain Parquet folder ``overwrite_from_self`` writes a sibling staging path
   first and swaps it in by two renames.
-* CSV feeds are folders of part files with a header (K4): no single-task
-  funnel.  Text comes back unchanged from a standard CSV reader: quotes are
+* The export feeds are upload files written by many tasks (K4, ``sinks.upload``);
+  other CSV output is a folder of part files with a header.  Text comes back unchanged from a standard CSV reader: quotes are
   doubled, blanks are kept, NULL is an empty field and '' is quoted.
 """
 
@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from tidemark.operators.registry import REGISTRY_SCHEMA, registry_rows
 from tidemark.sinks import versioned
+from tidemark.sinks.upload import write_upload
 
 
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite", partition_by=None) -> None:
@@ -51,6 +52,24 @@ def append_blast_history(rows: DataFrame, path: str, run: Sequence[tuple], test:
     return True
 
 
+def write_quality_split(marked: DataFrame, path: str, max_rejects: int | None = None) -> dict:
+    """Accepted and rejected rows of a ``quality_marked`` list to partitions of their own in one pass over it.
+
+    Returns the counts.  With more than ``max_rejects`` rejects nothing is
+    committed and a ValueError is raised.  Read either side with
+    ``read_versioned(path, where={"accepted": ...})``.
+    """
+    found: dict = {}
+
+    def check(counts: dict) -> None:
+        found.update(accepted=counts[True,], rejected=counts[False,])
+        if max_rejects is not None and found["rejected"] > max_rejects:
+            raise ValueError(f"{found['rejected']} rows with missing or duplicate item codes, more than {max_rejects}")
+
+    versioned.replace(marked, path, ["accepted"], [(True,), (False,)], check=check)
+    return found
+
+
 def _files(spark: SparkSession, path: str):
     """(file system, Hadoop path) of ``path``."""
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -164,14 +183,14 @@ def write_feed(df: DataFrame, path: str, sort_cols=None) -> None:
 def feed_name(kind: str, blast_date: str, region: str) -> str:
     """Folder name of an export feed: ``<kind>_fprp_notification_<yyyyMMdd>_<region>.upsert.csv``.
 
-    The name is that of the upload file; it is a folder whose part files, in
-    name order, make up the file (each with its own header line).
+    The name is that of the upload file; it is a folder whose files, in the
+    order of its manifest, make up the file.
     """
     return f"{kind}_fprp_notification_{blast_date}_{region}.upsert.csv"
 
 
 def write_blast_exports(feeds: dict, base_dir: str, blast_date: str, region: str) -> dict:
-    """K4: the three export feeds of one region as CSV folders named like the upload files.
+    """K4: the three export feeds of one region as upload files (``sinks.upload``).
 
     ``feeds`` maps kind (campaign_personalization, products,
     product_recommendation) to its DataFrame; product_recommendation is
@@ -180,6 +199,6 @@ def write_blast_exports(feeds: dict, base_dir: str, blast_date: str, region: str
     paths = {}
     for kind, df in feeds.items():
         path = f"{base_dir.rstrip('/')}/{feed_name(kind, blast_date, region)}"
-        write_feed(df, path, ["customer_id", "display_id"] if kind == "product_recommendation" else None)
+        write_upload(df, path, ["customer_id", "display_id"] if kind == "product_recommendation" else ())
         paths[kind] = path
     return paths
