@@ -1,27 +1,32 @@
 """Benchmark decontamination by latent semantic retrieval.
 
 1. Texts become sequences of term numbers: words of letters and digits,
-   lower-cased, that occur in the benchmark; other words are 0.
+   lower-cased, that occur in the benchmark; other words are 0.  In scripts
+   written without spaces every character is a term.
 2. Idf weights come from the document counts of all documents; every term weighs.
 3. Blocks of ``block`` words of all documents, and the benchmark's passages with
    weight ``bench_weight``, are the rows of a TF-IDF matrix A.  A randomised
    one-pass SVD (Nystroem: Y = A'A R for a random R, summed over tasks) gives its
    leading right singular vectors, the latent space.
-4. Every pair of neighbouring blocks with its surroundings (the item's length on
-   both sides) is a region.  Regions that hold too few of an item's words to reach
-   ``min_lcs`` are left out; that count is a bound, so nothing is lost by it.
-5. All other regions are checked by the longest common subsequence of words with
+4. Every pair of neighbouring blocks is searched for near the items' passages: a
+   cosine of ``min_cosine`` in the latent space proposes it.  Regions (the pair
+   with the item's length on both sides) that hold too few of an item's words to
+   reach ``min_lcs`` need no cosine; that count is a bound, so nothing is lost by it.
+5. Proposed regions are checked by the longest common subsequence of words with
    the item: at least ``min_lcs`` of the item, and ``min_answer`` of its answer
    (the last sentence, or the last half of a single sentence), wherever the words
    were changed or put in.
-6. What is found is reported with the best cosine in the latent space of its
-   passages with the item's.  The cosine does not decide: a paraphrase that
-   changes the rare words is far from its item there.
+6. A paraphrase that changes the rare words can lie far from its item in the
+   latent space.  Where no proposed region of a document and item passes, the
+   regions that the bound of step 4 left are checked too; ``proposed`` tells
+   which way a row was found.
+7. Items of fewer than ``MIN_WORDS`` terms are found where all their terms stand
+   side by side.
 
-The benchmark is small and broadcast; its size is checked (``max_items``).
+The benchmark is broadcast in batches of about ``max_items`` items.
 
-Defined results: null and empty texts are clean; items that are null, or have
-fewer than ``min_words`` words, are not looked for; repeated rows each keep
+Defined results: null and empty texts are clean; items that are null or without
+a term are not looked for; repeated rows each keep
 theirs; documents with equal ids are reported once per row; an empty table on
 either side gives no rows; all four languages and any script are words alike.
 """
@@ -30,10 +35,12 @@ from __future__ import annotations
 
 import math
 import re
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import DataType
 
 from tidemark.llm.common import SLICE_ROWS, array_slices, columns, pin, pins, task_count, tree_sum
 from tidemark.llm.texts import prefix_hash, span_hash, string_chunks
@@ -43,6 +50,8 @@ RANK, SKETCH = 96, 128
 BENCH_WEIGHT = 30.0
 MIN_LCS, MIN_ANSWER = 0.7, 0.6
 MIN_WORDS = 8
+#: Regions at least so near to a passage are checked first.
+MIN_COSINE = 0.35
 #: Matches asked of an item's rarest words by the bound on shared terms.
 RARE_MATCHES = 4
 #: Term pairs are counted in one array of at most so many entries.
@@ -57,9 +66,17 @@ def term_hashes(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarr
     if not len(data):
         return np.zeros(0, np.uint64), np.zeros(len(off), np.int64)
     w = _TERM[data]
+    marks = np.flatnonzero((data[:-1] == 0xE3) & (data[1:] == 0x80))         # ideographic blanks and punctuation
+    w[(marks[:, None] + np.arange(3)).ravel()] = False
+    first, last = _single_characters(data)
     start, stop = w.copy(), w.copy()
     start[1:] &= ~w[:-1]
     stop[:-1] &= ~w[1:]
+    for at, edge, other in ((first, start, -1), (last, stop, 1)):
+        edge[at] = True
+        beside = at + other
+        beside = beside[(beside >= 0) & (beside < len(data))]
+        (stop if other < 0 else start)[beside] |= w[beside]
     cut = off[1:-1]
     cut = cut[(cut > 0) & (cut < len(data))]
     start[cut] |= w[cut]
@@ -68,16 +85,35 @@ def term_hashes(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return span_hash(prefix_hash(data, lower=True), s, np.flatnonzero(stop) + 1), np.searchsorted(s, off)
 
 
+def _single_characters(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First and last byte positions of the characters of scripts written without spaces
+    (UTF-8: Thai and Lao, Myanmar and Khmer, kana and ideographs)."""
+    lead = np.flatnonzero((data[:-1] >= 0xE0) & (data[:-1] <= 0xF0))
+    a, b = data[lead], data[lead + 1]
+    wide = (a == 0xF0) & (b >= 0xA0) & (b <= 0xAF)
+    single = (wide | (a == 0xE0) & (b >= 0xB8) & (b <= 0xBB) | (a == 0xE1) & ((b >= 0x80) & (b <= 0x82) | (b == 0x9E) | (b == 0x9F))
+              | (a == 0xE3) & (b >= 0x81) | (a >= 0xE4) & (a <= 0xE9))
+    first = lead[single]
+    return first, first + 2 + wide[single]
+
+
 class Benchmark:
     """Items as term numbers, their answers' first terms and their passages."""
 
     def __init__(self, rows: list[tuple], block: int = BLOCK, min_words: int = MIN_WORDS):
-        self.ids, texts, answers = [], [], []
+        self.ids, texts, answers, short = [], [], [], []
         for item, text in rows:
             (hashes, _), = [self._hashes(text or "")]
             if len(hashes) >= min_words:
                 self.ids.append(item), texts.append(hashes), answers.append(self._answer(text, len(hashes)))
-        self.terms = np.unique(np.concatenate(texts)) if texts else np.zeros(0, np.uint64)
+            elif len(hashes):
+                short.append((item, hashes))
+        every = texts + [h for _, h in short]
+        self.terms = np.unique(np.concatenate(every)) if every else np.zeros(0, np.uint64)
+        # short items by their term numbers: length -> sequence -> item ids
+        self.short: dict[int, dict[bytes, list]] = {}
+        for item, hashes in short:
+            self.short.setdefault(len(hashes), {}).setdefault(self.numbers(hashes).tobytes(), []).append(item)
         self.items = [np.searchsorted(self.terms, t) + 1 for t in texts]
         self.answers = answers
         self.passages, self.owner = [], []
@@ -101,6 +137,20 @@ class Benchmark:
         before = len(cls._hashes(text[:ends[-1]])[0]) if ends else 0
         return before if 0 < before <= n - 3 else n // 2
 
+    def short_matches(self, raw: bytes):
+        """(item id, first term, terms) of the short items in a document's term numbers, each where it comes first."""
+        seq = np.frombuffer(raw, np.int32)
+        for n, items in self.short.items():
+            if len(seq) < n:
+                continue
+            heads = np.unique([np.frombuffer(k, np.int32)[0] for k in items])
+            seen = set()
+            for i in np.flatnonzero(np.isin(seq[:len(seq) - n + 1], heads)).tolist():
+                key = seq[i:i + n].tobytes()
+                if key in items and key not in seen:
+                    seen.add(key)
+                    yield from ((item, i, n) for item in items[key])
+
     def numbers(self, hashes: np.ndarray) -> np.ndarray:
         at = np.minimum(np.searchsorted(self.terms, hashes), len(self.terms) - 1)
         return np.where(self.terms[at] == hashes, at + 1, 0).astype(np.int32)
@@ -357,54 +407,78 @@ def latent_space(terms: DataFrame, bench: Benchmark, idf: np.ndarray, rank: int
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id",
                item_text_col: str = "text", max_items: int = MAX_ITEMS,
-               min_lcs: float = MIN_LCS, min_answer: float = MIN_ANSWER, block: int = BLOCK) -> DataFrame:
-    """Rows (doc_id, item_id, first_word, lcs, item_words, cosine): one per document row and item it contains."""
-    items = benchmark.select(F.col(item_col).alias("i"), F.lower(F.col(item_text_col).cast("string")).alias("t")).limit(max_items + 1).collect()
-    if len(items) > max_items:
-        raise ValueError(f"the benchmark has more than {max_items} items")
-    bench = Benchmark(sorted({(r["i"], r["t"]) for r in items if r["t"]}, key=lambda r: (str(r[0]), r[1])), block)
+               min_lcs: float = MIN_LCS, min_answer: float = MIN_ANSWER, min_cosine: float = MIN_COSINE, block: int = BLOCK) -> DataFrame:
+    """Rows (doc_id, item_id, first_word, lcs, item_words, cosine, proposed): one per document row and item it contains."""
+    items = benchmark.select(F.col(item_col).alias("i"), F.lower(F.col(item_text_col).cast("string")).alias("t")).filter("t <> ''").distinct()
+    batches = max(1, -(-items.count() // max_items))
+    found = []
+    for part in range(batches):
+        mine = items if batches == 1 else items.filter(F.pmod(F.xxhash64("i", "t"), F.lit(batches)) == part)
+        rows = sorted(((r["i"], r["t"]) for r in mine.collect()), key=lambda r: (str(r[0]), r[1]))     # about max_items
+        found.append(_find_batch(docs, rows, benchmark.schema[item_col].dataType, id_col, text_col, min_lcs, min_answer, min_cosine, block))
+    return reduce(DataFrame.unionByName, found)
+
+
+def _find_batch(docs: DataFrame, items: list[tuple], item_kind: DataType, id_col: str, text_col: str, min_lcs: float, min_answer: float,
+                min_cosine: float, block: int) -> DataFrame:
+    """``find_leaks`` for some of the items."""
+    bench = Benchmark(items, block)
     narrow = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    item_kind = benchmark.schema[item_col].dataType
     schema = narrow.select("doc_id").schema.add("item_id", item_kind)
-    for name, kind in (("first_word", "long"), ("lcs", "long"), ("item_words", "long"), ("cosine", "double")):
+    for name, kind in (("first_word", "long"), ("lcs", "long"), ("item_words", "long"), ("cosine", "double"), ("proposed", "boolean")):
         schema = schema.add(name, kind)
-    if not bench.ids:
+    if not len(bench.terms):
         return docs.sparkSession.createDataFrame([], schema)
     terms = pin(term_rows(narrow, "doc_id", "text", bench))
     counts, n_docs = document_counts(terms, len(bench.terms) + 1)
-    basis = latent_space(terms, bench, term_weights(counts, n_docs), block=block)
-    latent = basis[bench.passages].sum(1)
-    norm = np.linalg.norm(latent, axis=1) + 1e-9
-    unit = (latent / norm[:, None]).T.copy()
+    if bench.ids:
+        basis = latent_space(terms, bench, term_weights(counts, n_docs), block=block)
+        latent = basis[bench.passages].sum(1)
+        norm = np.linalg.norm(latent, axis=1) + 1e-9
+        unit = (latent / norm[:, None]).T.copy()
     first_passage = np.searchsorted(bench.owner, np.arange(len(bench.ids) + 1))
     shared = SharedTerms(bench, counts, min_lcs, block)
     masks, full = [_masks(t) for t in bench.items], [len(t) for t in bench.items]
 
-    def _cosine(seq, at, item):
+    def _cosines(seq, at, item):
+        """Cosine of each region's blocks with the nearest of the item's passages."""
         z = np.stack([basis[seq[h * block:(h + 2) * block]].sum(0) for h in at])
         own = unit[:, first_passage[item]:first_passage[item + 1]]
-        return float(((z @ own) / (np.linalg.norm(z, axis=1) + 1e-9)[:, None]).max())
+        return ((z @ own) / (np.linalg.norm(z, axis=1) + 1e-9)[:, None]).max(1)
+
+    def _checked(seq, at, item):
+        """(lcs, first, end) of the best of the regions that passes, or None."""
+        n, best = full[item], None
+        for h in at:
+            a, z = max(0, h * block - n), (h + 2) * block + n
+            bits = lcs(seq[a:z].tolist(), masks[item], n)
+            total, answer = bits.bit_count(), (bits >> bench.answers[item]).bit_count()
+            if total >= min_lcs * n and answer >= min_answer * (n - bench.answers[item]) and (best is None or total > best[0]):
+                best = (total, a, z)
+        return best
 
     def search(batches):
         for b in batches:
             out = []
             for lo, raws in _slices(b.column(1)):
-                for (d, item), at in shared.blocks(raws).items():
-                    seq, n, best = np.frombuffer(raws[d], np.int32), full[item], None
-                    for h in at:
-                        a, z = max(0, h * block - n), (h + 2) * block + n
-                        bits = lcs(seq[a:z].tolist(), masks[item], n)
-                        total, answer = bits.bit_count(), (bits >> bench.answers[item]).bit_count()
-                        if total >= min_lcs * n and answer >= min_answer * (n - bench.answers[item]) and (best is None or total > best[0]):
-                            best = (total, a, z)
+                for (d, item), at in shared.blocks(raws).items() if bench.ids else ():
+                    seq, n, at = np.frombuffer(raws[d], np.int32), full[item], np.asarray(at)
+                    near = _cosines(seq, at, item)
+                    proposed = near >= min_cosine
+                    best = _checked(seq, at[proposed].tolist(), item)
+                    by_cosine = best is not None
+                    best = best or _checked(seq, at[~proposed].tolist(), item)
                     if best:
                         total, a, z = best
                         first = a + _begin(seq[a:z].tolist(), bench.items[item], total)
-                        out.append((lo + d, item, first, total, n, round(_cosine(seq, at, item), 3)))
+                        out.append((lo + d, bench.ids[item], first, total, n, round(float(near.max()), 3), by_cosine))
+                for d, raw in enumerate(raws) if bench.short else ():
+                    out += [(lo + d, item, first, n, n, 1.0, True) for item, first, n in bench.short_matches(raw)]
             yield pa.RecordBatch.from_arrays(
-                [b.column(0).take(pa.array([o[0] for o in out], pa.int64())), pa.array([bench.ids[o[1]] for o in out], item_arrow),
-                 *[pa.array([o[i] for o in out], pa.int64()) for i in (2, 3, 4)], pa.array([o[5] for o in out], pa.float64())],
-                names=["doc_id", "item_id", "first_word", "lcs", "item_words", "cosine"])
+                [b.column(0).take(pa.array([o[0] for o in out], pa.int64())), pa.array([o[1] for o in out], item_arrow),
+                 *[pa.array([o[i] for o in out], pa.int64()) for i in (2, 3, 4)], pa.array([o[5] for o in out], pa.float64()),
+                 pa.array([o[6] for o in out], pa.bool_())],
+                names=["doc_id", "item_id", "first_word", "lcs", "item_words", "cosine", "proposed"])
 
     from pyspark.sql.pandas.types import to_arrow_type
     item_arrow = to_arrow_type(item_kind)
