@@ -180,3 +180,16 @@ def test_index_stops_only_on_proof():
         want = sorted((-int(cells[i] @ cells[j]), j) for j in range(300) if j != i)[:5]
         mine = sorted((-int(s[n]), int(c[n])) for n in np.flatnonzero(q == i))[:5]
         assert mine == want
+
+
+def test_many_grams_share_their_leading_bytes(spark):
+    """Thousands of grams that begin alike are spread by the rest of the gram."""
+    r = random.Random(12)
+    texts = []
+    for i in range(900):
+        t = "".join("x" * 40 + f"{r.randrange(10 ** 24):024d}" for _ in range(10))
+        texts += [t, r.choice("ab") * r.randrange(50) + t] if i % 2 else [t]
+    got = suffix_dedup.remove_repeats(documents(spark, texts)).select(
+        "doc_id", "n_bytes", "n_removed", F.size("spans").alias("n"), F.sha2("kept", 256).alias("k")).orderBy("doc_id").collect()
+    assert [tuple(x)[1:] for x in got] == suffix_dedup.plain_reference(texts)
+    assert sum(x.n_removed > 0 for x in got) == 900

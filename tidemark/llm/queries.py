@@ -78,6 +78,9 @@ def op8(spark, sf_dir):
     return out.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
 
 
+ORACLES["op8_suffix_dedup"] = suffix_dedup.oracle()
+
+
 @register("op7_decontaminate")
 def op7(spark, sf_dir):
     return decontam.find_leaks(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))

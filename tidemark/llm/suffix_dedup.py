@@ -11,9 +11,9 @@ pick form a family, about one per 170 bytes.
 
 1. Families whose gram occurs once are dropped.  Tasks send each gram once per
    block with its local count, so a common gram is no hot key.
-2. The others' suffixes are range-partitioned on their leading bytes (from the
-   gram on) with sampled splitters and sorted inside the partitions.  Suffixes
-   with equal leading bytes are neighbours, and their windows are compared.
+2. The others' suffixes are range-partitioned on their leading gram with sampled
+   splitters and sorted inside the partitions.  Suffixes with equal grams (at most
+   ``hot_members``) are neighbours, and their windows are compared.
 3. Families of grams with more than ``hot_members`` occurrences are not brought
    together: their windows are combined per block and counted by window hash.
 
@@ -43,7 +43,6 @@ GRAM = 64
 HOT_MEMBERS = 100
 BLOCK_FAMILIES = 1 << 18
 BLOCK_WINDOWS = 1 << 20
-LEAD_BYTES = 16
 _POS_BITS = np.uint64(28)
 _POS = np.uint64((1 << 28) - 1)
 
@@ -185,13 +184,13 @@ def _span_batch(key, start, end):
 _SPANS = "key long, p0 long, p1 long"
 
 
-def _ordinary(texts: DataFrame, n: int, length: int) -> DataFrame:
-    """Spans from the ordinary families: sorted suffixes, neighbours with equal leading bytes compared."""
+def _ordinary(texts: DataFrame, n: int, length: int, gram: int) -> DataFrame:
+    """Spans from the ordinary families: sorted suffixes, neighbours with equal grams compared."""
 
     def suffixes(batches):
         seen = set()
         for b in batches:
-            lead, key, first, context = [], [], [], []
+            offsets, key, first, context = [], [], [], []
             for k, fams, size, data in zip(*[c.to_pylist() for c in b.columns]):
                 if k in seen:
                     continue
@@ -199,10 +198,13 @@ def _ordinary(texts: DataFrame, n: int, length: int) -> DataFrame:
                 raw = unpack(size, data)
                 for p, w, offset, hot in np.frombuffer(fams, "<u4").reshape(-1, 4).tolist():
                     if not hot:
-                        lead.append(raw[p + offset:p + offset + LEAD_BYTES]), key.append(k), first.append(p)
+                        offsets.append(offset), key.append(k), first.append(p)
                         context.append(raw[p:p + w + length - 1])
-            yield pa.RecordBatch.from_arrays([pa.array(lead, pa.binary()), pa.array(key, pa.int64()), pa.array(first, pa.int64()),
-                                              pa.array(context, pa.binary())], names=["lead", "key", "first", "context"])
+            yield pa.RecordBatch.from_arrays([pa.array(offsets, pa.int32()), pa.array(key, pa.int64()), pa.array(first, pa.int64()),
+                                              pa.array(context, pa.binary())], names=["offset", "key", "first", "context"])
+
+    def lead(row) -> bytes:
+        return row[3][row[0]:row[0] + gram]
 
     def compare(batches):
         held, size = [], 0
@@ -223,7 +225,7 @@ def _ordinary(texts: DataFrame, n: int, length: int) -> DataFrame:
 
         for b in batches:
             for row in zip(*[c.to_pylist() for c in b.columns]):
-                if held and size >= BLOCK_WINDOWS and row[0] != held[-1][0]:
+                if held and size >= BLOCK_WINDOWS and lead(row) != lead(held[-1]):
                     yield spans(held)
                     held, size = [], 0
                 held.append(row)
@@ -231,8 +233,10 @@ def _ordinary(texts: DataFrame, n: int, length: int) -> DataFrame:
         if held:
             yield spans(held)
 
-    return (texts.mapInArrow(suffixes, "lead binary, key long, first long, context binary")
-            .repartitionByRange(n, "lead").sortWithinPartitions("lead").mapInArrow(compare, _SPANS))
+    # the whole gram lies inside the context, so it need not travel beside it
+    order = F.substring("context", F.col("offset") + 1, F.lit(gram))
+    return (texts.mapInArrow(suffixes, "offset int, key long, first long, context binary")
+            .repartitionByRange(n, order).sortWithinPartitions(order).mapInArrow(compare, _SPANS))
 
 
 def _hot(texts: DataFrame, buckets: int, length: int) -> DataFrame:
@@ -300,7 +304,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         wanted = wanted.join(classes.select(F.col("rep").alias("key")), "key", "left_semi")
         packed = packed_texts(keyed)
         texts = packed.withColumnRenamed("key", "k2").join(pin(wanted), F.col("k2") == F.col("key")).select("key", "fams", "size", "packed")
-        spans = pin(_ordinary(texts, n, length).unionByName(_hot(texts, n, length)))
+        spans = pin(_ordinary(texts, n, length, gram).unionByName(_hot(texts, n, length)))
         spans = spans.unionByName(copied.select("key", F.lit(0).cast("long").alias("p0"), F.lit(1 << 40).alias("p1")))
         per_key = own.keep(pin(spans.groupBy("key").agg(F.collect_list(F.struct("p0", "p1")).alias("found")).withColumnRenamed("key", "k2")))
     joined = packed.join(per_key, F.col("key") == F.col("k2"), "left").select("doc_id", "size", "packed", "found")
@@ -329,6 +333,22 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     return joined.mapInArrow(cut, schema)
 
 
+def oracle(length: int = LENGTH) -> str:
+    """DuckDB SQL of the query over the table documents: every window of ``length`` bytes, as hex."""
+    return f"""
+with b as (select row_number() over () d, doc_id, hex(encode(coalesce(text, ''))) x from documents),
+n as (select d, doc_id, x, (length(x) // 2)::bigint n from b),
+w as (select d, i, hash(substr(x, 2 * i + 1, {2 * length})) h from (select d, x, unnest(range(greatest(n - {length - 1}, 0))) i from n)),
+r as (select d, i from (select d, i, count(*) over (partition by h) c from w) where c > 1),
+g as (select d, i, case when i <= lag(i) over (partition by d order by i) + {length} then 0 else 1 end is_new from r),
+s as (select d, min(i) a, max(i) + {length} z from (select d, i, sum(is_new) over (partition by d order by i rows unbounded preceding) k from g) group by d, k),
+kept as (select d, sum(z - a)::bigint removed, count(*) spans,
+    string_agg(substr(x, 2 * before + 1, 2 * (a - before)), '' order by a) || substr(max(x), 2 * max(z) + 1) x
+  from (select s.d, a, z, x, coalesce(lag(z) over (partition by s.d order by a), 0) before from s join n using (d)) group by d)
+select doc_id, n n_bytes, coalesce(removed, 0) n_removed, coalesce(spans, 0) n_spans, sha256(unhex(coalesce(kept.x, n.x))) kept_sha256
+from n left join kept using (d)"""
+
+
 def plain_reference(texts: list[str | None], length: int = LENGTH) -> list[tuple[int, int, int, str]]:
     """(n_bytes, n_removed, n_spans, kept_sha256) by a table of all windows, for tests."""
     raws = [(t or "").encode() for t in texts]
