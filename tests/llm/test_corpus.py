@@ -56,9 +56,54 @@ def test_mix_comes_near_its_targets(spark):
 
 def test_targets_in_code_point_order_with_reshared_excess():
     t = mixing.source_targets({"b": 100, "a": 10, "é": 50, None: 40})
-    # weights a 5, b 2, é 1, null 5; a stops at 30, null at 120, what is left goes to b and é as 2 : 1
-    assert t == {"a": Fraction(30), None: Fraction(200 - 30) * 0 + t[None], "b": t["b"], "é": t["é"]}
-    assert t["b"] == 2 * t["é"] and sum(t.values()) == 200 and t[None] <= 120
+    # weights a 5, b 2, é 1, null 5; a stops at 30, the 170 left are shared as 2 : 1 : 5
+    assert t == {"a": 30, "b": Fraction(85, 2), "é": Fraction(85, 4), None: Fraction(425, 4)}
+    # two stop one after the other
+    assert mixing.source_targets({"a": 1, "b": 20, "c": 979}) == {"a": 3, "b": 60, "c": 937}
+
+
+def plain_targets(sizes):
+    """Weighted shares under the caps by raising a common level until all words are given out."""
+    order = sorted((s for s in sizes if s is not None), key=lambda s: [ord(c) for c in s]) + [None] * (None in sizes)
+    weight = {s: (5, 2, 1)[i % 3] for i, s in enumerate(order)}
+    total, given, level = Fraction(sum(sizes.values())), Fraction(0), Fraction(0)
+    stops = sorted((Fraction(3 * sizes[s], weight[s]), s is None, s or "", s) for s in order)
+    for k, (stop, _, _, _) in enumerate(stops):
+        rate = sum(weight[x[3]] for x in stops[k:])
+        if given + (stop - level) * rate >= total:
+            level += (total - given) / rate
+            break
+        given, level = given + (stop - level) * rate, stop
+    return {s: min(Fraction(3 * sizes[s]), level * weight[s]) for s in order}
+
+
+def test_mix_equals_a_plain_selection(spark):
+    """Targets, whole copies and the seeded choice, document by document, against plain loops over the same hashes."""
+    r = random.Random(3)
+    spec = {s: [r.choice([0, 1, 5, 40, 40, 400]) for _ in range(n)] for s, n in (("a", 90), ("B", 50), (None, 30), ("é", 20), ("z", 2))}
+    texts, sources = mixed(spark, spec)
+    docs = documents(spark, texts, sources)
+    docs = docs.unionByName(docs.filter("doc_id % 9 = 0"))                   # repeated rows are documents of their own
+    seeded = docs.select("doc_id", "source", mixing.seeded_hash(mixing.SEED, F.col("doc_id"), F.col("text")).alias("u")).collect()
+    size = {i: len(t.split()) for i, t in enumerate(texts)}
+    of_source: dict = {}
+    for x in seeded:
+        of_source.setdefault(x.source, []).append((x.u, size[x.doc_id], x.doc_id))
+    targets = plain_targets({s: sum(n for _, n, _ in rows) for s, rows in of_source.items()})
+    want = []
+    for s, rows in of_source.items():
+        words_, left = sum(n for _, n, _ in rows), round(targets[s])
+        whole, left = divmod(left, words_)
+        taken, stopped = set(), False
+        for u in sorted({u for u, _, _ in rows}):
+            n = sum(m for v, m, _ in rows if v == u)
+            stopped = stopped or n > left and n - left >= left
+            if not stopped:
+                taken.add(u)
+                stopped, left = n > left, left - n
+        want += [(d, n, words_, float(targets[s]), n * (whole + (u in taken))) for u, n, d in rows]
+    got = [tuple(x)[:5] for x in mixing.mix_sources(docs).collect()]
+    assert sorted(got) == sorted(want)
 
 
 def test_flow_prefers_first_copies_and_shares_overlaps():

@@ -23,7 +23,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from tidemark.llm.common import pin, pins
+from tidemark.llm.common import pin, pins, shuffle_partitions
 
 #: The rules: (verdict, host, path).
 RULES = (("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/"))
@@ -94,7 +94,8 @@ def filter_urls(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
     ruled = with_rules(pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url")), "url", rules).drop("url")
     ruled = ruled.withColumn("s", F.concat("host", "path"))
     with pins() as own:
-        texts = pin(ruled.groupBy("s", "ruled").agg(F.count(F.lit(1)).alias("n")))
+        # few bytes, but each is taken apart into many windows: over all tasks, not the one that the bytes would fill
+        texts = pin(ruled.groupBy("s", "ruled").agg(F.count(F.lit(1)).alias("n")).repartition(shuffle_partitions(pages.sparkSession)))
         texts = texts.select("s", F.when(F.col("ruled") == "allow", F.col("n")).otherwise(0).alias("a"),
                              F.when(F.col("ruled") == "block", F.col("n")).otherwise(0).alias("r"))
         grams = pin(_windows(texts).groupBy("g").agg(F.sum("a").alias("a"), F.sum("r").alias("r")))
