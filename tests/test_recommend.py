@@ -3,9 +3,9 @@ import random
 
 from pyspark.sql import Window, functions as F
 
-from tidemark.functions import with_dense_index
-from tidemark.operators.recommend import (backfill, fill_missing_counts, fill_missing_recommendations, missing_audience,
-                                          recommendations_union)
+from tidemark.functions import smallest_rows, with_dense_index
+from tidemark.operators.recommend import (backfill, fill_and_report, fill_missing_counts, fill_missing_recommendations, missing_audience,
+                                          recommendations_union, unfilled_rows)
 from tests.conftest import rows
 
 OUT = "vip_no string, atg_code_1 string, atg_code_8 string"
@@ -109,3 +109,46 @@ def test_backfill_tells_rows_of_one_id_apart(spark):
     out = spark.createDataFrame([("o1", "x", "1"), ("o1", "y", "2"), ("o1", "y", "2")], OUT)
     got = rows(fill_missing_recommendations(out, _aud(spark, ["a1", "a2", "a3"])).where("vip_no like 'a%'"))
     assert sorted(r[1:] for r in got) == [("x", "1"), ("y", "2"), ("y", "2")]
+
+
+def test_smallest_rows_is_a_bounded_beginning_of_the_order(spark):
+    """Shared prefixes over several chunks, several alphabets, repeats, nulls and the empty key."""
+    rnd = random.Random(11)
+    ids = [f"member-of-the-club-{rnd.randrange(10 ** 9):010d}" for _ in range(2000)]
+    ids += ["".join(rnd.choice("aé漢\U0001F600z") for _ in range(rnd.randrange(12))) for _ in range(500)] + ["member"] * 7 + [None] * 3
+    df = spark.createDataFrame([(v,) for v in ids], "k string").cache()
+    order = sorted(ids, key=lambda v: (v is not None, (v or "").encode()))
+    for wanted in (0, 2, 3, 4, 40, 512, 1500, len(ids), len(ids) + 5):
+        kept = [r.k for r in smallest_rows(df, "k", wanted, slack=0).collect()]
+        kept.sort(key=lambda v: (v is not None, (v or "").encode()))
+        assert kept == order[:len(kept)] and len(kept) >= min(wanted, len(ids))
+        last = order[min(wanted, len(ids)) - 1] if wanted else None
+        assert len(kept) <= max(2 * wanted, 3) + ids.count(last)
+    assert smallest_rows(df.limit(0), "k", 5, slack=0).count() == 0
+
+
+def test_smallest_rows_of_equal_keys(spark):
+    same = spark.createDataFrame([("0123456789abc",)] * 50 + [("0123456789abd",)], "k string")
+    assert smallest_rows(same, "k", 10, slack=0).count() == 50
+    assert smallest_rows(same, "k", 51, slack=0).count() == 51
+
+
+def test_few_missing_ids_number_few_donors(spark, monkeypatch):
+    """The rows stay those of numbering every donor, and only about as many donors as missing ids are numbered."""
+    from tidemark.operators import recommend
+    out = _output(spark, [f"o{i:05d}" for i in random.Random(5).sample(range(10 ** 5), 4000)])
+    audience = _aud(spark, [f"m{i:03d}" for i in range(40)])
+    want = rows(fill_missing_recommendations(out, audience))        # under the slack: every donor is numbered
+    seen = []
+    monkeypatch.setattr(recommend, "smallest_rows", lambda df, key, wanted: smallest_rows(df, key, wanted, slack=0))
+    monkeypatch.setattr(recommend, "with_dense_index", lambda df, *a: seen.append(df.count()) or with_dense_index(df, *a))
+    assert rows(fill_missing_recommendations(out, audience)) == want
+    assert seen[0] == 40 and 40 <= seen[1] <= 80
+    assert rows(fill_missing_recommendations(out, audience, cycle=True)) == want
+
+
+def test_fill_and_report(spark):
+    out, audience = _output(spark, ["o1", "o2"]), _aud(spark, ["a1", "a2", "a3", "o1"])
+    assert fill_and_report(out, audience)[1] == 1 == unfilled_rows(out, audience).first().unfilled
+    assert fill_and_report(out, audience, cycle=True)[1] == 0
+    assert fill_and_report(out.limit(0), audience, cycle=True)[1] == 4

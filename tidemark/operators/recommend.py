@@ -5,9 +5,9 @@ from __future__ import annotations
 from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
-from pyspark.sql.types import MapType
+from pyspark.sql.types import MapType, StringType
 
-from tidemark.functions import require_columns, with_dense_index
+from tidemark.functions import require_columns, smallest_rows, with_dense_index
 
 
 def missing_audience(audience: DataFrame, output: DataFrame) -> DataFrame:
@@ -24,27 +24,32 @@ def _row_hash(df: DataFrame):
 
 
 def _backfill_parts(output: DataFrame, audience: DataFrame, cycle: bool):
-    """(missing ids, supplement rows).
+    """(supplement rows, missing audience rows that get no donor).
 
-    Only keys are numbered.  The i-th missing id meets the i-th donor key, and
-    the wide rows are fetched for the donors in use alone; the output itself is
-    neither sorted nor shuffled in full.
+    Only keys are numbered, and of the donor keys only the first ones, as many
+    as are missing (``smallest_rows``).  The i-th missing id meets the i-th
+    donor key, and the wide rows are fetched for the donors in use alone; the
+    output itself is neither sorted nor shuffled in full.
     """
     require_columns(output, ["vip_no"], "recommendation output")
     keyed = output.withColumn(_ROW, _row_hash(output))
-    missing = missing_audience(audience, output)
-    numbered = with_dense_index(missing, ["vip_no"], "_i")
-    donors = with_dense_index(keyed.select("vip_no", _ROW), ["vip_no"], "_i").select(
+    numbered = with_dense_index(missing_audience(audience, output), ["vip_no"], "_i")
+    wanted = numbered.count()
+    available = output.count()
+    first = keyed.select("vip_no", _ROW)
+    if wanted < available and isinstance(output.schema["vip_no"].dataType, StringType):
+        first = smallest_rows(first, "vip_no", wanted)
+    donors = with_dense_index(first, ["vip_no"], "_i").select(
         F.col("vip_no").alias("_donor"), F.col(_ROW).alias("_donor_row"), "_i")
-    if cycle:
-        n_donors = donors.select(F.max("_i")).scalar()
-        numbered = numbered.withColumn("_i", (F.col("_i") - 1) % n_donors + 1)
+    if cycle and available:
+        numbered = numbered.withColumn("_i", (F.col("_i") - 1) % available + 1)
     pairs = numbered.join(donors, "_i", "inner").drop("_i")
     used = pairs.select(F.col("_donor").alias("vip_no"), F.col("_donor_row").alias(_ROW)).distinct()
     wide = keyed.join(used, ["vip_no", _ROW], "left_semi").dropDuplicates(["vip_no", _ROW])
     wide = wide.withColumnRenamed("vip_no", "_wide_id")
     supplement = pairs.join(wide, (F.col("_donor").eqNullSafe(F.col("_wide_id"))) & (F.col("_donor_row") == F.col(_ROW)))
-    return numbered.drop("_i"), supplement.select(*output.columns)
+    unfilled = 0 if cycle and available else max(wanted - available, 0)
+    return supplement.select(*output.columns), unfilled
 
 
 def fill_missing_recommendations(output: DataFrame, audience: DataFrame, cycle: bool = False) -> DataFrame:
@@ -56,12 +61,18 @@ def fill_missing_recommendations(output: DataFrame, audience: DataFrame, cycle:
     filled, as in the reference; ``cycle=True`` reuses donors round-robin
     (``(i - 1) % donors + 1``) so every missing id is filled.
     """
-    return output.unionByName(_backfill_parts(output, audience, cycle)[1])
+    return fill_and_report(output, audience, cycle)[0]
+
+
+def fill_and_report(output: DataFrame, audience: DataFrame, cycle: bool = False) -> tuple[DataFrame, int]:
+    """P9 and the number of missing audience rows that found no donor."""
+    supplement, unfilled = _backfill_parts(output, audience, cycle)
+    return output.unionByName(supplement), unfilled
 
 
 def backfill(output: DataFrame, audience: DataFrame, cycle: bool = False) -> tuple[DataFrame, DataFrame]:
     """P9 and P10 together: ``(merged, counts)`` computed from one supplement."""
-    _, supplement = _backfill_parts(output, audience, cycle)
+    supplement, _ = _backfill_parts(output, audience, cycle)
     return output.unionByName(supplement), fill_missing_counts(output, audience, supplement)
 
 

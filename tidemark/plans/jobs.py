@@ -139,8 +139,7 @@ def run_blast(spark: SparkSession, registry: DataFrame, load_version: Callable[[
         for group in GROUPS:
             output = load_version(camp, group)
             ids = aud.audience_ids_of_group(grouped, group.capitalize())
-            unfilled[group] = recm.unfilled_rows(output, ids).collect()[0]["unfilled"]
-            filled = recm.fill_missing_recommendations(output, ids)
+            filled, unfilled[group] = recm.fill_and_report(output, ids)
             if store_version is None:
                 path = f"{out_dir}/recommendations/{camp}/{group}"
                 sinks.write_parquet(filled, path)
