@@ -18,12 +18,16 @@ from tidemark import sinks
 from tidemark.operators import attribution as att
 from tidemark.operators import audience as aud
 from tidemark.operators import blast as bl
+from tidemark.operators import documents
 from tidemark.operators import feeds
 from tidemark.operators import funnel
+from tidemark.operators import incremental as inc
 from tidemark.operators import items
 from tidemark.operators import kpi
+from tidemark.operators import reach
 from tidemark.operators import recommend as recm
 from tidemark.operators import registry as reg
+from tidemark.plans import jobs
 from tidemark.sources import relations as rel
 from tidemark.session import ensure_checkpoint_dir
 from tidemark.sinks import versioned
@@ -38,6 +42,10 @@ SEED_IDS = ("testSeedA_gold", "testSeedB_gold")
 SEED_SALT = "seed-2024"
 REGIONS = ("hk", "cn")                   # every region-bound step runs for both, with a region column
 PREVIOUS_BLAST_DATE = _dt.date(2024, 1, 3)   # registry content before this run
+WRITTEN_AT = 1704787200                  # time stamp of the configuration documents (2024-01-09 08:00 UTC)
+# the report loaded in two steps: blasts of three months, the second step with late sales of January
+REPORT_DATES = tuple(_dt.date(*d) for d in ((2023, 12, 27), (2024, 1, 3), (2024, 1, 10), (2024, 1, 17), (2024, 1, 24), (2024, 2, 7)))
+FIRST_LOAD, LATE_SINCE = _dt.date(2024, 1, 17), "20240108"
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -356,3 +364,65 @@ def q_recommendations_rewritten(spark, sf_dir):
 @register("customization_replace")
 def q_customization_replace(spark, sf_dir):
     return _registry_after(Tables(spark, sf_dir))
+
+
+@register("version_documents")
+def q_version_documents(spark, sf_dir):
+    """The nested documents of both regions' campaigns and of each version present in the audience, written and read back."""
+    t = Tables(spark, sf_dir)
+    path, cells = _new_table(t, "documents"), reg.layout_slots(reg.layout_grid_table(spark))
+    for region in REGIONS:
+        versions = reg.campaign_version_table(reg.audience_versions(_stored_audience(t, region), BLAST_DATE, region), region)
+        sinks.write_documents(documents.configuration_documents(versions, cells, WRITTEN_AT), path)
+    return sinks.read_documents(spark, path)
+
+
+@register("monthly_reach")
+def q_monthly_reach(spark, sf_dir):
+    """Reach, purchasers and conversion per month from bitmaps that two runs stored per blast date."""
+    t = Tables(spark, sf_dir)
+    blasts = _stored(t, "blasts", lambda: _blast_list(t))
+    numbers, stored = _new_table(t, "member-numbers"), _new_table(t, "reach")
+    for dates in (rel.HISTORY_BLAST_DATES[:2], rel.HISTORY_BLAST_DATES[2:]):
+        run = blasts.where(F.col("blast_date").isin(*dates))
+        jobs.store_reach(numbers, stored, run, _revenue(t, run), list(dates))
+    return reach.monthly_reach(sinks.read_versioned(spark, stored))
+
+
+@register("reach_funnel")
+def q_reach_funnel(spark, sf_dir):
+    """The funnel of both regions from stored bitmaps."""
+    t = Tables(spark, sf_dir)
+    rows = _stored(t, "funnel-members", lambda: _regions(
+        lambda r: reach.funnel_members(_stored_audience(t, r), _versions(t, r), _personalization(t, r))))
+    numbers = _stored(t, "funnel-numbers", lambda: reach.member_numbers(rows))
+    bitmaps = _stored(t, "funnel-bitmaps", lambda: reach.reach_bitmaps(rows, numbers, ["region", *reach.FUNNEL_KEYS]))
+    return reach.funnel_of_bitmaps(bitmaps, ["region"])
+
+
+def load_report_twice(t: Tables, path: str) -> list[list[inc.Month]]:
+    """The report loaded in two steps, the second with new blasts, responses and late sales; returns the months of each."""
+    history, sales, redeem = rel.blast_history(t, REPORT_DATES), rel.sales_dtl(t), rel.voucher_redeem(t)
+    details = rel.campaign_details(t.spark, REPORT_DATES)
+    contact = rel.campaign_contact(t, details, att.blast_list(history))
+    response = rel.campaign_response(t, details, contact)
+    late = ((F.col("order_no").cast("bigint") % 5 == 0) & (F.col("order_date") >= LATE_SINCE)) | (F.col("order_date") > "20240120")
+    old, sent = F.col("blast_date") <= FIRST_LOAD, F.col("date_sent") < FIRST_LOAD
+    steps = [((history.where(old), sales.where(~late), redeem, details.where(sent), contact, response),
+              (history.where(old), sales.where(~late), details.where(sent))),
+             ((history, sales, redeem, details, contact, response),
+              (history.where(~old), sales.where(late), details.where(~sent)))]
+    found = []
+    for everything, new in steps:
+        found.append(inc.affected_months(*new))
+        jobs.refresh_kpi(path, found[-1], *everything)
+    return found
+
+
+@register("monthly_kpi_incremental")
+def q_monthly_kpi_incremental(spark, sf_dir):
+    """The monthly report loaded in two steps: equal to the report over everything."""
+    t = Tables(spark, sf_dir)
+    path = _new_table(t, "report")
+    load_report_twice(t, path)
+    return sinks.read_versioned(spark, path)

@@ -6,6 +6,8 @@ operators and sinks.
 * :func:`run_blast`: registry lookup, recommendation backfill, blast list with
   checks, the three export feeds, funnel report, history append.
 * :func:`run_kpi_monitor`: blast list, attribution, email response, monthly KPI.
+* :func:`refresh_kpi`: the report of the months that new rows change, in one commit.
+* :func:`store_reach`: a run's reach as bitmaps over stored member numbers.
 
 Inputs are DataFrames (read them with ``spark.table`` / ``spark.read`` at the
 edge); dates are arguments.  Nothing is collected to the driver except the
@@ -25,13 +27,17 @@ from tidemark.operators import attribution as att
 from tidemark.operators import audience as aud
 from tidemark.operators import blast as bl
 from tidemark.operators import feeds
+from tidemark.operators import documents
 from tidemark.operators import funnel
+from tidemark.operators import incremental as inc
 from tidemark.operators import items
 from tidemark.operators import kpi
+from tidemark.operators import reach
 from tidemark.operators import recommend as recm
 from tidemark.operators import registry as reg
 from tidemark import sinks
 from tidemark.session import ensure_checkpoint_dir
+from tidemark.sinks import versioned
 
 GROUPS = ("female", "male")
 REGIONS = ("hk", "cn")
@@ -57,14 +63,16 @@ def audience_id(blast_date, region: str, group: str) -> str:
 
 
 def prepare_campaign(spark: SparkSession, inputs: CampaignInputs, blast_date, as_of, out_dir: str,
-                     registry_path: str, regions=REGIONS, groups=GROUPS) -> dict:
+                     registry_path: str, regions=REGIONS, groups=GROUPS, written_at: int | None = None) -> dict:
     """Day -1 run (audience + item list + configuration + registry), one region at a time.
 
     Layout under ``out_dir``: ``audience/lc_fprp_notification_<region>.parquet``
     (grouped audience), ``audience/<audience_id>/audience_list`` (ids of one
     group) and ``audience/<audience_id>/filters`` (P31 rows),
-    ``campaign/<campaign_id>/item_list.csv``, ``.../versions`` (P30) and
-    ``.../layout`` (P29).  The grouped audience is written once and the group
+    ``campaign/<campaign_id>/item_list.csv``, ``.../versions`` (P30),
+    ``.../layout`` (P29), and with ``written_at`` (epoch seconds) the JSON
+    documents of the campaign and its versions under ``campaign/documents``
+    (C20).  The grouped audience is written once and the group
     lists are cut from the written copy, so the audience plan runs once.
     """
     out_dir = out_dir.rstrip("/")
@@ -93,7 +101,10 @@ def prepare_campaign(spark: SparkSession, inputs: CampaignInputs, blast_date, as
         # every group of the run is registered, whoever is in the audience
         ids = [audience_id(blast_date, region, group) for group in groups]
         versions = reg.version_pairs(spark, camp, list(groups), ids)
-        sinks.write_parquet(reg.campaign_version_table(versions, region, item_list), f"{out_dir}/campaign/{camp}/versions")
+        table = reg.campaign_version_table(versions, region, item_list)
+        sinks.write_parquet(table, f"{out_dir}/campaign/{camp}/versions")
+        if written_at is not None:
+            sinks.write_documents(documents.configuration_documents(table, layouts, written_at), f"{out_dir}/campaign/documents")
         sinks.write_parquet(layouts.where(F.col("region") == region.lower()), f"{out_dir}/campaign/{camp}/layout")
         sinks.write_registry(spark, registry_path, reg.customization_id(region), camp, ids)
         written[region] = camp
@@ -176,3 +187,30 @@ def run_kpi_monitor(history: DataFrame, sales: DataFrame, redeem: DataFrame, det
     if out_path:
         sinks.write_parquet(out, out_path)
     return out
+
+
+def refresh_kpi(path: str, months: list[inc.Month], history: DataFrame, sales: DataFrame, redeem: DataFrame, details: DataFrame,
+                contact: DataFrame, response: DataFrame, deduped: bool = False) -> int | None:
+    """K3: replace these months of a stored report (``inc.affected_months`` of the new rows) in one commit; others keep their files.
+
+    A month without blasts any more has no rows afterwards.  Read the report with
+    ``sinks.read_versioned``.  Returns the new version, None without months.
+    """
+    if not months:
+        return None
+    report = inc.months_report(months, history, sales, redeem, details, contact, response, deduped)
+    return versioned.replace(report, path, ["blast_year", "blast_month"], [inc.month_key(m) for m in months])
+
+
+def store_reach(numbers_path: str, reach_path: str, blasts: DataFrame, revenue: DataFrame, blast_dates: list) -> int:
+    """Number the new members of ``blasts`` and replace the stored reach of ``blast_dates`` by these rows'.
+
+    The numbers are one commit, the reach another on top of it: a run lost in
+    between has numbered members that no bitmap names yet, which a re-run uses.
+    """
+    spark = blasts.sparkSession
+    version = versioned.current_version(spark, numbers_path)
+    known = versioned.read_versioned(spark, numbers_path, version) if version else None
+    versioned.replace(reach.member_numbers(blasts, known), numbers_path, base=version)
+    numbers = versioned.read_versioned(spark, numbers_path)
+    return versioned.replace(reach.daily_reach(blasts, revenue, numbers), reach_path, ["blast_date"], [(d,) for d in blast_dates])

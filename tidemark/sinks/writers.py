@@ -70,6 +70,17 @@ def write_quality_split(marked: DataFrame, path: str, max_rejects: int | None =
     return found
 
 
+def write_documents(documents: DataFrame, path: str) -> None:
+    """C20: each (campaign_id, file, document) row as the one line of a text file below ``campaign_id=.../file=...``."""
+    documents.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("campaign_id", "file").text(path)
+
+
+def read_documents(spark: SparkSession, path: str) -> DataFrame:
+    """The rows that ``write_documents`` wrote."""
+    return (spark.read.schema("document string, campaign_id string, file string").text(path)
+            .select("campaign_id", "file", "document"))
+
+
 def _files(spark: SparkSession, path: str):
     """(file system, Hadoop path) of ``path``."""
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
