@@ -131,3 +131,29 @@ def test_new_in_final_recency(spark):
 @pytest.mark.parametrize("region,site", [("hk", "zh_HK"), ("cn", "zh_CN"), ("Cn", "zh_CN")])
 def test_site_of_region(region, site):
     assert items.site_of_region(region) == site
+
+
+def test_all_regions_in_one_plan_equal_one_region_at_a_time(spark):
+    """Members with vouchers of both regions are in both, repeated vouchers and rows count once, other codes are out."""
+    from tidemark.operators import audience as aud
+    members = spark.createDataFrame([("a", "x"), ("a", "x"), ("b", "y"), ("c", "z"), ("d", "w")], "vip_no string, gender string")
+    vouchers = spark.createDataFrame(
+        [("a", "20240101", "HKG"), ("a", "20240101", "BJG"), ("a", "20240101", "SHG"), ("b", "20240101", "HKG"), ("b", "20240101", "HKG"),
+         ("c", "20230101", "HKG"), ("d", "20240101", "XXX"), (None, "20240101", "HKG")], "vip_no string, collect_start_date string, region string")
+    both = aud.voucher_audience_of_regions(members, vouchers)
+    assert rows(both) == [("a", "x", "cn"), ("a", "x", "hk"), ("b", "y", "hk")]
+    for region in ("hk", "cn"):
+        assert rows(both.where(f"region = '{region}'").drop("region")) == rows(aud.voucher_audience(members, vouchers, region))
+
+
+def test_new_in_of_several_regions(spark):
+    from tidemark.operators import items
+    from tidemark.sources import relations as rel
+    t = rel.Tables(spark, "/root/testdata/sf0.001")
+    inputs = rel.publication_status(t), rel.item_start_date(t)
+    bags = rel.child_sku(t), rel.inventory(t), rel.item_master(t)
+    every = items.new_in_candidates(*inputs, *bags, ("hk", "cn"), rel.ITEMS_AS_OF)
+    lists = items.new_in_list_direct(*inputs, bags[2], ("hk", "cn"), rel.ITEMS_AS_OF)
+    for r in ("hk", "cn"):
+        assert rows(every.where(f"region = '{r}'").drop("region")) == rows(items.new_in_candidates(*inputs, *bags, r, rel.ITEMS_AS_OF))
+        assert rows(lists.where(f"region = '{r}'").drop("region")) == rows(items.new_in_list_direct(*inputs, bags[2], r, rel.ITEMS_AS_OF))

@@ -121,3 +121,10 @@ def test_personalization_and_funnel(spark):
     recs = _recs(spark, {"v1": GOOD, "v2": GOOD})
     f = {r.source: (r.vips, r.blast_date) for r in blast_funnel(audience, recs, pers).collect()}
     assert f == {"Eligible List": (5, None), "Recommendation List": (2, None), "Blast": (pers.count(), BD)}
+
+
+def test_null_id_takes_no_seed_place(spark):
+    from tidemark.operators.blast import blast_with_seeds
+    df = spark.createDataFrame([("a", "a@x"), (None, "n@x"), ("b", "b@x")], "vip_no string, email string")
+    got = [tuple(r) for r in blast_with_seeds(df, ("s1", "s2")).collect()]
+    assert sorted((r for r in got if r[0] in ("s1", "s2"))) == [("s1", ""), ("s2", "")] and len(got) == 5 and (None, "n@x") in got

@@ -62,14 +62,33 @@ def voucher_audience(audience: DataFrame, voucher: DataFrame, region: str) -> Da
     return audience.join(holders, "vip_no", "left_semi").distinct()
 
 
+def voucher_audience_of_regions(audience: DataFrame, voucher: DataFrame, regions=tuple(VOUCHER_REGIONS)) -> DataFrame:
+    """P2 for several regions in one plan: :func:`voucher_audience` of each, with a ``region`` column.
+
+    The voucher table and the audience are read and shuffled once; a member
+    holding vouchers of two regions is in both.
+    """
+    require_columns(voucher, ["vip_no", "collect_start_date", "region"], "voucher summary")
+    place = None
+    for r in regions:
+        hit = F.col("region").isin(*VOUCHER_REGIONS[r.lower()])
+        place = F.when(hit, r) if place is None else place.when(hit, r)
+    collected = parse_yyyymmdd("collect_start_date")
+    latest = voucher.select(F.max(collected)).scalar()
+    codes = [c for r in regions for c in VOUCHER_REGIONS[r.lower()]]
+    holders = (voucher.where((collected >= latest) & F.col("region").isin(*codes))
+               .select("vip_no", place.alias("region")).distinct())
+    return audience.join(holders, "vip_no", "inner").select(*audience.columns, "region").distinct()
+
+
 def audience_grouped(audience: DataFrame) -> DataFrame:
     """``group`` = Male when gender is 'Male', else Female (NULL gender -> Female)."""
     return audience.withColumn("group", F.when(F.col("gender") == "Male", "Male").otherwise("Female"))
 
 
 def audience_ids_by_group(grouped: DataFrame) -> DataFrame:
-    """DISTINCT (vip_no, group); the sink writes one dataset per group."""
-    return grouped.select("vip_no", "group").distinct()
+    """DISTINCT (vip_no, group), and region if the audience has one; the sink writes one dataset per group."""
+    return grouped.select("vip_no", "group", *[c for c in grouped.columns if c == "region"]).distinct()
 
 
 def audience_ids_of_group(grouped: DataFrame, group: str) -> DataFrame:

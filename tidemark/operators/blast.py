@@ -47,13 +47,14 @@ def blast_with_seeds(df: DataFrame, seed_ids=("testSeedA_gold", "testSeedB_gold"
     reproducible sample instead of an unseeded one): a distributed top-k over
     ids alone, so at most k ids per task reach the final merge.  The k picked
     ids are broadcast back (a table of k rows), and one pass over the wide rows
-    emits each original and, for a picked member, its copy.
+    emits each original and, for a picked member, its copy.  A null id is never
+    picked; a member with several rows has each of them copied.
     """
     k = len(seed_ids)
     if k == 0:
         return df
     key = F.md5(F.concat(F.lit(salt), F.col("vip_no")))
-    picked = df.select("vip_no").distinct().withColumn("_seed_key", key).orderBy("_seed_key", "vip_no").limit(k)
+    picked = df.select("vip_no").where(F.col("vip_no").isNotNull()).distinct().withColumn("_seed_key", key).orderBy("_seed_key", "vip_no").limit(k)
     # k rows only: a window without partitioning is bounded by the seed count
     rank = F.row_number().over(Window.orderBy("_seed_key", "vip_no"))
     seeds = picked.select(F.col("vip_no").alias("_member"), F.element_at(F.array(*[F.lit(s) for s in seed_ids]), rank).alias("_seed"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as _dt
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -28,6 +29,14 @@ def site_of_region(region: str) -> str:
     return "zh_" + region.upper()
 
 
+def _sites(region: str | Sequence[str], site: str):
+    """(filter on the site column, region column or none) for one region or several."""
+    if isinstance(region, str):
+        return F.col(site) == site_of_region(region), []
+    names = F.create_map(*[F.lit(x) for r in region for x in (site_of_region(r), r)])
+    return F.col(site).isin(*[site_of_region(r) for r in region]), [names[F.col(site)].alias("region")]
+
+
 def _not_in(col: str, values) -> F.Column:
     # `<>` chains and NOT IN both reject NULL
     return ~F.col(col).isin(*values)
@@ -43,20 +52,22 @@ def full_exclusion():
 
 
 def new_in_candidates(pub: DataFrame, start: DataFrame, sku: DataFrame, inv: DataFrame, item: DataFrame,
-                      region: str, as_of: _dt.date, days: int = NEW_IN_DAYS) -> DataFrame:
+                      region: str | Sequence[str], as_of: _dt.date, days: int = NEW_IN_DAYS) -> DataFrame:
     """P5, exact bag form: published items of the region's site that started in the last
-    ``days`` days (strict), with the class/subclass exclusion.
+    ``days`` days (strict), with the class/subclass exclusion.  Several regions
+    come from one plan, told apart by a ``region`` column.
 
     The sku and inventory left joins add rows only (one per sku); they are kept
     here because P5 alone returns that multiset.  The start-date and item left
     joins become inner joins through the WHERE clause (Catalyst does it).
     """
+    here, place = _sites(region, "pub.site_id")
     p = pub.alias("pub")
     dt = start.alias("dt")
     s = sku.alias("sku")
     inv_ = inv.alias("inv")
     it = item.alias("item")
-    j = (p.where((F.col("pub.site_id") == site_of_region(region)) & (F.col("pub.publication_status") == PUBLISHED))
+    j = (p.where(here & (F.col("pub.publication_status") == PUBLISHED))
          .join(dt, (F.col("dt.id") == F.col("pub.id")) & (F.col("dt.site_id") == F.col("pub.site_id")), "left")
          .join(s, F.col("pub.id") == F.col("sku.product_id"), "left")
          .join(inv_, F.col("inv.inventory_id") == F.concat(F.col("sku.sku_id"), F.lit(","), F.col("pub.site_id")), "left")
@@ -65,7 +76,7 @@ def new_in_candidates(pub: DataFrame, start: DataFrame, sku: DataFrame, inv: Dat
                     & ~F.col("item.class_desc").isin(*CANDIDATE_EXCLUDED_CLASSES)
                     & ~F.col("item.subclass_desc").isin(*CANDIDATE_EXCLUDED_SUBCLASSES))
             .select(F.col("pub.id").alias("atg_code"), F.col("dt.start_date").cast("date").alias("start_date"),
-                    F.col("item.bu_desc").alias("bu_desc")))
+                    F.col("item.bu_desc").alias("bu_desc"), *place))
 
 
 def new_in_list(candidates: DataFrame, item: DataFrame) -> DataFrame:
@@ -76,22 +87,23 @@ def new_in_list(candidates: DataFrame, item: DataFrame) -> DataFrame:
             .select("atg_code", "bu_desc", "start_date").distinct())
 
 
-def new_in_list_direct(pub: DataFrame, start: DataFrame, item: DataFrame, region: str, as_of: _dt.date,
+def new_in_list_direct(pub: DataFrame, start: DataFrame, item: DataFrame, region: str | Sequence[str], as_of: _dt.date,
                        days: int = NEW_IN_DAYS) -> DataFrame:
     """P5 feeding P6 in one plan.
 
     Equal to ``new_in_list(new_in_candidates(...), item)``: the sku/inventory
     joins only multiply rows that DISTINCT removes, and P5's exclusion is
     implied by P6's on the same item row, so one item join replaces two.
+    Several regions come from one plan, told apart by a ``region`` column.
     """
     require_columns(pub, ["id", "site_id", "publication_status"], "publication status")
-    p = pub.where((F.col("site_id") == site_of_region(region)) & (F.col("publication_status") == PUBLISHED)) \
-        .select("id", "site_id")
+    here, place = _sites(region, "site_id")
+    p = pub.where(here & (F.col("publication_status") == PUBLISHED)).select("id", "site_id")
     recent = start.where(F.col("start_date") > F.date_sub(as_date(as_of), days)).select("id", "site_id", "start_date")
     it = item.where(full_exclusion()).select(F.col("atg_code").alias("id"), "bu_desc")
     return (p.join(recent, ["id", "site_id"], "inner")
             .join(it, "id", "inner")
-            .select(F.col("id").alias("atg_code"), "bu_desc", F.col("start_date").cast("date").alias("start_date"))
+            .select(F.col("id").alias("atg_code"), "bu_desc", F.col("start_date").cast("date").alias("start_date"), *place)
             .distinct())
 
 

@@ -122,12 +122,12 @@ def _regions(step: Callable[[str], DataFrame]) -> DataFrame:
     return out
 
 
-def _stored(t: Tables, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+def _stored(t: Tables, name: str, build: Callable[[], DataFrame], by: tuple = ()) -> DataFrame:
     """A frame that production reads from a stored table: written once per query, in the shared folder."""
     cache = t.__dict__.setdefault("_built", {})
     if name not in cache:
         path = _new_table(t, name)
-        build().write.parquet(path)
+        build().write.partitionBy(*by).parquet(path)
         cache[name] = path
     return t.spark.read.parquet(cache[name])
 
@@ -149,9 +149,14 @@ def _grouped(t: Tables, region: str) -> DataFrame:
     return aud.audience_grouped(_audience(t, region))
 
 
+def _all_grouped(t: Tables) -> DataFrame:
+    """The grouped audience of all regions from one scan of members and vouchers."""
+    return aud.audience_grouped(aud.voucher_audience_of_regions(_audience0(t), rel.voucher_summary(t), REGIONS))
+
+
 def _stored_audience(t: Tables, region: str) -> DataFrame:
-    """The grouped audience as the day -1 run stored it."""
-    return _stored(t, f"grouped_{region}", lambda: _grouped(t, region))
+    """The grouped audience as the day -1 run stored it, one folder per region."""
+    return _stored(t, "grouped", lambda: _all_grouped(t), ("region",)).where(F.col("region") == region).drop("region")
 
 
 def _recommendations(t: Tables) -> DataFrame:
@@ -168,9 +173,9 @@ def _output(t: Tables, region: str) -> DataFrame:
     return rel.rec_output(_recommendations(t), _stored_audience(t, region))
 
 
-def _new_in(t: Tables, region: str) -> DataFrame:
+def _new_in(t: Tables) -> DataFrame:
     return items.new_in_list_direct(rel.publication_status(t), rel.item_start_date(t), rel.item_master(t),
-                                    region, ITEMS_AS_OF)
+                                    REGIONS, ITEMS_AS_OF)
 
 
 def _blast_base(t: Tables, region: str) -> DataFrame:
@@ -193,9 +198,9 @@ def _personalization(t: Tables, region: str) -> DataFrame:
     return feeds.campaign_personalization(_region_list(t, region), RUN_DATE)
 
 
-def _candidates(t: Tables, region: str) -> DataFrame:
+def _candidates(t: Tables) -> DataFrame:
     return items.new_in_candidates(rel.publication_status(t), rel.item_start_date(t), rel.child_sku(t),
-                                   rel.inventory(t), rel.item_master(t), region, ITEMS_AS_OF)
+                                   rel.inventory(t), rel.item_master(t), REGIONS, ITEMS_AS_OF)
 
 
 def _registry_before(t: Tables) -> DataFrame:
@@ -215,11 +220,6 @@ def _registry_after(t: Tables, region: str = "hk") -> DataFrame:
 
 # name -> step of one region
 STEPS: dict[str, Callable[[Tables, str], DataFrame]] = {
-    "audience_grouped": _grouped,
-    "audience_ids_by_group": lambda t, r: aud.audience_ids_by_group(_grouped(t, r)),
-    "new_in_candidates": _candidates,
-    "new_in_list": _new_in,
-    "new_in_list_final": lambda t, r: items.new_in_list_final(_new_in(t, r), ITEMS_AS_OF),
     "missing_audience": lambda t, r: recm.missing_audience(_stored_audience(t, r), _output(t, r)),
     "fill_missing_recommendations": lambda t, r: recm.fill_missing_recommendations(_output(t, r), _stored_audience(t, r)),
     "fill_missing_counts": lambda t, r: recm.backfill(_output(t, r), _stored_audience(t, r))[1],
@@ -249,6 +249,25 @@ def _step_query(step: Callable[[Tables, str], DataFrame]):
 for _name, _step in STEPS.items():
     QUERIES[_name] = _step_query(_step)
 
+# steps that make all regions' rows in one plan
+ALL_REGIONS: dict[str, Callable[[Tables], DataFrame]] = {
+    "audience_grouped": _all_grouped,
+    "audience_ids_by_group": lambda t: aud.audience_ids_by_group(_all_grouped(t)),
+    "new_in_candidates": _candidates,
+    "new_in_list": _new_in,
+    "new_in_list_final": lambda t: items.new_in_list_final(_new_in(t), ITEMS_AS_OF),
+}
+
+
+def _all_regions_query(step: Callable[[Tables], DataFrame]):
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return step(Tables(spark, sf_dir))
+    return run
+
+
+for _name, _all in ALL_REGIONS.items():
+    QUERIES[_name] = _all_regions_query(_all)
+
 
 @register("active_reachable_audience")
 def q_active_reachable_audience(spark, sf_dir):
