@@ -12,14 +12,18 @@ pick form a family, about one per 170 bytes.
 1. Families whose gram occurs once are dropped.  Tasks send each gram once per
    block with its local count, so a common gram is no hot key.
 2. The others' suffixes are range-partitioned on their leading gram with sampled
-   splitters and sorted inside the partitions.  Suffixes with equal grams (at most
-   ``hot_members``) are neighbours, and their windows are compared.
-3. Families of grams with more than ``hot_members`` occurrences are not brought
-   together: their windows are combined per block and counted by window hash.
+   splitters.  A range comes in gram order (Spark's sort, which spills) and is cut
+   between grams into blocks of about a megabyte; a block's suffixes are sorted by
+   multikey quicksort and its windows decided by what neighbours have in common,
+   byte by byte (``multikey``).  No gram lies on both sides of a splitter.
+3. Families of grams with more than ``hot_members`` occurrences would fill a range
+   alone, so they are compared across ranges: their windows are combined per block
+   and counted by window hash.
 
 Exact copies of whole texts are recognised first and one of them stands for all.
 
-Windows are compared by 64-bit hashes.  Defined results: a null text is empty;
+Texts of any length are thinned in pieces of 4 MiB.  Grams, and the windows of
+common grams, are compared by 64-bit hashes.  Defined results: a null text is empty;
 texts shorter than ``length`` lose nothing; offsets are UTF-8 bytes; repeated
 rows are copies of each other and lose everything from ``length`` bytes on; an
 empty table gives no rows.
@@ -36,6 +40,7 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import StructType
 
 from tidemark.llm.common import pin, pins, shuffle_partitions
+from tidemark.llm.multikey import repeated_windows
 from tidemark.llm.texts import packed_texts, prefix_hash, span_hash, string_chunks, unpack
 
 LENGTH = 400
@@ -43,14 +48,24 @@ GRAM = 64
 HOT_MEMBERS = 100
 BLOCK_FAMILIES = 1 << 18
 BLOCK_WINDOWS = 1 << 20
+BLOCK_BYTES = 1 << 20
+PIECE_BYTES = 1 << 22
 _POS_BITS = np.uint64(28)
 _POS = np.uint64((1 << 28) - 1)
 
 
 def families(data: np.ndarray, off: np.ndarray, length: int = LENGTH, gram: int = GRAM):
     """Families of the rows of a chunk: (row, first window, windows, gram position, gram hash);
-    positions are relative to the chunk."""
+    positions are relative to the chunk.  A row longer than a piece has a chunk to
+    itself and is taken piece by piece; a family across two pieces comes as two."""
     n, width = len(data), length - gram + 1
+    if n > 2 * PIECE_BYTES and len(off) == 2:
+        pieces = []
+        for at in range(0, n - length + 1, PIECE_BYTES):
+            end = min(n, at + PIECE_BYTES + length - 1)
+            row, first, windows, pick, h = families(data[at:end], np.array([0, end - at]), length, gram)
+            pieces.append((row, first + at, windows, pick + at, h))
+        return tuple(np.concatenate([p[i] for p in pieces]) for i in range(5))
     sizes = np.maximum(0, np.diff(off) - length + 1)
     empty = np.zeros(0, np.int64)
     if not sizes.any():
@@ -177,6 +192,19 @@ def _spans(key: np.ndarray, p: np.ndarray, length: int) -> tuple[np.ndarray, np.
     return key[new], p[new], p[last] + length
 
 
+def _merged(key: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The spans in order, those of one key that touch made one."""
+    if not len(key):
+        return key, start, end
+    order = np.lexsort((start, key))
+    key, start, end = key[order], start[order], end[order]
+    new_key = np.concatenate([[True], key[1:] != key[:-1]])
+    lift = np.cumsum(new_key) * (np.int64(end.max()) + 1)          # so that no reach crosses into the next key
+    reach = np.maximum.accumulate(end + lift) - lift
+    new = np.flatnonzero(new_key | np.concatenate([[True], start[1:] > reach[:-1]]))
+    return key[new], start[new], reach[np.append(new[1:], len(key)) - 1]
+
+
 def _span_batch(key, start, end):
     return pa.RecordBatch.from_arrays([pa.array(key, pa.int64()), pa.array(start, pa.int64()), pa.array(end, pa.int64())], names=["key", "p0", "p1"])
 
@@ -210,22 +238,17 @@ def _ordinary(texts: DataFrame, n: int, length: int, gram: int) -> DataFrame:
         held, size = [], 0
 
         def spans(rows):
-            data = np.frombuffer(b"".join(r[3] for r in rows), np.uint8)
+            offset, key, first = (np.array([r[i] for r in rows], np.int64) for i in range(3))
             sizes = np.array([len(r[3]) for r in rows])
-            windows = sizes - length + 1
-            base = np.repeat(np.cumsum(sizes) - sizes, windows)
-            inside = np.arange(len(base)) - np.repeat(np.cumsum(windows) - windows, windows)
-            h = span_hash(prefix_hash(data), base + inside, base + inside + length)
-            _, which, n_ = np.unique(h, return_inverse=True, return_counts=True)
-            dup = n_[which] > 1
-            key = np.repeat(np.array([r[1] for r in rows]), windows)[dup]
-            p = (np.repeat(np.array([r[2] for r in rows]), windows) + inside)[dup]
-            order = np.lexsort((p, key))
-            return _span_batch(*_spans(key[order], p[order], length))
+            anchor = np.cumsum(sizes) - sizes + offset
+            data = np.frombuffer(b"".join(r[3] for r in rows), np.uint8)
+            row, far, near = repeated_windows(data, anchor, offset, sizes - offset, length, gram)
+            at = first[row] + offset[row]
+            return _span_batch(*_merged(key[row], at - far, at - near + length))
 
         for b in batches:
             for row in zip(*[c.to_pylist() for c in b.columns]):
-                if held and size >= BLOCK_WINDOWS and lead(row) != lead(held[-1]):
+                if held and size >= BLOCK_BYTES and lead(row) != lead(held[-1]):
                     yield spans(held)
                     held, size = [], 0
                 held.append(row)
