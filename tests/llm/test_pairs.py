@@ -182,6 +182,19 @@ def test_index_stops_only_on_proof():
         assert mine == want
 
 
+def test_floors_leave_out_no_member():
+    r = np.random.default_rng(6)
+    cells, asked, own = r.integers(-200, 200, (300, 16)), r.integers(-200, 200, (12, 16)), np.arange(1000, 1012)
+    index, scores = topk.ImpactIndex(cells), cells @ asked.T
+    fifth = np.sort(scores, 0)[-5]
+    for floor in (fifth, fifth - 3000, np.where(np.arange(12) % 2, fifth, topk.NO_FLOOR)):
+        q, c, s = index.search(np.arange(300), asked, own, 5, rescore=0, floor=floor)
+        for i in range(12):
+            assert set(np.flatnonzero(scores[:, i] >= fifth[i])) <= set(c[q == i])
+            assert (s[q == i] == scores[c[q == i], i]).all()
+    assert len(index.search(np.arange(300), asked, own, 5, floor=scores.max(0) + 1_000_000)[0]) == 0
+
+
 def test_many_grams_share_their_leading_bytes(spark):
     """Thousands of grams that begin alike are spread by the rest of the gram."""
     r = random.Random(12)

@@ -9,6 +9,11 @@ accumulators.  After a level every score is known up to
 more than ``rescore`` candidates can be members; all possible members, however
 many, are then scored exactly.
 
+One block is searched first.  A query's k-th score there is a floor under its
+k-th score overall, which every other block gets with the query: a candidate
+that cannot reach the floor is no member, and a block in which few can is left
+after its first levels.
+
 Query blocks meet candidate blocks through a join on a group number; one row
 per pair of blocks, never per pair of vectors.
 
@@ -30,6 +35,7 @@ from tidemark.llm.common import pin, shuffle_partitions
 BLOCK_VECTORS = 4096
 BLOCK_QUERIES = 512
 LEVEL_BITS = 6
+NO_FLOOR = np.iinfo(np.int64).min // 2
 
 
 def _pack(df: DataFrame, block: int) -> DataFrame:
@@ -77,9 +83,10 @@ class ImpactIndex:
                 segments.append((d, docs, np.sign(cells[docs, d]) * (l << self.shift)))
             self.levels.append((l, segments))
 
-    def search(self, ids: np.ndarray, queries: np.ndarray, query_ids: np.ndarray, k: int, rescore: int = 64):
-        """(query row, candidate row, exact score) of all possible top-k members."""
+    def search(self, ids: np.ndarray, queries: np.ndarray, query_ids: np.ndarray, k: int, rescore: int = 64, floor: np.ndarray | None = None):
+        """(query row, candidate row, exact score) of all possible top-k members; ``floor`` holds proven lower bounds of the k-th scores."""
         n, m = len(self.cells), len(queries)
+        floor = np.full(m, NO_FLOOR) if floor is None else floor
         acc = np.zeros((n, m), np.int64)
         weight, live = np.abs(queries).sum(1), np.arange(m)
         own = ids[:, None] == query_ids[None, :]
@@ -93,7 +100,7 @@ class ImpactIndex:
             slack = weight[live] * ((1 << self.shift) - 1 if last else (l << self.shift) - 1)
             shown = np.where(own[:, live], np.iinfo(np.int64).min // 4, acc)
             kth = np.partition(shown, max(0, n - k), axis=0)[max(0, n - k)] if n else np.zeros(len(live), np.int64)
-            possible = (shown >= kth - 2 * slack) & ~own[:, live]
+            possible = (shown >= np.maximum(kth - 2 * slack, floor[live] - slack)) & ~own[:, live]
             done = np.full(len(live), True) if last else possible.sum(0) <= max(rescore, k)
             if done.any():
                 c, q = np.nonzero(possible[:, done])
@@ -116,13 +123,12 @@ def top_k(vectors: DataFrame, k: int = 5, query_every: int = 50, id_col: str = "
              .select("id", F.transform("x", lambda v: F.floor(v * scale)).alias("x")))
     blocks = pin(_pack(cells, BLOCK_VECTORS).withColumn("block", F.monotonically_increasing_id()))
     asked = pin(_pack(cells.filter(F.col("id") % query_every == 0).distinct(), BLOCK_QUERIES))
-    groups = max(1, min(blocks.count(), 4 * shuffle_partitions(vectors.sparkSession)))
-    left = blocks.withColumn("g", F.pmod(F.xxhash64("block"), F.lit(groups)))
-    right = (asked.select(F.col("dims").alias("q_dims"), F.col("ids").alias("q_ids"), F.col("cells").alias("q_cells"))
-             .withColumn("g", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(groups - 1).cast("long")))))
-    pairs = left.join(right, "g").select("block", "dims", "ids", "cells", "q_dims", "q_ids", "q_cells")
+    most = 4 * shuffle_partitions(vectors.sparkSession)
+    first = blocks.select("block", "n").orderBy(F.desc("n"), "block").first()
+    probe = F.col("block") == (first["block"] if first else -1)
 
-    def search(batches):
+    def searches(batches):
+        """(pair, query ids, vector ids, scores, query's place) of every pair of blocks."""
         at, index, ids = None, None, None
         for b in batches:
             for row in b.to_pylist():
@@ -135,14 +141,41 @@ def top_k(vectors: DataFrame, k: int = 5, query_every: int = 50, id_col: str = "
                 width = index.cells.shape[1]
                 fitted = np.zeros((len(q_ids), width), np.int64)
                 fitted[:, :min(width, asked.shape[1])] = asked[:, :width]
-                q, c, s = index.search(ids, fitted, q_ids, k)
+                floor = np.frombuffer(row["q_floor"], np.int64) if row["q_floor"] else None
+                q, c, s = index.search(ids, fitted, q_ids, k, floor=floor)
                 order = np.lexsort((ids[c], -s, q))
                 q, c, s = q[order], c[order], s[order]
                 keep = np.arange(len(q)) - np.searchsorted(q, q) < k
-                yield pa.RecordBatch.from_arrays([pa.array(q_ids[q[keep]]), pa.array(ids[c[keep]]), pa.array(s[keep])],
-                                                 names=["query_id", "vec_id", "score"])
+                yield row, q_ids[q[keep]], ids[c[keep]], s[keep], q[keep]
+
+    def probed(batches):
+        for row, q_id, v_id, s, q in searches(batches):
+            floor = np.full(len(row["q_ids"]) // 8, NO_FLOOR)
+            full = np.flatnonzero(np.arange(len(q)) - np.searchsorted(q, q) == k - 1)      # a query's k-th hit
+            floor[q[full]] = s[full]
+            lists = [pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), pa.array(x, pa.int64())) for x in (q_id, v_id, s)]
+            yield pa.RecordBatch.from_arrays([pa.array([row["q_dims"]], pa.int32()), pa.array([row["q_ids"]]), pa.array([row["q_cells"]]),
+                                              pa.array([floor.tobytes()]), *lists],
+                                             names=["q_dims", "q_ids", "q_cells", "q_floor", "query_id", "vec_id", "score"])
 
-    hits = pairs.mapInArrow(search, "query_id long, vec_id long, score long")
+    def search(batches):
+        for _, q_id, v_id, s, _ in searches(batches):
+            yield pa.RecordBatch.from_arrays([pa.array(q_id), pa.array(v_id), pa.array(s)], names=["query_id", "vec_id", "score"])
+
+    def dealt(blocks: DataFrame, copied: DataFrame, groups: int) -> DataFrame:
+        """Every row of ``copied`` beside every row of ``blocks``, which are dealt over ``groups`` groups."""
+        one = blocks.withColumn("g", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(groups)))
+        return one.join(copied.withColumn("g", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(groups - 1).cast("long")))), "g")
+
+    questions = asked.select(F.col("dims").alias("q_dims"), F.col("ids").alias("q_ids"), F.col("cells").alias("q_cells"),
+                             F.lit(None).cast("binary").alias("q_floor"))
+    pair = ["block", "dims", "ids", "cells", "q_dims", "q_ids", "q_cells", "q_floor"]
+    floors = pin(dealt(questions, blocks.filter(probe), max(1, min(asked.count(), most))).select(*pair).mapInArrow(
+        probed, "q_dims int, q_ids binary, q_cells binary, q_floor binary, query_id array<long>, vec_id array<long>, score array<long>"))
+    rest = blocks.filter(~probe)
+    pairs = dealt(rest, floors.select("q_dims", "q_ids", "q_cells", "q_floor"), max(1, min(blocks.count() - 1, most))).select(*pair)
+    hits = (pairs.mapInArrow(search, "query_id long, vec_id long, score long")
+            .unionByName(floors.select(F.inline(F.arrays_zip("query_id", "vec_id", "score")))))
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return (hits.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
             .select("query_id", "rank", "vec_id", "score"))
