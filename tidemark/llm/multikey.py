@@ -17,7 +17,7 @@ def symbols(data: np.ndarray, at: np.ndarray, sizes: np.ndarray, width: int, ste
     width = -(-width // SYMBOL) * SYMBOL
     inside = np.arange(width)
     where = at[:, None] + step * inside[None, :]
-    cells = data[np.clip(where, 0, max(len(data) - 1, 0))] if len(data) else np.zeros(where.shape, np.uint8)
+    cells = data.take(where, mode="clip") if len(data) else np.zeros(where.shape, np.uint8)
     cells[inside[None, :] >= sizes[:, None]] = 0
     return np.ascontiguousarray(cells).view(">u8").astype(np.uint64)
 
@@ -104,51 +104,51 @@ def repeated_windows(data: np.ndarray, anchor: np.ndarray, left: np.ndarray, rig
     pos = _positions(head, count)
     begin = np.cumsum(count) - count
     members, ahead_of = order[pos], ahead[pos]
-    ahead_of[begin] = 0
-    after = np.append(ahead_of[1:], 0)
-    best = np.maximum(ahead_of, after)
 
     back = symbols(data, anchor[members] - 1, left[members], max(1, length - gram), -1)
     by_left = multikey_sort(back, left[members], np.arange(len(members)), begin, count)
     behind = neighbour_prefix(back, left[members], by_left)
-    behind[begin] = length + 1
-    shared = np.minimum.reduceat(behind, begin)                  # left part common to a whole gram
-
-    depth = np.repeat(shared, count)
-    low = np.maximum(0, length - best)
-    hit = low <= depth
-    found = [np.stack([members[hit], depth[hit], low[hit]], 1)]
-    deeper = np.flatnonzero((count > 2) & (np.maximum.reduceat(np.where(behind > length, -1, behind), begin) > shared))
-    for g in deeper.tolist():
-        b, c = int(begin[g]), int(count[g])
-        rows = _below(by_left[b:b + c].tolist(), behind[b:b + c].tolist(), int(shared[g]), ahead_of, length)
-        if rows:
-            part = np.array(rows)
-            part[:, 0] = members[part[:, 0]]
-            found.append(part)
+    lowest = _lowest(ahead_of)
+    start, above = begin, np.full(len(begin), -1)
+    found = []
+    while len(start):                                            # one level of all trees at a time
+        node = np.repeat(np.arange(len(start)), count)
+        pos, opens = _positions(start, count), np.cumsum(count) - count
+        shared = behind[pos]
+        shared[opens] = length + 1
+        here = np.minimum.reduceat(shared, opens)
+        place = by_left[pos]
+        place = place[np.lexsort((place, node))]
+        common = np.zeros(len(place) + 1, np.int64)
+        inner = np.flatnonzero(node[1:] == node[:-1])
+        common[inner + 1] = _between(lowest, place[inner] + 1, place[inner + 1])
+        low = np.maximum(above[node] + 1, length - np.maximum(common[:-1], common[1:]))
+        hit = low <= here[node]
+        found.append(np.stack([members[place[hit]], here[node[hit]], low[hit]], 1))
+        # below a node the rows part where no more than ``here`` bytes agree
+        first = np.flatnonzero(shared == here[node])
+        first = np.sort(np.concatenate([opens, first]))
+        size = np.diff(np.append(first, len(pos)))
+        more = size > 1
+        start, count, above = pos[first[more]], size[more], here[node[first[more]]]
     out = np.concatenate(found)
     return out[:, 0], out[:, 1], out[:, 2]
 
 
-def _below(rows: list[int], behind: list[int], depth: int, ahead: np.ndarray, length: int) -> list[tuple[int, int, int]]:
-    """(row, first, last) of the nodes below the root of one gram's tree of left parts.
+def _lowest(values: np.ndarray) -> list[np.ndarray]:
+    """Minima of all stretches of 1, 2, 4, ... values."""
+    out = [values]
+    while 2 << (len(out) - 1) <= len(values):
+        half = 1 << (len(out) - 1)
+        out.append(np.minimum(out[-1][:-half], out[-1][half:]))
+    return out
 
-    ``rows`` (places in the suffix order) are ordered by their left contexts, of which
-    ``behind`` bytes agree with the row before.
-    """
-    found, open_ = [], [(0, len(rows), depth)]
-    while open_:
-        lo, hi, above = open_.pop()
-        cuts = [lo, *(i for i in range(lo + 1, hi) if behind[i] == above), hi]
-        for a, z in zip(cuts, cuts[1:]):
-            if z - a < 2:
-                continue
-            here = min(behind[a + 1:z])
-            near = sorted(rows[a:z])
-            common = [0, *(int(ahead[x + 1:y + 1].min()) for x, y in zip(near, near[1:])), 0]
-            for i, row in enumerate(near):
-                last = max(above + 1, length - max(common[i], common[i + 1]))
-                if last <= here:
-                    found.append((row, here, last))
-            open_.append((a, z, here))
-    return found
+
+def _between(lowest: list[np.ndarray], a: np.ndarray, z: np.ndarray) -> np.ndarray:
+    """Minimum of the values a to z, both included."""
+    out = np.empty(len(a), np.int64)
+    power = np.frexp((z - a + 1).astype(float))[1] - 1
+    for i in np.unique(power).tolist():
+        at = power == i
+        out[at] = np.minimum(lowest[i][a[at]], lowest[i][z[at] - (1 << i) + 1])
+    return out
