@@ -205,6 +205,25 @@ def test_token_files_round_trip(spark, tmp_path):
     assert orc.ORCFile(f).row_index_stride == 1000
 
 
+def rows_scanned(df):
+    """Rows that the file scan of ``df`` handed on."""
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().collectLeaves().apply(0).metrics().apply("numOutputRows").value()
+
+
+def test_row_groups_are_skipped_by_index_and_bloom_filter(spark, tmp_path):
+    docs = spark.range(0, 40_000, 2).select(F.col("id").alias("doc_id"), F.lit("a b").alias("text"))
+    path = str(tmp_path / "tokens")
+    token_orc.write_token_orc(docs, path, partitions=1)
+    stored = token_orc.read_token_orc(spark, path)
+    assert rows_scanned(stored) == 20_000
+    there = stored.where("doc_id = 12344")
+    assert rows_scanned(there) <= 2_000 and there.count() == 1            # the row index leaves one row group
+    # ids between the stored ones lie within the ranges, so only the Bloom filter can rule their row groups out
+    absent = [rows_scanned(stored.where(f"doc_id = {i}")) for i in range(1001, 39_001, 4000)]
+    assert sum(a == 0 for a in absent) >= len(absent) - 1
+
+
 def test_token_files_of_repeated_null_and_no_ids(spark):
     df = documents(spark, ["a b", "a b", "c"]).withColumn("doc_id", F.when(F.col("doc_id") < 2, 7))
     got = sorted(((r.doc_id, r.start, r.n_tokens) for r in token_orc.token_orc_roundtrip(df).collect()), key=lambda r: r[1])

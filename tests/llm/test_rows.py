@@ -57,6 +57,58 @@ def test_held_out_labels_are_not_learned(spark):
     assert a == b
 
 
+def plain_scores(texts, labels):
+    """Scores by plain n-gram sets, the same selection and the same regression in float64."""
+    known = {}
+
+    def bucket(gram):
+        if gram not in known:
+            *_, (_, b) = toxicity.grams(np.frombuffer(gram.encode("utf-32-le"), np.uint32))
+            known[gram] = int(b[0])
+        return known[gram]
+
+    low = [(t or "").lower() for t in texts]
+    sets = [{bucket(t[i:i + n]) for n in (3, 4, 5) for i in range(len(t) - n + 1)} for t in low]
+    train = [(i, y) for i, y, _ in labels if crc32(str(i).encode()) % 5]
+    n1 = sum(y for _, y in train)
+    n0 = len(train) - n1
+    pos, neg = Counter(b for i, y in train if y for b in sets[i]), Counter(b for i, y in train if not y for b in sets[i])
+
+    def gain(b):
+        both = (pos[b] + neg[b]) / (n0 + n1)
+        return abs(pos[b] / n1 - neg[b] / n0) / math.sqrt(both * (1 - both) + 1e-4)
+
+    best = sorted((b for b in pos.keys() | neg.keys() if pos[b] + neg[b] >= 5), key=lambda b: (-gain(b), b))[:toxicity.FEATURES]
+    ratio = np.array([math.log((pos[b] + 0.5) / (n1 + 1)) - math.log((neg[b] + 0.5) / (n0 + 1)) for b in best])
+    x = np.array([[b in s for b in best] for s in sets]) * ratio
+    rows, y = x[[i for i, _ in train]], np.array([y for _, y in train])
+    w, m, v = (np.zeros(len(best) + 1) for _ in range(3))
+    for t in range(1, 301):
+        e = (1 / (1 + np.exp(-(rows @ w[:-1] + w[-1]))) - y) / len(y)
+        g = np.append(rows.T @ e + 1e-4 * w[:-1], e.sum())
+        m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
+        w -= 0.05 * (m / (1 - 0.9 ** t)) / (np.sqrt(v / (1 - 0.999 ** t)) + 1e-8)
+    return 1 / (1 + np.exp(-(x @ w[:-1] + w[-1])))
+
+
+def test_scores_equal_plain_counts_and_regression(spark):
+    texts, labels = toxic_corpus(150, seed=8)
+    texts += [None, "", "ab", "NASTYWORD", texts[0]]
+    docs = documents(spark, texts)
+    got = toxicity.score_documents(docs, spark.createDataFrame(labels, "doc_id long, toxic int, quality int")).orderBy("doc_id").collect()
+    want = plain_scores(texts, labels)
+    assert np.abs(np.array([r.score for r in got]) - want).max() < 0.01
+    assert got[-1].score == got[0].score                                          # repeated texts score alike
+
+
+def test_repeated_and_contradicting_labels(spark):
+    texts, labels = toxic_corpus(150, seed=8)
+    docs, schema = documents(spark, texts), "doc_id long, toxic int, quality int"
+    doubtful = [(i, 0, 1) for i, y, _ in labels if y] + [(i, None, 1) for i, _, _ in labels] + labels     # toxic if any row says so
+    once, again = (toxicity.score_documents(docs, spark.createDataFrame(x, schema)).orderBy("doc_id").collect() for x in (labels, doubtful))
+    assert once == again
+
+
 def test_a_bounded_sample_keeps_the_class_ratio(spark):
     docs = documents(spark, [("alpha beta gamma", "delta epsilon zeta")[i // 10 % 2] for i in range(800)])
     lab = spark.createDataFrame([(i, int(i % 10 == 0)) for i in range(800)], "doc_id long, toxic int")
