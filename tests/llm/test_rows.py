@@ -167,6 +167,43 @@ def test_windows_are_reconciled_over_the_text(spark, tagger):
     assert pii.find_pii(no_documents(spark), model=model).count() == 0
 
 
+def written_in(r, ground, spans):
+    """(text, spans): each of ``spans`` written between words of the ground text."""
+    parts, at, out = [], 0, []
+    for kind, value in spans:
+        lead = " ".join(r.choice(ground).split()[:r.randrange(20, 60)]) + " "
+        at += len(lead)
+        out.append((kind, at, at + len(value)))
+        at += len(value) + 1
+        parts += [lead, value, " "]
+    return "".join(parts) + r.choice(ground), out
+
+
+def test_forms_that_neither_patterns_nor_training_know(spark, tagger):
+    """Phones without a plus, put together in other ways than the training forms, in whole texts of several windows."""
+    model, ground = tagger
+    r = random.Random(17)
+    number = lambda n: "".join(r.choice("0123456789") for _ in range(n))
+    forms = [lambda: f"{number(3)} {number(3)}-{number(4)}", lambda: f"{number(3)}-{number(3)}.{number(4)}", lambda: f"({number(3)}) {number(3)} {number(4)}"]
+    ground = [re.sub(r"[0-9@+]", "", t) for t in ground]
+    cases = [written_in(r, ground, [("phone", r.choice(forms)()) for _ in range(4)]) for _ in range(40)]
+    clean = [re.sub("y", lambda _: number(2), t) for t in ground[:20]]
+    got = {x.doc_id: x for x in pii.find_pii(documents(spark, [t for t, _ in cases] + clean), model=model).collect()}
+    want = {(i, f"{k}:{a}:{b}") for i, (_, spans) in enumerate(cases) for k, a, b in spans}
+    mine = {(i, s) for i, x in got.items() for s in x.spans.split(",") if s}
+    assert not any(x.base for x in got.values())
+    assert len(mine & want) / len(want) > 0.8 and len(mine & want) / len(mine) > 0.8
+
+
+def test_personal_data_of_empty_tables_nulls_and_repeated_rows(spark):
+    assert pii.find_pii(no_documents(spark)).count() == 0
+    nulls = pii.find_pii(documents(spark, [None, ""])).collect()                  # trained without any text
+    assert [(x.base, x.spans) for x in nulls] == [("", "")] * 2
+    df = documents(spark, ["mail a.b@c.de now"])
+    twice = pii.find_pii(df.unionByName(df)).collect()
+    assert [(x.doc_id, x.base) for x in twice] == [(0, "email:5:13")] * 2
+
+
 def test_reconcile_picks_the_best_set():
     spans = [(0, 10, 0, 3.0), (8, 20, 1, 4.0), (20, 30, 2, 2.0), (5, 25, 3, 5.0), (0, 10, 0, 3.0)]
     assert reconcile_total(spans) == 6.0 and pii.reconcile([]) == []

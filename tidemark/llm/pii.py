@@ -226,10 +226,21 @@ def model_spans(model: BiLstmCrf, texts: list[str]) -> list[list[tuple[int, int,
             if len(rows) == BATCH:
                 flush()
     flush()
-    return [[s[:3] for s in reconcile(f) if s[3] >= MIN_SCORE and s[1] - s[0] >= 6 and _plausible(s[2], t[s[0]:s[1]])]
+    return [_with_brackets(t, [s[:3] for s in reconcile(f) if s[3] >= MIN_SCORE and s[1] - s[0] >= 6 and _plausible(s[2], t[s[0]:s[1]])])
             for t, f in zip(texts, found)]
 
 
+def _with_brackets(text: str, spans: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
+    """Spans that close a bracket they do not open begin at that bracket where it stands right before them."""
+    out, end = [], 0
+    for a, b, k in spans:
+        value = text[a:b]
+        opened = a > end and text[a - 1] == "(" and value.count(")") > value.count("(")
+        out.append((a - opened, b, k))
+        end = b
+    return out
+
+
 def merge_spans(base, added):
     """Base spans plus the added ones that touch none of them, by start, then kind."""
     taken = sorted((a, b) for a, b, _ in base)
