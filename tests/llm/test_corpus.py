@@ -124,6 +124,25 @@ def test_mix_of_overlapping_sources_and_empty_table(spark):
     assert mixing.mixed_documents(no_documents(spark)).count() == 0
 
 
+def test_mix_runs_no_job_per_shuffle_partition(spark):
+    r = random.Random(8)
+    docs = documents(spark, [words(r, r.randrange(20)) for _ in range(60)], [r.choice("abc") for _ in range(60)])
+    want = sorted(map(tuple, mixing.mix_sources(docs).collect()))
+    put = {"spark.sql.shuffle.partitions": "150", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in put}
+    sc = spark.sparkContext
+    sc.setJobGroup("mix of many partitions", "")
+    try:
+        for k, v in put.items():
+            spark.conf.set(k, v)
+        assert sorted(map(tuple, mixing.mix_sources(docs).collect())) == want
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+        sc.setLocalProperty("spark.jobGroup.id", None)
+    assert len(sc.statusTracker().getJobIdsForGroup("mix of many partitions")) < 60
+
+
 # ---------------------------------------------------------------- perspectives
 
 def brute_rotation(rows):

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.llm.helpers import documents, no_documents, table, words
-from tidemark.llm import ngram_join, suffix_dedup, topk
+from tidemark.llm import graph, ngram_join, suffix_dedup, topk
 from tidemark.llm.graph import connected_components
 from tidemark.llm.trie_join import PrefixTree, Forest, linking_edges
 
@@ -109,6 +109,24 @@ def test_components_of_chains_and_hubs(spark):
     assert connected_components(spark.createDataFrame([], "u long, v long")).count() == 0
 
 
+def test_components_of_few_edges_need_no_star_steps(spark, monkeypatch):
+    r = random.Random(5)
+    edges = [(r.randrange(300), r.randrange(300)) for _ in range(220)] + [(400 + i, 401 + i) for i in range(60)]
+    up = Forest(500)
+    for u, v in edges:
+        up.union(u, v)
+    want = {x: up.find(x) for e in edges if e[0] != e[1] for x in e}
+    df = spark.createDataFrame(edges, "u long, v long").repartition(7)
+    for block in (1, 3, 50):                              # many blocks: stars across them
+        assert {c.node: c.component for c in connected_components(df, block_edges=block).collect()} == want
+
+    def star(*_):
+        raise AssertionError("a star step on a handful of edges")
+    monkeypatch.setattr(graph, "_star", star)
+    rows = connected_components(df).collect()
+    assert len(rows) == len(want) and {c.node: c.component for c in rows} == want
+
+
 # ---------------------------------------------------------------- suffix dedup
 
 def repeated_texts(seed=4):

@@ -34,6 +34,7 @@ CAP = 3
 SEED = 20240110
 MAX_PATTERNS = 200_000
 _BITS, _LEVELS = 12, 3
+FETCH_ROWS = 1 << 17
 
 
 def word_sizes(docs: DataFrame, text_col: str = "text", size_col: str = "size", keep: list[str] | None = None) -> DataFrame:
@@ -164,7 +165,9 @@ def _refine(sized: DataFrame, cuts: list[dict], pattern_col: str, size_col: str,
         joined = sized.join(F.broadcast(heads), F.col(pattern_col).eqNullSafe(F.col("__mix_p"))
                             & (F.shiftright(hash_col, shift + _BITS) == F.col("__mix_head")))
         sums: dict = {}
-        for r in (joined.groupBy("__mix_i", F.shiftright(hash_col, shift).alias("b")).agg(F.sum(size_col).alias("w")).toLocalIterator()):
+        found = joined.groupBy("__mix_i", F.shiftright(hash_col, shift).alias("b")).agg(F.sum(size_col).alias("w"))
+        # the iterator runs a job per partition: no more of them than the rows need
+        for r in found.repartition(-(-(len(live) << _BITS) // FETCH_ROWS)).toLocalIterator():
             sums.setdefault(r["__mix_i"], []).append((r["b"], r["w"]))
         inside = []
         for i, c in enumerate(live):
