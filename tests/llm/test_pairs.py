@@ -81,6 +81,56 @@ def test_one_document_of_each_group_stays(spark):
     assert kept == sorted({c for _, _, c in components(texts)})
 
 
+def test_near_copies_of_every_document_fit_on_disk(spark, monkeypatch):
+    """All sets stay in the filters and lie in large groups: what is pinned and what is
+    dealt to block pairs at once stays in proportion to the texts."""
+    r, texts = random.Random(8), []
+    passage = words(r, 12)
+    for g in range(20):
+        base = words(r, 700).split()
+        texts += [" ".join(base[:-2] + [f"y{g}c{c}", "end"]) for c in range(8)]
+    chain = words(r, 60).split()
+    texts += [" ".join(chain[:40] + words(r, 6 + i % 5).split()) + " " + passage for i in range(60)]
+    want = components(texts)
+    pinned, dealt = [], []
+
+    def weighed(df):
+        out = pin(df)
+        if "packed" in out.columns or "tokens" in out.columns:
+            pinned.append(out.agg(F.sum(F.length("packed" if "packed" in out.columns else "tokens"))).collect()[0][0])
+        return out
+
+    def joined(rows, keys, *args):
+        if keys == ["component", "pair"]:
+            dealt.append(rows.count())
+        return join(rows, keys, *args)
+
+    pin, join, resolve = ngram_join.pin, ngram_join._joined_blocks, ngram_join.resolve_groups
+    monkeypatch.setattr(ngram_join, "pin", weighed)
+    monkeypatch.setattr(ngram_join, "_joined_blocks", joined)
+    monkeypatch.setattr(ngram_join, "resolve_groups", lambda *a: resolve(*a, batch_bytes=20_000))
+    got = ngram_join.near_duplicate_components(documents(spark, texts), block_docs=4).collect()
+    assert sorted((x.doc_id, x.n_shingles, x.component_id) for x in got) == want
+    assert max(pinned) < sum(map(len, texts))
+    assert len(dealt) > 1
+
+
+def test_holders_of_neighbouring_size_bands_are_tied():
+    r = np.random.default_rng(4)
+    t, band, node = r.integers(0, 40, 300).astype(np.uint64), r.integers(0, 9, 300).astype(np.uint16), r.integers(0, 200, 300)
+    first, edges = ngram_join._met(t, band, node)
+    assert sorted(zip(t[first].tolist(), band[first].tolist())) == sorted(set(zip(t.tolist(), band.tolist())))
+    up, want = Forest(200), Forest(200)
+    for u, v in edges.tolist():
+        up.union(u, v)
+    for i in range(300):
+        for j in range(i):
+            if t[i] == t[j] and abs(int(band[i]) - int(band[j])) <= 1:
+                want.union(int(node[i]), int(node[j]))
+    assert [up.find(i) for i in range(200)] == [want.find(i) for i in range(200)]
+    assert [len(x) for x in ngram_join._met(t[:0], band[:0], node[:0])] == [0, 0]
+
+
 def test_prefix_tree_finds_every_link():
     r = np.random.default_rng(3)
     sets = []
