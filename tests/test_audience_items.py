@@ -157,3 +157,11 @@ def test_new_in_of_several_regions(spark):
     for r in ("hk", "cn"):
         assert rows(every.where(f"region = '{r}'").drop("region")) == rows(items.new_in_candidates(*inputs, *bags, r, rel.ITEMS_AS_OF))
         assert rows(lists.where(f"region = '{r}'").drop("region")) == rows(items.new_in_list_direct(*inputs, bags[2], r, rel.ITEMS_AS_OF))
+
+
+def test_new_in_candidates_broadcast_no_computed_table(spark):
+    t = rel.Tables(spark, "/root/testdata/sf0.001")
+    df = items.new_in_candidates(rel.publication_status(t), rel.item_start_date(t), rel.child_sku(t), rel.inventory(t),
+                                 rel.item_master(t), ("hk", "cn"), rel.ITEMS_AS_OF)
+    plan = spark._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "simple")
+    assert plan.count("SortMergeJoin") == 4 and "Broadcast" not in plan
